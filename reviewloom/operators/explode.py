@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,19 +23,19 @@ def explode_merged(df: DataFrame, columns: Sequence[str], delimiter: str) -> Dat
     taken literally and must not occur inside the values; a comma is unsafe
     for free text. Narrow: no shuffle, memory bounded by one row.
     """
-    lists = {c: F.split(F.col(c), _literal(delimiter)) for c in columns}
-    sizes = [F.size(v) for v in lists.values()]
-    same_size = reduce(lambda a, b: a & b, [s == sizes[0] for s in sizes], F.lit(True))
-    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-    aligned = F.coalesce(same_size & ~any_null, F.lit(False))
-
-    zipped = F.arrays_zip(*[v.alias(c) for c, v in lists.items()])
-    whole = F.array(F.struct(*[F.col(c) for c in columns]))
     rest = [c for c in df.columns if c not in columns]
+    lists = {f"_{c}_list": F.split(F.col(c), _literal(delimiter)) for c in columns}
+    sizes = [F.array_size(name) for name in lists]
+    aligned = F.coalesce(reduce(and_, [s == sizes[0] for s in sizes]), F.lit(False))
+    paired = F.arrays_zip(*[F.col(name).alias(c) for name, c in zip(lists, columns)])
+    whole = F.array(F.struct(*columns))
+    # The arrays are never empty. "outer" only keeps Catalyst from testing that
+    # beforehand, which would split every text again below the scan.
     return (
-        df.withColumn("aligned", aligned)
-        .withColumn("_items", F.when(F.col("aligned"), zipped).otherwise(whole))
-        .select(*rest, "aligned", F.posexplode("_items").alias("_pos", "_item"))
+        df.withColumns(lists)
+        .withColumn("aligned", aligned)
+        .withColumn("_items", F.when(F.col("aligned"), paired).otherwise(whole))
+        .select(*rest, "aligned", F.posexplode_outer("_items").alias("_pos", "_item"))
         .select(
             *rest,
             F.when(F.col("aligned"), F.col("_pos")).alias("item"),
