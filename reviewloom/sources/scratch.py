@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="reviewloom-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
     Executors of a cluster must all see it, so the session's setting always
     wins. A local temporary folder stands in only where none is set (tests).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="reviewloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
     return f"{root.rstrip('/')}/reviewloom/{label}-{uuid.uuid4().hex}"
