@@ -2,8 +2,9 @@
 
 Lists become an ``IN`` set that reaches the scan. Key tables become semi / anti
 joins without a broadcast hint: Catalyst broadcasts a side only when its size
-is known to be under ``spark.sql.autoBroadcastJoinThreshold``; above that it
-shuffles, and adaptive execution splits a hot key of the row side.
+is known to be under ``spark.sql.autoBroadcastJoinThreshold``. Above that both
+sides shuffle on the key; a key held by a large share of the rows is split by
+adaptive execution, or up front with ``salts``.
 
 A row whose own key is NULL is neither listed nor unlisted in SQL. ``drop_*``
 therefore loses it by default; ``null_key="keep"`` keeps it.
@@ -43,17 +44,30 @@ def drop_listed(
     return df.where(unlisted)
 
 
-def keep_matching(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    return df.join(keys.select(key), key, "left_semi")
+def _join(df: DataFrame, keys: DataFrame, key: str, how: str, salts: int) -> DataFrame:
+    keys = keys.select(key)
+    if salts <= 1:
+        return df.join(keys, key, how)
+    # Rows of one key go to `salts` reducers, each with its own copy of the key.
+    # The salt is the input partition, so equal rows spread too, and any salt a
+    # retried task might pick finds the same keys.
+    rows = df.withColumn("_salt", F.spark_partition_id() % salts)
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    copies = keys.distinct().withColumn("_salt", every_salt)
+    return rows.join(copies, [key, "_salt"], how).select(*df.columns)
+
+
+def keep_matching(df: DataFrame, keys: DataFrame, key: str, salts: int = 1) -> DataFrame:
+    return _join(df, keys, key, "left_semi", salts)
 
 
 def drop_matching(
-    df: DataFrame, keys: DataFrame, key: str, null_key: str = "drop"
+    df: DataFrame, keys: DataFrame, key: str, null_key: str = "drop", salts: int = 1
 ) -> DataFrame:
     _check(null_key)
     if null_key == "drop":
         df = df.where(F.col(key).isNotNull())
-    return df.join(keys.select(key), key, "left_anti")
+    return _join(df, keys, key, "left_anti", salts)
 
 
 def with_split(

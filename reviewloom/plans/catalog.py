@@ -663,3 +663,43 @@ def gold_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def gold_training_set_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.gold(views.reviews(spark, sf_dir))
+
+
+def _published(
+    spark: SparkSession, sf_dir: str, ids: list[str], null_key: str, fmt: str
+) -> str:
+    """Run both scheduled steps from a sixteen-column CSV source; the gold path."""
+    source, silver, gold = (scratch_path(spark, n) for n in ("source", "silver", "gold"))
+    sinks.write_csv(views.review_file(spark, sf_dir), source, null_value="")
+    layers.bronze_to_silver(spark, source, silver, ids, null_key)
+    layers.silver_to_gold(spark, silver, gold, fmt)
+    return gold
+
+
+@query("files_to_gold", f"WITH {_sql_gold(True)} SELECT review_body, sentiment FROM gold")
+def files_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = _published(spark, sf_dir, CORRUPT_IDS, "drop", "csv")
+    return csv.scan_lossless(
+        spark, f"{gold}/training_dataset", "review_body string, sentiment string"
+    )
+
+
+@query(
+    "files_to_gold_unfiltered",
+    f"WITH {_sql_gold(False)} SELECT review_body, sentiment FROM gold",
+)
+def files_to_gold_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = _published(spark, sf_dir, [], "keep", "parquet")
+    return spark.read.parquet(f"{gold}/training_dataset")
+
+
+@query(
+    "files_to_report",
+    f"""WITH {_sql_gold(True)}
+SELECT sentiment, count(*) AS reviews FROM gold GROUP BY sentiment""",
+)
+def files_to_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = _published(spark, sf_dir, CORRUPT_IDS, "drop", "parquet")
+    return csv.scan_lossless(
+        spark, f"{gold}/sentiment_counts", "sentiment string, reviews bigint"
+    )

@@ -97,6 +97,24 @@ def test_split_by_table(spark, products):
     assert numbers(keep) == [2, 3, 4]
 
 
+def test_salted_split_of_a_hot_key(spark):
+    rows = spark.range(0, 3000, 1, 12).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN NULL ELSE 'k' || id % 40 END AS k",
+        "id AS n",
+    )
+    for listed in ("hot", "k7"):
+        keys = spark.createDataFrame([(listed,), (listed,), (None,)], "k string")
+        for salts in (4, 32):
+            for null_key in ("drop", "keep"):
+                plain = keysplit.drop_matching(rows, keys, "k", null_key)
+                salted = keysplit.drop_matching(rows, keys, "k", null_key, salts)
+                assert salted.columns == plain.columns
+                assert numbers(salted) == numbers(plain)
+            assert numbers(keysplit.keep_matching(rows, keys, "k", salts)) == numbers(
+                keysplit.keep_matching(rows, keys, "k")
+            )
+
+
 def test_with_split_covers_every_row(products):
     tagged = keysplit.with_split(products, "product_id", ["P1"], null_key="keep")
     assert {r.n: r.split for r in tagged.collect()} == {
