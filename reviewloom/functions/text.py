@@ -64,7 +64,11 @@ def _arrow_text_udf(*rules: tuple[str, str], lower: bool = False):
     """
     non_ascii = NON_ASCII
 
-    def run(texts: pa.Array) -> pa.Array:
+    def run(batch: pa.Array) -> pa.Array:
+        # Copies are common, and finding them costs a few percent of cleaning
+        # them: work on the distinct texts of the batch.
+        distinct = batch.dictionary_encode()
+        texts = distinct.dictionary
         needs_fold = pc.fill_null(pc.invert(pc.string_is_ascii(texts)), False)
         if pc.any(needs_fold).as_py():
             folded = pc.utf8_normalize(texts.filter(needs_fold), form="NFKD")
@@ -74,7 +78,7 @@ def _arrow_text_udf(*rules: tuple[str, str], lower: bool = False):
             texts = pc.replace_substring_regex(texts, pattern, replacement)
         if lower:
             texts = pc.ascii_lower(pc.ascii_trim(texts, " "))
-        return texts
+        return texts.take(distinct.indices)
 
     return F.arrow_udf(run, T.StringType()).asNondeterministic()
 
