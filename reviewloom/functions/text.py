@@ -104,7 +104,10 @@ def ascii_fold(c: Column) -> Column:
 
 
 def clean_review(c: Column) -> Column:
-    """Fully cleaned text: '' or words of [a-z] joined by single spaces."""
+    """Fully cleaned text: '' or words of [a-z] joined by single spaces.
+
+    Select it into a column before joining on it.
+    """
     return _clean_udf(c)
 
 

@@ -242,7 +242,7 @@ def _written_side(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
     path = scratch_path(spark, f"sink_{side}")
     split = keysplit.with_split(views.reviews(spark, sf_dir), "product_id", CORRUPT_IDS)
     sinks.write_split(split, path)
-    return csv.scan_lossless(spark, f"{path}/split={side}", NARROW_SCHEMA)
+    return csv.scan_side(spark, path, side, NARROW_SCHEMA)
 
 
 @query(

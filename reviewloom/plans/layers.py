@@ -79,7 +79,7 @@ def bronze_to_silver(
 
 def silver_to_gold(spark: SparkSession, source: str, target: str, fmt: str = "csv") -> None:
     """Kept silver rows to the published training set and its label report."""
-    reviews = spark.read.parquet(f"{source}/split={KEPT}")
+    reviews = csv.scan_side(spark, source, KEPT, fmt="parquet")
     table = f"{target}/training_dataset"
     sinks.publish(gold(reviews), table, fmt)
     if fmt == "csv":

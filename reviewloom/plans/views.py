@@ -21,14 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(scan: DataFrame) -> DataFrame:
     """Share a small scan among the cores before CPU-heavy work.
 
-    A small file is one row group and so one busy task. Only a scan with fewer
-    splits than cores is repartitioned, and at most fourfold; a large table has
-    far more splits than cores and is left alone, without a shuffle. Give it a
+    A small file is one row group and so one busy task. Only a scan of a few
+    splits (32 of them hold some 4 GB at most) and fewer than there are cores is
+    repartitioned; anything larger is left alone, without a shuffle. Give it a
     bare scan: the split count is then known without running anything.
     """
     splits = scan.rdd.getNumPartitions()
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(min(cores, 4 * max(splits, 1))) if splits < cores else scan
+    if splits >= min(cores, 32):
+        return scan
+    return scan.repartition(min(cores, 4 * max(splits, 1)))
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

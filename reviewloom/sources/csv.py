@@ -63,6 +63,19 @@ def scan_lossless(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.options(**LOSSLESS, multiLine=True).schema(schema).csv(path)
 
 
+def scan_side(
+    spark: SparkSession, path: str, side: str, schema: str = REVIEW_SCHEMA, fmt: str = "csv"
+) -> DataFrame:
+    """One side of what ``sinks.write_split`` wrote; the other side is not read.
+
+    A side without rows has no directory and comes back empty.
+    """
+    reader = spark.read.schema(f"{schema}, split string").format(fmt)
+    if fmt == "csv":
+        reader = reader.options(**LOSSLESS, multiLine=True)
+    return reader.load(path).where(F.col("split") == side).drop("split")
+
+
 def parse_rating(c: Column) -> Column:
     """Text to double; NULL where it is no number."""
     return c.try_cast("double")

@@ -37,7 +37,7 @@ def write_parquet(df: DataFrame, path: str) -> None:
 def write_split(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write a ``keysplit.with_split`` frame: one directory per side, one scan.
 
-    Reading ``path/split=kept`` touches only the kept rows.
+    Read a side back with ``csv.scan_side``.
     """
     writer = df.write.mode("overwrite").partitionBy("split")
     if fmt == "csv":

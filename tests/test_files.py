@@ -68,15 +68,43 @@ def test_split_corrupt(spark, tmp_path):
     assert sorted(r.id for r in corrupt.collect()) == ["2", "3", "4"]
 
 
-def test_split_is_written_in_one_pass(spark, tmp_path):
+def test_split_is_written_in_one_pass(spark, tmp_path, plan):
     df = spark.createDataFrame(
         [("P1", 1), ("P2", 2), (None, 3)], "product_id string, n int"
     )
     path = str(tmp_path / "s")
     sinks.write_split(keysplit.with_split(df, "product_id", ["P1"]), path)
+    schema = "product_id string, n int"
     for side, n in ((keysplit.QUARANTINE, [1]), (keysplit.KEPT, [2])):
-        rows = csv.scan_lossless(spark, f"{path}/split={side}", "product_id string, n int")
-        assert [r.n for r in rows.collect()] == n
+        assert [r.n for r in csv.scan_side(spark, path, side, schema).collect()] == n
+    text = plan(csv.scan_side(spark, path, keysplit.KEPT, schema))
+    assert "PartitionFilters: [isnotnull(split" in text
+
+
+@pytest.mark.parametrize("ids", [[], ["P1", "P2"]])
+def test_a_side_without_rows_reads_as_empty(spark, tmp_path, ids):
+    df = spark.createDataFrame([("P1", 1), ("P2", 2)], "product_id string, n int")
+    for fmt in ("csv", "parquet"):
+        path = str(tmp_path / fmt)
+        sinks.write_split(keysplit.with_split(df, "product_id", ids), path, fmt)
+        sizes = [
+            csv.scan_side(spark, path, side, "product_id string, n int", fmt).count()
+            for side in (keysplit.KEPT, keysplit.QUARANTINE)
+        ]
+        assert sizes == ([0, 2] if ids else [2, 0])
+
+
+def test_jobs_on_a_source_where_nothing_is_kept(spark, tmp_path):
+    source, silver, gold = (str(tmp_path / n) for n in ("src", "silver", "gold"))
+    (tmp_path / "src").mkdir()
+    lines = [",".join(REVIEW_COLUMNS), review_line("B088Z1YWBC", "4.0", "u", "fine cable")]
+    (tmp_path / "src" / "r.csv").write_text("\n".join(lines) + "\n")
+    layers.bronze_to_silver(spark, source, silver, CORRUPT_PRODUCT_IDS)
+    layers.silver_to_gold(spark, silver, gold, "csv")
+    table = csv.scan_lossless(
+        spark, f"{gold}/training_dataset", "review_body string, sentiment string"
+    )
+    assert table.count() == 0
 
 
 def test_report_is_one_file(spark, tmp_path):
@@ -147,7 +175,7 @@ def test_source_to_gold(spark, source, tmp_path, fmt):
     assert {r.sentiment: r.reviews for r in report.collect()} == {
         "positive": 1, "unknown": 1, "negative": 1,
     }
-    quarantined = spark.read.parquet(f"{silver}/split=quarantine")
+    quarantined = csv.scan_side(spark, silver, keysplit.QUARANTINE, fmt="parquet")
     assert [r.product_id for r in quarantined.collect()] == ["B088Z1YWBC"]
 
 

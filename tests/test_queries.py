@@ -92,3 +92,9 @@ def test_no_query_crosses_or_collapses(spark, plan):
         assert "BroadcastNestedLoopJoin" not in text, name
         # Only the label report, five rows at most, may meet in one partition.
         assert "SinglePartition" not in text or name in ("sentiment_balance", "split_counts"), name
+
+
+def test_only_small_scans_are_spread(spark):
+    many, few = spark.range(0, 100, 1, 64), spark.range(0, 100, 1, 1)
+    assert views.spread(many) is many
+    assert views.spread(few).rdd.getNumPartitions() == 4
