@@ -17,8 +17,12 @@ def _local_root() -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Executors of a cluster must all see it, so the session's setting always
-    wins. A local temporary folder stands in only where none is set (tests).
+    Executors of a cluster must all see it, so a cluster has to name one. Only a
+    local session without the setting (tests) gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/reviewloom/{label}-{uuid.uuid4().hex}"

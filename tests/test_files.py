@@ -1,4 +1,5 @@
 import math
+from types import SimpleNamespace
 
 import pytest
 
@@ -113,17 +114,23 @@ def test_report_is_one_file(spark, tmp_path):
     assert len(list(path.glob("part-*"))) == 1
 
 
-class FakeSession:
-    def __init__(self, folder):
-        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+def fake_session(folder, master):
+    conf = {"spark.checkpoint.dir": folder} if folder else {}
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
 
 
-def test_scratch_follows_the_session(tmp_path):
-    shared = FakeSession(str(tmp_path) + "/")
+@pytest.mark.parametrize("master", ["local[4]", "spark://host:7077"])
+def test_scratch_follows_the_session(tmp_path, master):
+    shared = fake_session(f"{tmp_path}/", master)
     first, second = (scratch.scratch_path(shared, "x") for _ in range(2))
     assert first.startswith(f"{tmp_path}/reviewloom/x-") and first != second
-    unset = FakeSession(None)
-    assert scratch.scratch_path(unset, "x") != scratch.scratch_path(unset, "x")
+
+
+def test_only_a_local_session_may_leave_the_folder_unset():
+    local = fake_session(None, "local[4]")
+    assert scratch.scratch_path(local, "x") != scratch.scratch_path(local, "x")
+    with pytest.raises(ValueError):
+        scratch.scratch_path(fake_session(None, "yarn"), "x")
 
 
 def test_fixed_lists():
