@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="reviewloom-")
+def scratch_root(spark: SparkSession) -> str:
+    """This package's folder in ``spark.checkpoint.dir``, else in the warehouse.
+
+    Both are the session's own settings and shared by all executors of a cluster.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/reviewloom"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder named by ``spark.checkpoint.dir``.
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete all intermediate files of this package; true if there were any.
 
-    Executors of a cluster must all see it, so a cluster has to name one. Only a
-    local session without the setting (tests) gets a temporary folder.
+    Call it when no result that reads them is in use any more, by any session
+    that shares the folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root()
-    return f"{root.rstrip('/')}/reviewloom/{label}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.delete(path, True)
