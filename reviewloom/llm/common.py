@@ -45,15 +45,22 @@ def keyed_schema(docs: DataFrame, ddl: str) -> T.StructType:
 
 
 def map_batches(
-    df: DataFrame, schema: T.StructType | str, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]
+    df: DataFrame,
+    schema: T.StructType | str,
+    make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]],
+    rows: int | None = 512,
 ) -> DataFrame:
-    """Apply to every Arrow batch the function that ``make`` builds once per task."""
+    """Apply to every Arrow batch the function that ``make`` builds once per task.
+
+    It gets ``rows`` rows at a time, so that what it builds stays small next to the
+    batch, or the whole batch with ``rows=None``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            if batch.num_rows:
-                yield step(batch)
+            for start in range(0, batch.num_rows, rows or max(1, batch.num_rows)):
+                yield step(batch.slice(start, rows))
 
     return df.mapInArrow(run, schema)
 

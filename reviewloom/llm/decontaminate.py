@@ -204,7 +204,7 @@ def find_passages(
 
             return step
 
-        found = map_batches(found, schema, make)
+        found = map_batches(found, schema, make, rows=None)
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_words", hit.alias("n_hit"), "items", "spans")
 
@@ -276,7 +276,7 @@ def remove_passages(
     before, after = -1, 0
     while before < after:
         for block in sent:
-            found = map_batches(found, schema, cut(block))
+            found = map_batches(found, schema, cut(block), rows=None)
         if len(sent) == 1:
             break
         found = written(found, "decontaminated")

@@ -36,7 +36,7 @@ def encoded_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text") ->
         return count
 
     texts = as_bytes(columns(docs, text=text_col), "text")
-    return map_batches(texts, "length bigint, docs bigint", make)
+    return map_batches(texts, "length bigint, docs bigint", make, rows=None)
 
 
 def length_table(lengths: DataFrame) -> DataFrame:

@@ -146,7 +146,7 @@ def repeated_keys(texts: DataFrame, min_docs: int, max_bits: int = MAX_BITS) ->
     if min_docs < 2:
         raise ValueError("min_docs must be at least 2")
     # Counting newlines is cheap next to hashing lines.
-    newlines = F.length("text") - F.length(F.translate("text", "\n", ""))
+    newlines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     lines = texts.agg(F.sum(newlines + 1)).first()[0] or 0
     bits = filter_bits(lines, max_bits)
     raw = as_bytes(texts, "text")
@@ -172,7 +172,7 @@ def repeated_keys(texts: DataFrame, min_docs: int, max_bits: int = MAX_BITS) ->
         return count
 
     return (
-        map_batches(raw, "digest binary, docs bigint", make)
+        map_batches(raw, "digest binary, docs bigint", make, rows=None)
         .groupBy("digest")
         .agg(F.sum("docs").alias("docs"))
         .where(F.col("docs") >= min_docs)

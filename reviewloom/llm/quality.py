@@ -156,7 +156,7 @@ def references(docs: DataFrame, min_words: int = MIN_WORDS) -> dict[str, np.ndar
 
     names = [f"h{i}" for i in range(WIDTH)]
     schema = "lang string, " + ", ".join(f"{n} bigint" for n in names)
-    sums = map_batches(docs.select("text", "lang"), schema, make)
+    sums = map_batches(docs.select("text", "lang"), schema, make, rows=None)
     rows = sums.groupBy("lang").agg(*[F.sum(n).alias(n) for n in names]).collect()
     return {row.lang: np.array(row[1:], np.int64) for row in rows}
 

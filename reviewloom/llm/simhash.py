@@ -221,7 +221,7 @@ def near_links(points: DataFrame, max_bits: int = MAX_BITS, shard_points: int =
         pairs = np.array(found, np.uint64).reshape(-1, 2).view(np.int64)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    routed = map_batches(points, "shard bigint, point bigint, guest boolean", make)
+    routed = map_batches(points, "shard bigint, point bigint, guest boolean", make, rows=None)
     return routed.groupBy("shard").applyInArrow(link, "a bigint, b bigint")
 
 
