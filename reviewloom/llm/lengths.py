@@ -15,10 +15,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import as_bytes, columns, map_batches
+from reviewloom.llm.common import as_bytes, columns, map_batches, written
 from reviewloom.llm.tokens import encoder
 
-RANGE = 4096  # lengths per range
+RANGE = 64  # lengths per range
 
 
 def encoded_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
@@ -46,13 +46,14 @@ def length_table(lengths: DataFrame) -> DataFrame:
     of that length or more. ``docs_at_most``: of that length or less.
     ``tokens_cut``: all tokens left if every document is cut to that length.
     """
+    counted = lengths.groupBy("length").agg(F.sum("docs").alias("docs"))
+    # Written, as it is read twice and texts should be encoded once.
     table = (
-        lengths.groupBy("length")
-        .agg(F.sum("docs").alias("docs"))
+        written(counted, "lengths")
         .withColumn("tokens", F.col("length") * F.col("docs"))
         .withColumn("part", F.floor(F.col("length") / RANGE))
     )
-    # One row per range: the longest length / 4096 rows.
+    # One row per range of 64 lengths that occurs.
     above = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     parts = (
