@@ -59,7 +59,13 @@ def reserved_ids(tokenizer: str) -> dict[str, int]:
     return {mark: start + i for i, mark in enumerate(CONTROL)}
 
 
-SEGMENT = "role_ids array<int>, text_ids array<int>, role_chars bigint, text_chars bigint"
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Ids as lists take much memory: few rows at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 FORMATTED = """conv_id bigint, turn bigint, position bigint, ids array<int>,
   loss_mask array<boolean>, token_start bigint, char_start bigint, formatted string"""
 
@@ -86,19 +92,20 @@ def format_turns(
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer, specials_are_text=True)
         marks = reserved_ids(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             rows = batch.select(["role", "text"]).to_pylist()
             texts = [escape(r["text"].decode("utf-8", "replace")) for r in rows]
             roles = [escape(r["role"].decode("utf-8", "replace")) for r in rows]
             contents = tokens.encode_ids([t.encode() for t in texts])
-            names = tokens.encode_ids([r.encode() for r in roles])
+            spelled = [r for r in roles if r not in MARKS]
+            names = dict(zip(spelled, tokens.encode_ids([r.encode() for r in spelled])))
             ids, masks, formatted = [], [], []
-            for role, name, text, content in zip(roles, names, texts, contents):
+            for role, text, content in zip(roles, texts, contents):
                 if role in MARKS:
                     begin, end = MARKS[role]
                     head, opening = [marks[begin]], begin
                 else:
-                    head = [marks[ROLE], *name, marks[END_ROLE]]
+                    head = [marks[ROLE], *names[role], marks[END_ROLE]]
                     opening, end = f"{ROLE}{role}{END_ROLE}", END_TURN
                 ids.append([*head, *content, marks[end]])
                 lost = role == LOSS_ROLE

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import as_bytes, columns, map_batches, written
-from reviewloom.llm.tokens import encoder
+from reviewloom.llm.tokens import GROUP, encoder
 
 RANGE = 64  # lengths per range
 
@@ -29,7 +29,8 @@ def encoded_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text") ->
         width = tokens.dtype.itemsize
 
         def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sizes = [len(tokens.encode([t.as_py()])[0]) // width for t in batch.column(0)]
+            parts = [batch.slice(i, GROUP) for i in range(0, batch.num_rows, GROUP)]
+            sizes = [len(ids) // width for p in parts for ids in tokens.encode(p[0].to_pylist())]
             length, docs = np.unique(np.array(sizes, np.int64), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(length), pa.array(docs)], ["length", "docs"])
 

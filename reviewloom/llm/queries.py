@@ -219,7 +219,7 @@ def digest_conversations(turns: DataFrame, tokenizer: str) -> DataFrame:
             arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        for batch in batches:
+        for batch in chat.slices(batches):
             rows = []
             for turn in batch.select(["conv_id", "ids", "loss_mask", "formatted"]).to_pylist():
                 if state is None or turn["conv_id"] != current:

@@ -17,11 +17,12 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-WORDS_REMEMBERED = 400_000
+WORDS_REMEMBERED = 500_000
 # ASCII punctuation that may end a word; the apostrophe starts
 # contractions and the angle bracket and bar occur in names of special tokens.
 TAIL = b'!"#$%&()*+,-./:;=?@[\\]^_`{}~'
 WORDS_PER_CALL = 2000
+GROUP = 32  # texts whose new words are learnt together
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -41,10 +42,10 @@ class Encoder:
             config = json.load(file)
         self.size = size = self._tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        # Ids that end a pre-token, if the vocabulary marks word ends.
+        # Ids that end a pre-token, if the vocabulary marks word ends in lower case.
         suffix = config["model"].get("end_of_word_suffix")
         self._ends = None
-        if suffix:
+        if suffix and '"Lowercase"' in json.dumps(config["normalizer"]):
             self._ends = np.zeros(size, bool)
             for token, number in self._tokenizer.get_vocab().items():
                 self._ends[number] = token.endswith(suffix)
@@ -53,7 +54,8 @@ class Encoder:
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         if self._ends is not None:
-            return [self._by_words(t) if t else b"" for t in texts]
+            groups = [texts[i : i + GROUP] for i in range(0, len(texts), GROUP)]
+            return [ids for group in groups for ids in self._by_words(group)]
         decoded = [(t or b"").decode("utf-8", "replace") for t in texts]
         found = self._tokenizer.encode_batch(decoded, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
@@ -64,15 +66,15 @@ class Encoder:
     def decode(self, ids: list[int]) -> str:
         return self._tokenizer.decode(ids, skip_special_tokens=False)
 
-    def _by_words(self, text: bytes) -> bytes:
+    def _by_words(self, texts: list[bytes | None]) -> list[bytes]:
         if len(self._new) > WORDS_REMEMBERED:
             self._old, self._new = self._new, {}
-        words = text.split()
         known = self._new
-        missing = {w for w in words if w not in known}
+        words = [_lowered(text).split() if text else [] for text in texts]
+        missing = set().union(*words).difference(known)
         if missing:
             self._learn(missing)
-        return b"".join([known[w] for w in words])
+        return [b"".join(map(known.__getitem__, found)) for found in words]
 
     def _learn(self, words: set[bytes]) -> None:
         known, parts = self._new, {}
@@ -83,12 +85,14 @@ class Encoder:
                 parts[word] = self._parts(word)
         self._encode_parts({p for found in parts.values() for p in found if p not in known})
         for word, found in parts.items():
-            known[word] = b"".join([known[p] for p in found])
+            if len(found) > 1:
+                known[word] = known[found[0]] + known[found[1]]
+            elif found[0] is not word:
+                known[word] = known[found[0]]
 
     def _parts(self, word: bytes) -> tuple[bytes, ...]:
         """Letters in lower case and closing punctuation apart, where that is exact."""
         core = word.rstrip(TAIL)
-        tail = word[len(core) :]
         if core.isalpha():  # ASCII
             lower = core.lower()
         else:
@@ -97,7 +101,9 @@ class Encoder:
             if not letters.isalpha() or "\u03a3" in letters:
                 return (word,)
             lower = letters.lower().encode()
-        return (lower, tail) if tail else (lower,)
+        if len(core) < len(word):
+            return lower, word[len(core) :]
+        return (word,) if lower == word else (lower,)
 
     def _encode_parts(self, parts: set[bytes]) -> None:
         known, letters, others = self._new, [], []
@@ -126,6 +132,13 @@ class Encoder:
                 known[part] = np.array(encoding.ids, self.dtype).tobytes()
 
 
+def _lowered(text: bytes) -> bytes:
+    """The library composes characters, then lower-cases; A-Z can go first unless a
+    combining mark (bytes CC, CD) or a special token may be involved."""
+    plain = b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text
+    return text.lower() if plain else text
+
+
 def _chunks(items: list) -> list[list]:
     return [items[i : i + WORDS_PER_CALL] for i in range(0, len(items), WORDS_PER_CALL)]
 
@@ -142,14 +155,16 @@ def token_blocks(
     block: list[tuple] = []
     held = 0
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            data = tokens.encode([text.as_py()])[0]
-            ids = np.concatenate([np.frombuffer(data, tokens.dtype).astype("<u4"), end])
-            block.append((key, ids))
-            held += len(ids)
-            if held >= block_tokens:
-                yield block
-                block, held = [], 0
+        for start in range(0, batch.num_rows, GROUP):
+            part = batch.slice(start, GROUP)
+            encoded = tokens.encode(part.column(1).to_pylist())
+            for key, data in zip(part.column(0).to_pylist(), encoded):
+                ids = np.concatenate([np.frombuffer(data, tokens.dtype).astype("<u4"), end])
+                block.append((key, ids))
+                held += len(ids)
+                if held >= block_tokens:
+                    yield block
+                    block, held = [], 0
     if block:
         yield block
 
