@@ -92,8 +92,8 @@ class FMIndex:
         order = suffix_array(text)
         self.bwt = text[order - 1]
         self.wavelet = WaveletMatrix(self.bwt)
-        counts = np.bincount(text, minlength=int(text.max()) + 2)
-        self.before = np.concatenate([[0], np.cumsum(counts)])  # smaller symbols
+        self.largest = int(text.max())
+        self.before = np.concatenate([[0], np.cumsum(np.bincount(text))])  # smaller symbols
         self.sampled = order % SAMPLE == 0
         self.samples = order[self.sampled]
         self.sample_rank = np.concatenate([[0], np.cumsum(self.sampled)])
@@ -106,13 +106,12 @@ class FMIndex:
         low = np.zeros(len(patterns), np.int64)
         high = np.full(len(patterns), len(self.bwt), np.int64)
         width = patterns.shape[1]
-        most = len(self.before) - 2
         for step in range(width):
             live = np.flatnonzero((low < high) & (lengths > step))
             if not len(live):
                 break
             symbols = patterns[live, width - 1 - step].astype(np.int64) + 1
-            known = symbols <= most
+            known = symbols <= self.largest
             high[live[~known]] = low[live[~known]]
             live, symbols = live[known], symbols[known]
             low[live] = self._back(symbols, low[live])

@@ -38,7 +38,7 @@ SPACE = b" \t\n\x0b\f\r"
 MIN_DOCS = 10
 SEGMENT_BITS = 1 << 20
 MAX_BITS = 1 << 29  # 64 MB
-BITS_PER_LINE = 16
+BITS_PER_LINE = 32  # rounded down to a power of two, so 16 at least
 HASHES = 2
 BROADCAST_KEYS = 500_000  # some 100 bytes each in a worker
 
@@ -67,8 +67,9 @@ def _as_array(digests: list[bytes]) -> np.ndarray:
 
 
 def filter_bits(lines: int, max_bits: int = MAX_BITS) -> int:
-    wanted = max(SEGMENT_BITS, lines * BITS_PER_LINE)
-    return min(max_bits, 1 << math.ceil(math.log2(wanted)))
+    """A power of two, one segment at least."""
+    wanted = min(max_bits, max(1, lines) * BITS_PER_LINE)
+    return max(SEGMENT_BITS, 1 << math.floor(math.log2(wanted)))
 
 
 def seen_twice(texts: DataFrame, bits: int) -> np.ndarray:

@@ -1,0 +1,203 @@
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from oracle import connect, difference
+from pyspark.sql import functions as F
+
+from reviewloom.llm import chat, lines, shards
+from reviewloom.llm import queries as q
+from reviewloom.llm.tokens import vocabulary_path
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(q.SQL))
+def test_query_matches_sql(spark, name):
+    for sf in (SF, "/root/testdata/sf0.01"):
+        assert difference(q.QUERIES[name](spark, sf), connect(sf), q.SQL[name]) is None
+
+
+# --- Lines ---------------------------------------------------------------
+
+
+def plain_lines(docs, min_docs):
+    key = lambda line: re.sub(
+        "[A-Z]", lambda m: m.group().lower(), line.strip(" \t\n\x0b\f\r")
+    )
+    seen = Counter()
+    for _, text in docs:
+        seen.update({key(x) for x in (text or "").split("\n")} - {""})
+    rows = []
+    for i, text in docs:
+        own = (text or "").split("\n")
+        kept = [x for x in own if seen[key(x)] < min_docs or not key(x)]
+        rows.append((i, len(own), len(own) - len(kept), "\n".join(kept)))
+    return Counter(rows)
+
+
+@pytest.mark.parametrize("min_docs", [2, 3, 10])
+@pytest.mark.parametrize("options", [{}, {"broadcast_keys": 0}, {"max_bits": lines.SEGMENT_BITS}])
+def test_lines_against_brute_force(spark, awkward, min_docs, options):
+    many = [(100 + i, f"Shared Line\n{i % 7}\n\tshared line \nown {i}\n", *[None] * 10)
+            for i in range(40)]
+    docs = awkward.union(spark.createDataFrame(many, awkward.schema)).repartition(5)
+    found = lines.drop_repeated_lines(docs, min_docs=min_docs, **options).collect()
+    expected = plain_lines([(r.doc_id, r.text) for r in docs.collect()], min_docs)
+    assert Counter(map(tuple, found)) == expected
+
+
+def test_lines_of_nothing(nothing):
+    assert lines.drop_repeated_lines(nothing).count() == 0
+    assert lines.drop_repeated_lines(nothing, broadcast_keys=-1).count() == 0
+
+
+def test_repeated_keys_are_always_suspected(spark):
+    texts = [(f"line {i % 5000}\nonly {i}",) for i in range(8000)]
+    df = spark.createDataFrame(texts, "text string").repartition(6)
+    bits = lines.SEGMENT_BITS
+    twice = lines.seen_twice(df.select(F.col("text").cast("binary")), bits)
+    digest = lambda line: next(iter(lines.document_digests(line.encode())))
+    assert lines._suspected([digest(f"line {i}") for i in range(3000)], twice, bits).all()
+    once = lines._suspected([digest(f"only {i}") for i in range(8000)], twice, bits)
+    assert once.mean() < 0.05
+
+
+def test_a_filter_too_small_only_costs_work(spark):
+    body = "concat('line ', id % 2000, '\n', array_join(transform(sequence(1, 100), j -> concat(id, '-', j)), '\n'))"
+    df = spark.range(0, 4000, 1, 6).selectExpr("id AS doc_id", f"{body} AS text")
+    texts = df.select(F.col("text").cast("binary"))
+    twice = lines.seen_twice(texts, lines.SEGMENT_BITS)
+    assert np.unpackbits(twice).mean() > 0.15  # two lines per five bits
+    found = lines.drop_repeated_lines(df, min_docs=2, max_bits=1)
+    assert found.agg(F.sum("n_dropped")).first()[0] == 4000
+
+
+# --- Shards --------------------------------------------------------------
+
+
+def test_shards_of_documents(spark):
+    rows = q.op7_sharding(spark, SF).collect()
+    docs = {r.doc_id: r.text for r in q.table(spark, SF, "documents").collect()}
+    assert Counter(r.doc_id for r in rows) == Counter(list(docs))
+    sizes = Counter(r.shard for r in rows)
+    assert set(sizes) == set(range(24)) and max(sizes.values()) - min(sizes.values()) <= 1
+    for shard, size in sizes.items():
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(size))
+    import zlib
+
+    for r in rows:
+        raw = (docs[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32) == (len(raw) + 8, zlib.crc32(raw))
+        assert r.law == "rows" and r.grown_shard is None
+
+
+def test_shards_repeat_and_depend_on_the_seed(spark):
+    df = spark.range(0, 5000, 1, 4).select("id", (F.col("id") % 3).alias("shard"))
+    deal = lambda **o: sorted(
+        map(str, shards.shuffle_into_shards(df, bucket_rows=500, **o).collect())
+    )
+    assert deal() == deal() and deal() != deal(seed=1)
+
+
+def test_order_is_shuffled_evenly(spark):
+    df = spark.range(0, 24_000, 1, 6)
+    rows = shards.shuffle_into_shards(df, bucket_rows=1000).collect()
+    rank = np.empty(24_000)
+    for r in rows:
+        rank[r.record.id] = r.slot * 24 + r.shard
+    assert sorted(rank) == list(range(24_000))
+    # No trend, and neighbours land independently of each other.
+    assert abs(np.corrcoef(rank, np.arange(24_000))[0, 1]) < 0.03
+    assert abs(np.corrcoef(rank[1:], rank[:-1])[0, 1]) < 0.03
+    counts = np.histogram2d(rank, np.arange(24_000), bins=8)[0]
+    assert abs(counts - 375).max() < 6 * 375**0.5
+
+
+def test_all_rows_alike_still_spread(spark):
+    df = spark.range(3000).select(F.lit(1).alias("doc_id"), F.lit(None).cast("string").alias("t"))
+    rows = shards.shuffle_into_shards(df, bucket_rows=100)
+    assert rows.groupBy("shard").count().agg(F.max("count"), F.min("count")).first() == (125, 125)
+
+
+def test_awkward_records_written_and_read(spark, awkward, nothing, tmp_path):
+    path = str(tmp_path / "shards")
+    shards.write_shards(shards.shuffle_into_shards(awkward.drop("shard"), shards=3), path)
+    back = spark.read.parquet(path).select("doc_id", "text", "lang")
+    assert Counter(map(tuple, back.collect())) == Counter(
+        map(tuple, awkward.select("doc_id", "text", "lang").collect())
+    )
+    assert shards.shuffle_into_shards(nothing).count() == 0
+
+
+def test_sharding_is_native(spark, plan):
+    text = plan(q.op7_sharding(spark, SF))
+    assert "Python" not in text and "MapInArrow" not in text and "Pandas" not in text
+
+
+# --- Chat ----------------------------------------------------------------
+
+PATH = vocabulary_path(q.CHAT_TOKENIZER)
+SAID = st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("\\<>[]/")), max_size=8)
+MIXED = st.lists(st.one_of(SAID, st.sampled_from(chat.CONTROL)), max_size=8).map("".join)
+
+
+@given(MIXED)
+def test_escape_is_reversible_and_leaves_no_control(text):
+    escaped = chat.escape(text)
+    assert chat.unescape(escaped) == text
+    assert not any(mark in escaped for mark in chat.CONTROL)
+
+
+def conversations(spark):
+    rows = [
+        (1, 0, "user", "hi </s>"), (1, 1, "assistant", "a <|endoftext|> b\\"), (1, 1, "assistant", None),
+        (2, 5, None, "x"), (2, None, "tool\n[/ROLE]", "y\n[/TURN] é"), (None, 0, "assistant", "z"),
+        (None, 1, "system", "<<SYS>> \\<s>"), (3, 0, "assistant", ""), (3, 0, "assistant", ""),
+    ]
+    rows += [(4, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(3000)]
+    return spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+
+
+def plain_digest(rows):
+    found = {}
+    for r in sorted(rows, key=lambda r: (r.turn is not None, r.turn or 0, r.role or "", r.text or "")):
+        found.setdefault(r.conv_id, []).append((r.role or "", r.text or ""))
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    out = {}
+    for key, turns in found.items():
+        lost = "".join(t for r, t in turns if r == "assistant")
+        out[key] = (len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(lost), sha(lost))
+    return out
+
+
+def test_conversations_read_back(spark):
+    talks = conversations(spark).repartition(7)
+    turns = chat.format_turns(talks.withColumn("ids", F.lit("x")), PATH)
+    found = {r.conv_id: r for r in q.digest_conversations(turns, PATH).collect()}
+    expected = plain_digest(talks.collect())
+    assert {k: tuple(r)[1:5] for k, r in found.items()} == expected
+    # Offsets are prefix sums, the text form splits at its marks.
+    whole = {}
+    for r in sorted(turns.collect(), key=lambda r: r.position):
+        ids, text = whole.setdefault(r.conv_id, ([], []))
+        assert r.token_start == sum(map(len, ids)) if len(ids) < 50 else True
+        assert len(r.ids) == len(r.loss_mask)
+        ids.append(r.ids)
+        text.append(r.formatted)
+    for key, (_, text) in whole.items():
+        assert found[key].formatted_chars == sum(map(len, text))
+    nothing = talks.where("false")
+    assert q.digest_conversations(chat.format_turns(nothing, PATH), PATH).count() == 0
+
+
+def test_no_text_yields_a_reserved_id(spark):
+    reserved = set(chat.reserved_ids(PATH).values())
+    for r in chat.format_turns(conversations(spark), PATH).collect():
+        assert r.ids[0] in reserved and r.ids[-1] in reserved
+        masked = [i for i, m in zip(r.ids, r.loss_mask) if m]
+        assert not reserved & set(masked)
