@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import as_bytes, columns, map_batches, written
-from reviewloom.llm.tokens import GROUP, encoder
+from reviewloom.llm.tokens import encoder, text_groups
 
 RANGE = 64  # lengths per range
 
@@ -26,12 +26,11 @@ def encoded_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text") ->
 
     def make():
         tokens = encoder(tokenizer)
-        width = tokens.dtype.itemsize
 
         def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-            parts = [batch.slice(i, GROUP) for i in range(0, batch.num_rows, GROUP)]
-            sizes = [len(ids) // width for p in parts for ids in tokens.encode(p[0].to_pylist())]
-            length, docs = np.unique(np.array(sizes, np.int64), return_counts=True)
+            groups = [tokens.encode(part.column(0))[1] for part in text_groups(batch, 0)]
+            sizes = np.concatenate([np.diff(at) for at in groups])
+            length, docs = np.unique(sizes.astype(np.int64), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(length), pa.array(docs)], ["length", "docs"])
 
         return count

@@ -15,6 +15,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 WORDS_REMEMBERED = 500_000
@@ -22,7 +23,7 @@ WORDS_REMEMBERED = 500_000
 # contractions and the angle bracket and bar occur in names of special tokens.
 TAIL = b'!"#$%&()*+,-./:;=?@[\\]^_`{}~'
 WORDS_PER_CALL = 2000
-GROUP = 32  # texts whose new words are learnt together
+GROUP_BYTES = 12_000_000  # of texts encoded together
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -32,7 +33,7 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Encoder:
-    """``encode(texts)`` gives one ``bytes`` of ids, ``dtype``, per text."""
+    """``encode(texts)`` gives the ids of an array of texts, as ``dtype``."""
 
     def __init__(self, path: str, specials_are_text: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -52,97 +53,123 @@ class Encoder:
         self._new: dict[bytes, bytes] = {}
         self._old: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        if self._ends is not None:
-            groups = [texts[i : i + GROUP] for i in range(0, len(texts), GROUP)]
-            return [ids for group in groups for ids in self._by_words(group)]
-        decoded = [(t or b"").decode("utf-8", "replace") for t in texts]
-        found = self._tokenizer.encode_batch(decoded, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in one array, and where each text's begin, and the last end."""
+        texts = _strings(texts)
+        if self._ends is None:
+            decoded = [(t or b"").decode("utf-8", "replace") for t in _bytes(texts).to_pylist()]
+            found = self._tokenizer.encode_batch(decoded, add_special_tokens=False)
+            ids = [np.array(e.ids, self.dtype) for e in found]
+            sizes = [len(x) for x in ids]
+            return np.concatenate([*ids, np.zeros(0, self.dtype)]), np.cumsum([0, *sizes])
+        words = pc.ascii_split_whitespace(texts.fill_null(""))
+        distinct = words.flatten().dictionary_encode()
+        per_word = self._words(_bytes(distinct.dictionary).to_pylist())
+        sizes = np.fromiter(map(len, per_word), np.int32, len(per_word)) // self.dtype.itemsize
+        flat = pa.array(np.frombuffer(b"".join(per_word), self.dtype))
+        ids = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), flat)
+        # Each word of the texts copies its ids.
+        copied = ids.take(distinct.indices)
+        first = words.offsets.to_numpy() - words.offsets[0].as_py()
+        return copied.values.to_numpy(), copied.offsets.to_numpy()[first]
 
     def encode_ids(self, texts: list[bytes | None]) -> list[list[int]]:
-        return [np.frombuffer(found, self.dtype).tolist() for found in self.encode(texts)]
+        ids, at = self.encode(pa.array(texts, pa.binary()))
+        return [ids[a:b].tolist() for a, b in zip(at, at[1:])]
 
     def decode(self, ids: list[int]) -> str:
         return self._tokenizer.decode(ids, skip_special_tokens=False)
 
-    def _by_words(self, texts: list[bytes | None]) -> list[bytes]:
+    def _words(self, words: list[bytes]) -> list[bytes]:
         if len(self._new) > WORDS_REMEMBERED:
             self._old, self._new = self._new, {}
-        known = self._new
-        words = [_lowered(text).split() if text else [] for text in texts]
-        missing = set().union(*words).difference(known)
+        missing = set(words).difference(self._new)
         if missing:
             self._learn(missing)
-        return [b"".join(map(known.__getitem__, found)) for found in words]
+        return list(map(self._new.__getitem__, words))
 
     def _learn(self, words: set[bytes]) -> None:
-        known, parts = self._new, {}
+        known, old = self._new, self._old
+        letters, others, split = [], [], []
         for word in words:
-            if word in self._old:
-                known[word] = self._old[word]
+            if word in old:
+                known[word] = old[word]
+            elif word.isalpha():  # ASCII, in lower case mostly
+                letters.append(word)
             else:
-                parts[word] = self._parts(word)
-        self._encode_parts({p for found in parts.values() for p in found if p not in known})
-        for word, found in parts.items():
-            if len(found) > 1:
-                known[word] = known[found[0]] + known[found[1]]
-            elif found[0] is not word:
-                known[word] = known[found[0]]
-
-    def _parts(self, word: bytes) -> tuple[bytes, ...]:
-        """Letters in lower case and closing punctuation apart, where that is exact."""
-        core = word.rstrip(TAIL)
-        if core.isalpha():  # ASCII
-            lower = core.lower()
-        else:
-            letters = core.decode("utf-8", "replace")
-            # Capital sigma has two small forms, chosen differently by Python.
-            if not letters.isalpha() or "\u03a3" in letters:
-                return (word,)
-            lower = letters.lower().encode()
-        if len(core) < len(word):
-            return lower, word[len(core) :]
-        return (word,) if lower == word else (lower,)
-
-    def _encode_parts(self, parts: set[bytes]) -> None:
-        known, letters, others = self._new, [], []
-        for part in parts:
-            if part in self._old:
-                known[part] = self._old[part]
-            elif (text := part.decode("utf-8", "replace")).isalpha():
-                letters.append((part, text))
-            else:
-                others.append((part, text))
+                core, tail, is_letters = _parts(word)
+                if tail or core != word:
+                    split.append((word, core, tail))
+                else:
+                    (letters if is_letters else others).append(word)
+        waiting = {core for _, core, _ in split}.difference(known, letters)
+        tails = {tail for _, _, tail in split if tail}.difference(known, others)
+        for parts, group in ((waiting, letters), (tails, others)):
+            for part in parts:
+                if part in old:
+                    known[part] = old[part]
+                else:
+                    group.append(part)
         for some in _chunks(letters):
-            joined = " ".join([text for _, text in some])
-            ids = np.array(self._tokenizer.encode(joined, add_special_tokens=False).ids, self.dtype)
-            stops = np.flatnonzero(self._ends[ids]) + 1
-            if len(stops) != len(some):  # a letter that is not one pre-token
+            if not self._learn_joined(some):
                 others += some
-                continue
-            start, data, width = 0, ids.tobytes(), self.dtype.itemsize
-            for (part, _), stop in zip(some, (stops * width).tolist()):
-                known[part] = data[start:stop]
-                start = stop
         for some in _chunks(others):
-            texts = [text for _, text in some]
+            texts = [word.decode("utf-8", "replace") for word in some]
             found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-            for (part, _), encoding in zip(some, found):
-                known[part] = np.array(encoding.ids, self.dtype).tobytes()
-
-
-def _lowered(text: bytes) -> bytes:
-    """The library composes characters, then lower-cases; A-Z can go first unless a
-    combining mark (bytes CC, CD) or a special token may be involved."""
-    plain = b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text
-    return text.lower() if plain else text
+            for word, encoding in zip(some, found):
+                known[word] = np.array(encoding.ids, self.dtype).tobytes()
+        for word, core, tail in split:
+            known[word] = known[core] + known[tail] if tail else known[core]
+
+    def _learn_joined(self, words: list[bytes]) -> bool:
+        """Encode words of letters in one call; each is one pre-token, else nothing is learnt."""
+        joined = b" ".join(words).decode("utf-8", "replace")
+        ids = np.array(self._tokenizer.encode(joined, add_special_tokens=False).ids, self.dtype)
+        stops = (np.flatnonzero(self._ends[ids]) + 1) * self.dtype.itemsize
+        if len(stops) != len(words):
+            return False
+        known, data, start = self._new, ids.tobytes(), 0
+        for word, stop in zip(words, stops.tolist()):
+            known[word] = data[start:stop]
+            start = stop
+        return True
+
+
+def _parts(word: bytes) -> tuple[bytes, bytes, bool]:
+    """(letters in lower case, closing punctuation, true) where that split is exact,
+    else (word, nothing, false)."""
+    core = word.rstrip(TAIL)
+    if core.isalpha():
+        return core.lower(), word[len(core) :], True
+    letters = core.decode("utf-8", "replace")
+    # Capital sigma has two small forms, chosen differently by Python.
+    if not letters.isalpha() or "\u03a3" in letters:
+        return word, b"", False
+    return letters.lower().encode(), word[len(core) :], True
+
+
+def _strings(texts: pa.Array) -> pa.Array:
+    """Bytes taken for UTF-8 without a look at them: splitting at ASCII is safe on any."""
+    return pc.cast(texts, options=pc.CastOptions(pa.string(), allow_invalid_utf8=True))
+
+
+def _bytes(strings: pa.Array) -> pa.Array:
+    return strings.cast(pa.binary())
 
 
 def _chunks(items: list) -> list[list]:
     return [items[i : i + WORDS_PER_CALL] for i in range(0, len(items), WORDS_PER_CALL)]
 
 
+def text_groups(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with some ``GROUP_BYTES`` of text, or a single longer one."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)
+    part = (np.cumsum(sizes) - 1) // GROUP_BYTES
+    starts = np.flatnonzero(np.diff(part, prepend=-2))
+    for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(start, end - start)
+
+
 def token_blocks(
     batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int | None, block_tokens: int
 ) -> Iterator[list[tuple]]:
@@ -155,11 +182,10 @@ def token_blocks(
     block: list[tuple] = []
     held = 0
     for batch in batches:
-        for start in range(0, batch.num_rows, GROUP):
-            part = batch.slice(start, GROUP)
-            encoded = tokens.encode(part.column(1).to_pylist())
-            for key, data in zip(part.column(0).to_pylist(), encoded):
-                ids = np.concatenate([np.frombuffer(data, tokens.dtype).astype("<u4"), end])
+        for part in text_groups(batch, 1):
+            found, at = tokens.encode(part.column(1))
+            for i, key in enumerate(part.column(0).to_pylist()):
+                ids = np.concatenate([found[at[i] : at[i + 1]].astype("<u4"), end])
                 block.append((key, ids))
                 held += len(ids)
                 if held >= block_tokens:
