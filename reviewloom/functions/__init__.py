@@ -11,7 +11,7 @@ from reviewloom.functions.text import (
     ascii_fold,
     clean_review,
     clean_review_native,
-    clean_review_staged,
+    clean_review_once,
     register_functions,
 )
 
@@ -19,7 +19,7 @@ __all__ = [
     "ascii_fold",
     "clean_review",
     "clean_review_native",
-    "clean_review_staged",
+    "clean_review_once",
     "is_not_blank",
     "is_not_placeholder",
     "is_present",

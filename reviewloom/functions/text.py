@@ -1,6 +1,6 @@
 """Text cleaning.
 
-Three ways to get the same cleaned text, from fastest to most literal:
+Two ways to get the same cleaned text:
 
 ``clean_review``
     One Arrow UDF: the Unicode fold plus a few linear-time RE2 passes over whole
@@ -10,9 +10,6 @@ Three ways to get the same cleaned text, from fastest to most literal:
     quadratic on text such as a long run of ``<``.
 ``clean_review_native``
     The fold, then the same reduced chain as JVM column expressions.
-``clean_review_staged``
-    Every stage in order, including those later stages make redundant. It is
-    the yardstick the other two are tested against.
 
 Each stage is also a public ``Column -> Column`` function. Stages after the
 fold are defined on ASCII text; word boundaries are spelled out as ASCII so the
@@ -58,9 +55,7 @@ def _sub(c: Column, pattern: str, replacement: str = " ") -> Column:
 def _arrow_text_udf(*rules: tuple[str, str], lower: bool = False):
     """Fold to ASCII, then apply RE2 ``(pattern, replacement)`` rules in order.
 
-    The body is a closure so that it ships to executors by value. It is marked
-    non-deterministic (it is not) because Catalyst would otherwise push a
-    filter on the result below the projection and run the UDF twice per row.
+    The body is a closure so that it ships to executors by value.
     """
     non_ascii = NON_ASCII
 
@@ -80,11 +75,11 @@ def _arrow_text_udf(*rules: tuple[str, str], lower: bool = False):
             texts = pc.ascii_lower(pc.ascii_trim(texts, " "))
         return texts.take(distinct.indices)
 
-    return F.arrow_udf(run, T.StringType()).asNondeterministic()
+    return F.arrow_udf(run, T.StringType())
 
 
 _fold_udf = _arrow_text_udf()
-_clean_udf = _arrow_text_udf(
+_CLEAN_RULES = (
     (HTML_TAG, " "),
     (URL, " "),
     (CAMEL, r"\1 \2"),
@@ -94,8 +89,11 @@ _clean_udf = _arrow_text_udf(
     (r"\b[a-zA-Z]\b ?", ""),
     (r"xxx+", " "),
     (r"  +", " "),
-    lower=True,
 )
+_clean_udf = _arrow_text_udf(*_CLEAN_RULES, lower=True)
+# The same, marked non-deterministic (it is not): Catalyst would push a filter on
+# its result below the projection and clean every row twice.
+_clean_once_udf = _arrow_text_udf(*_CLEAN_RULES, lower=True).asNondeterministic()
 
 
 def ascii_fold(c: Column) -> Column:
@@ -104,11 +102,16 @@ def ascii_fold(c: Column) -> Column:
 
 
 def clean_review(c: Column) -> Column:
-    """Fully cleaned text: '' or words of [a-z] joined by single spaces.
+    """Fully cleaned text: '' or words of [a-z] joined by single spaces."""
+    return _clean_udf(c)
+
+
+def clean_review_once(c: Column) -> Column:
+    """``clean_review`` for a column that is filtered on next.
 
-    Select it into a column before joining on it.
+    No filter above it reaches the scan: apply those on other columns before.
     """
-    return _clean_udf(c)
+    return _clean_once_udf(c)
 
 
 def register_functions(spark: SparkSession) -> None:
@@ -183,28 +186,3 @@ def clean_review_native(c: Column) -> Column:
     c = F.mask(c, as_is, as_is, F.lit(" "), F.lit(" "))  # all but letters blanked out
     c = _sub(strip_single_letters(c), r"x{3,}")
     return lower_trim(_sub(c, r" {2,}"))
-
-
-def clean_review_staged(c: Column) -> Column:
-    """Every stage, in order, none merged or left out."""
-    stages = [
-        F.trim,
-        ascii_fold,
-        strip_html,
-        strip_urls,
-        strip_punct_runs,
-        strip_hyphens,
-        strip_digits,
-        lambda t: split_camel(t, ". "),
-        strip_non_alpha,
-        strip_single_letters,
-        collapse_whitespace,
-        strip_char_runs,
-        lambda t: split_camel(t, ". "),
-        collapse_whitespace,
-        space_dots,
-        lower_trim,
-    ]
-    for stage in stages:
-        c = stage(c)
-    return c

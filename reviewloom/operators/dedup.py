@@ -30,10 +30,14 @@ def best_rating_per(df: DataFrame, keys: Sequence[str], rating: str = "rating")
     return df.groupBy(*keys).agg(F.max(rating).alias(rating))
 
 
-def best_rating_per_digest(df: DataFrame, text: str, rating: str = "rating") -> DataFrame:
-    """As ``best_rating_per(df, [text])`` when the text itself is not wanted.
+def digest_of(df: DataFrame, text: str, *others: str) -> DataFrame:
+    """``digest`` in place of a text that is not wanted itself, and other columns.
 
-    Shuffles a 32-byte SHA-256 digest in place of the text.
+    What is shuffled by it is a 32-byte SHA-256, not the text.
     """
-    digest = F.unhex(F.sha2(F.col(text), 256)).alias("digest")
-    return df.select(digest, rating).groupBy("digest").agg(F.max(rating).alias(rating))
+    return df.select(F.unhex(F.sha2(F.col(text), 256)).alias("digest"), *others)
+
+
+def best_rating_per_digest(df: DataFrame, text: str, rating: str = "rating") -> DataFrame:
+    """As ``best_rating_per(df, [text])``, by digest."""
+    return best_rating_per(digest_of(df, text, rating), ["digest"], rating)

@@ -4,10 +4,11 @@ Lists become an ``IN`` set that reaches the scan. Key tables become semi / anti
 joins without a broadcast hint: Catalyst broadcasts a side only when its size
 is known to be under ``spark.sql.autoBroadcastJoinThreshold``. Above that both
 sides shuffle on the key; a key held by a large share of the rows is split by
-adaptive execution, or up front with ``salts``.
+adaptive execution, or up front, row by row, with ``salts``.
 
 A row whose own key is NULL is neither listed nor unlisted in SQL. ``drop_*``
-therefore loses it by default; ``null_key="keep"`` keeps it.
+therefore loses it by default; ``null_key="keep"`` keeps it, and such rows are
+spread over all reducers instead of meeting in one.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 
 KEPT = "kept"
 QUARANTINE = "quarantine"
+CORRUPT = "corrupt"
+NULL_SALTS = 1 << 16  # rows with a NULL key match nothing, so they may go anywhere
 
 
 def _check(null_key: str) -> None:
@@ -45,37 +48,63 @@ def drop_listed(
 
 
 def _join(df: DataFrame, keys: DataFrame, key: str, how: str, salts: int) -> DataFrame:
-    keys = keys.select(key)
-    if salts <= 1:
-        return df.join(keys, key, how)
-    # Rows of one key go to `salts` reducers, each with its own copy of the key.
-    # The salt is the input partition, so equal rows spread too, and any salt a
-    # retried task might pick finds the same keys.
-    rows = df.withColumn("_salt", F.spark_partition_id() % salts)
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    copies = keys.distinct().withColumn("_salt", every_salt)
-    return rows.join(copies, [key, "_salt"], how).select(*df.columns)
+    """Rows of one key go to ``salts`` reducers, each with its own copy of the key.
+
+    The salt is a row's number, so rows of one input partition spread too; any
+    number a retried task might give finds the same keys.
+    """
+    number = F.monotonically_increasing_id()
+    salt = F.when(F.col(key).isNull(), number % NULL_SALTS).otherwise(number % salts)
+    every_salt = F.explode(F.expr(f"sequence(0L, {salts - 1}L)"))
+    copies = keys.withColumn("_salt", every_salt)
+    return df.withColumn("_salt", salt).join(copies, [key, "_salt"], how).drop("_salt")
 
 
 def keep_matching(df: DataFrame, keys: DataFrame, key: str, salts: int = 1) -> DataFrame:
-    return _join(df, keys, key, "left_semi", salts)
+    keys = keys.select(key)
+    if salts <= 1:
+        return df.join(keys, key, "left_semi")
+    rows = df.where(F.col(key).isNotNull())
+    return _join(rows, keys.distinct(), key, "left_semi", salts).select(*df.columns)
 
 
 def drop_matching(
     df: DataFrame, keys: DataFrame, key: str, null_key: str = "drop", salts: int = 1
 ) -> DataFrame:
     _check(null_key)
+    keys = keys.select(key)
     if null_key == "drop":
         df = df.where(F.col(key).isNotNull())
-    return _join(df, keys, key, "left_anti", salts)
+        if salts <= 1:
+            return df.join(keys, key, "left_anti")
+    return _join(df, keys.distinct(), key, "left_anti", max(1, salts)).select(*df.columns)
 
 
 def with_split(
-    df: DataFrame, key: str, ids: Iterable[str], null_key: str = "drop"
+    df: DataFrame,
+    key: str,
+    ids: Iterable[str] | DataFrame,
+    null_key: str = "drop",
+    salts: int = 1,
 ) -> DataFrame:
-    """Add a ``split`` column so both sides can be written in one pass."""
+    """Add a ``split`` column so both sides can be written in one pass.
+
+    ``ids`` is a list, or a table with the column ``key``.
+    """
     _check(null_key)
     if null_key == "drop":
         df = df.where(F.col(key).isNotNull())
-    listed = F.coalesce(is_listed(key, ids), F.lit(False))
-    return df.withColumn("split", F.when(listed, QUARANTINE).otherwise(KEPT))
+    if isinstance(ids, DataFrame):
+        marked = ids.select(key).distinct().withColumn("_listed", F.lit(True))
+        rows = _join(df, marked, key, "left", max(1, salts))
+        listed = F.coalesce(F.col("_listed"), F.lit(False))
+    else:
+        rows, listed = df, F.coalesce(is_listed(key, ids), F.lit(False))
+    split = F.when(listed, QUARANTINE).otherwise(KEPT).alias("split")
+    return rows.select(*df.columns, split)
+
+
+def split_by_reason(df: DataFrame, reason: str = "reason") -> DataFrame:
+    """Rows that have a ``reason`` go to the corrupt side, others stay on their side."""
+    side = F.col("split") if "split" in df.columns else F.lit(KEPT)
+    return df.withColumn("split", F.when(F.col(reason).isNotNull(), CORRUPT).otherwise(side))

@@ -57,6 +57,9 @@ def _sql_sub(expr: str, pattern: str, replacement: str = " ") -> str:
     return f"regexp_replace({expr}, '{pattern}', '{replacement}', 'g')"
 
 
+# Fixed values in the next functions: band edges, patterns, placeholders.
+
+
 def _sql_label(rating: str) -> str:
     return (
         f"CASE WHEN {rating} IS NULL THEN 'unknown' "
@@ -211,6 +214,10 @@ SELECT doc_id,
 FROM reviews""",
 )
 def split_corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flagged(spark, sf_dir).select("doc_id", "body", "rating", "reason")
+
+
+def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lines with missing fields, extra fields and ratings that are no number."""
     path = scratch_path(spark, "split_corrupt_rows")
     body = r"""coalesce('"' || replace(review_content, '"', '""') || '"', '')"""
@@ -223,9 +230,28 @@ def split_corrupt_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             END AS value"""
     ).write.text(path)
     flagged = csv.scan_flagged(spark, path, ["doc_id", "body", "rating"], header=False)
-    return flagged.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "body", "rating", "reason"
+    return flagged.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+_SPLIT_CORRUPT_SQL = CATALOG["split_corrupt_rows"].sql
+
+
+@query(
+    "split_corrupt_written",
+    f"""SELECT *, CASE WHEN reason IS NULL THEN 'kept' ELSE 'corrupt' END AS side
+FROM ({_SPLIT_CORRUPT_SQL})""",
+)
+def split_corrupt_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both halves, written in one pass over the source and read back one by one."""
+    path = scratch_path(spark, "split_corrupt_written")
+    split = keysplit.split_by_reason(_flagged(spark, sf_dir))
+    sinks.write_split(split, path, "parquet")
+    schema = "doc_id bigint, body string, rating double, reason string"
+    kept, corrupt = (
+        csv.scan_side(spark, path, side, schema, "parquet").withColumn("side", F.lit(side))
+        for side in (keysplit.KEPT, keysplit.CORRUPT)
     )
+    return kept.union(corrupt)
 
 
 # --- Sinks ---------------------------------------------------------------
@@ -270,7 +296,7 @@ SELECT sentiment, count(*) AS reviews FROM gold GROUP BY sentiment""",
 )
 def sink_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "sink_single_file")
-    report = layers.gold_counts(views.reviews(spark, sf_dir), CORRUPT_IDS)
+    report = sentiment_counts(spark, sf_dir)
     sinks.write_report(report, path)
     return csv.scan_lossless(spark, path, "sentiment string, reviews bigint")
 
@@ -278,8 +304,8 @@ def sink_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("publish_gold", f"WITH {_sql_gold(True)} SELECT review_body, sentiment FROM gold")
 def publish_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "training_dataset")
-    sinks.publish(layers.gold(views.reviews(spark, sf_dir), CORRUPT_IDS), path)
-    return csv.scan_lossless(spark, path, "review_body string, sentiment string")
+    sinks.publish(gold_training_set(spark, sf_dir), path)
+    return csv.scan_lossless(spark, path, layers.GOLD_SCHEMA, multi_line=False)
 
 
 # --- Projections ---------------------------------------------------------
@@ -369,6 +395,47 @@ def keep_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keysplit.drop_matching(views.reviews(spark, sf_dir), keys, "doc_id")
 
 
+@query("quarantine_semi_salted", CATALOG["quarantine_semi"].sql)
+def quarantine_semi_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = views.toxic_documents(spark, sf_dir)
+    return keysplit.keep_matching(views.reviews(spark, sf_dir), keys, "doc_id", salts=8)
+
+
+@query("keep_anti_salted", CATALOG["keep_anti"].sql)
+def keep_anti_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = views.toxic_documents(spark, sf_dir)
+    return keysplit.drop_matching(views.reviews(spark, sf_dir), keys, "doc_id", salts=8)
+
+
+_DOC_KEY = "CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id END AS doc_key"
+
+
+@query(
+    "keep_anti_keep_null",
+    f"""WITH {REVIEWS_SQL}, keyed AS (SELECT *, {_DOC_KEY} FROM reviews)
+SELECT {REVIEW_COLUMNS_SQL}, doc_key FROM keyed
+WHERE doc_key IS NULL OR doc_key NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
+)
+def keep_anti_keep_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all rows has no key and stays."""
+    keys = views.toxic_documents(spark, sf_dir).withColumnRenamed("doc_id", "doc_key")
+    rows = views.reviews(spark, sf_dir).selectExpr("*", _DOC_KEY)
+    return keysplit.drop_matching(rows, keys, "doc_key", null_key="keep")
+
+
+@query(
+    "split_by_key_table",
+    f"""WITH {REVIEWS_SQL}, keyed AS (SELECT *, {_DOC_KEY} FROM reviews)
+SELECT {REVIEW_COLUMNS_SQL}, doc_key, CASE WHEN doc_key IN (
+    SELECT doc_id FROM labels WHERE toxic = 1) THEN 'quarantine' ELSE 'kept' END AS split
+FROM keyed""",
+)
+def split_by_key_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = views.toxic_documents(spark, sf_dir).withColumnRenamed("doc_id", "doc_key")
+    rows = views.reviews(spark, sf_dir).selectExpr("*", _DOC_KEY)
+    return keysplit.with_split(rows, "doc_key", keys, null_key="keep", salts=4)
+
+
 def _register_gate(name: str, predicate: Callable[[Column], Column], condition: str) -> None:
     @query(
         name,
@@ -545,7 +612,17 @@ _register_stage(
     "clean_full_reviews", text.clean_review, *_REVIEWS, _sql_clean("review_content")
 )
 _register_stage("clean_full_native", text.clean_review_native, *_DOCS, _sql_clean("text"))
-_register_stage("clean_full_staged", text.clean_review_staged, *_PAGES, _sql_clean("html"))
+
+
+def _stage_by_stage(c: Column) -> Column:
+    """The single stages in a row, without those that change nothing in the end."""
+    c = text.split_camel(text.strip_urls(text.strip_html(text.ascii_fold(c))))
+    c = text.strip_single_letters(text.strip_non_alpha(c))
+    c = text.strip_char_runs(text.collapse_whitespace(c))
+    return text.lower_trim(text.collapse_whitespace(c))
+
+
+_register_stage("clean_full_staged", _stage_by_stage, *_PAGES, _sql_clean("html"))
 
 
 @query(
@@ -559,6 +636,41 @@ def clean_full_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT doc_id, clean_review(text) AS cleaned FROM {docs}", docs=docs)
 
 
+@query(
+    "clean_sql_aggregate",
+    f"""SELECT count(DISTINCT {_sql_clean('text')}) AS bodies,
+  max(length({_sql_clean('text')})) AS longest FROM documents""",
+)
+def clean_sql_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text.register_functions(spark)
+    docs = views.table(spark, sf_dir, "documents")
+    return spark.sql(
+        """SELECT count(DISTINCT clean_review(text)) AS bodies,
+             CAST(max(length(clean_review(text))) AS bigint) AS longest FROM {docs}""",
+        docs=docs,
+    )
+
+
+@query(
+    "clean_sql_join",
+    f"""WITH cleaned AS (SELECT doc_id, {_sql_clean('text')} AS body FROM documents),
+firsts AS (SELECT body, min(doc_id) AS first_id FROM cleaned GROUP BY body)
+SELECT doc_id, first_id FROM cleaned JOIN firsts USING (body)""",
+)
+def clean_sql_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document and the first one with the same cleaned text."""
+    text.register_functions(spark)
+    docs = views.table(spark, sf_dir, "documents")
+    return spark.sql(
+        """WITH firsts AS (
+             SELECT clean_review(text) AS body, min(doc_id) AS first_id
+             FROM {docs} GROUP BY clean_review(text))
+           SELECT d.doc_id, f.first_id FROM {docs} d
+           JOIN firsts f ON clean_review(d.text) = f.body""",
+        docs=docs,
+    )
+
+
 @query(
     "repair_mojibake",
     "SELECT doc_id, '₹' || n_chars || ' ' || text || ' ₹' AS repaired FROM documents",
@@ -599,7 +711,8 @@ def explode_merged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT sentiment, count(*) AS reviews FROM gold GROUP BY sentiment""",
 )
 def sentiment_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers.gold_counts(views.reviews(spark, sf_dir), CORRUPT_IDS)
+    texts, ratings = views.review_texts(spark, sf_dir), views.ratings(spark, sf_dir)
+    return layers.gold_counts(texts, CORRUPT_IDS, ratings=ratings)
 
 
 @query(
@@ -649,12 +762,14 @@ SELECT DISTINCT user_id, product_id, review_content, rating
 FROM s WHERE {_sql_gate('review_content')}""",
 )
 def silver_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers.silver(views.reviews(spark, sf_dir), CORRUPT_IDS)
+    texts, ratings = views.review_texts(spark, sf_dir), views.ratings(spark, sf_dir)
+    return layers.silver(texts, CORRUPT_IDS, ratings=ratings)
 
 
 @query("gold_training_set", f"WITH {_sql_gold(True)} SELECT review_body, sentiment FROM gold")
 def gold_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers.gold(views.reviews(spark, sf_dir), CORRUPT_IDS)
+    texts, ratings = views.review_texts(spark, sf_dir), views.ratings(spark, sf_dir)
+    return layers.gold(texts, CORRUPT_IDS, ratings=ratings)
 
 
 @query(
@@ -662,7 +777,8 @@ def gold_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {_sql_gold(False)} SELECT review_body, sentiment FROM gold",
 )
 def gold_training_set_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return layers.gold(views.reviews(spark, sf_dir))
+    texts, ratings = views.review_texts(spark, sf_dir), views.ratings(spark, sf_dir)
+    return layers.gold(texts, ratings=ratings)
 
 
 def _published(
@@ -680,7 +796,27 @@ def _published(
 def files_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _published(spark, sf_dir, CORRUPT_IDS, "drop", "csv")
     return csv.scan_lossless(
-        spark, f"{gold}/training_dataset", "review_body string, sentiment string"
+        spark, f"{gold}/training_dataset", layers.GOLD_SCHEMA, multi_line=False
+    )
+
+
+@query("files_to_gold_padded", f"WITH {_sql_gold(True)} SELECT review_body, sentiment FROM gold")
+def files_to_gold_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a file with padded ids, and quoted texts after a space, by the key filter."""
+    source, silver, gold = (scratch_path(spark, n) for n in ("source", "silver", "gold"))
+    rows = views.review_file(spark, sf_dir)
+    quoted = {c: F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')) for c in rows.columns}
+    cells = [
+        F.coalesce(F.concat(F.lit('  "'), q, F.lit('"')), F.lit("  "))
+        if c != "product_id" else F.concat(F.lit("  "), F.coalesce(c, F.lit("")), F.lit(" "))
+        for c, q in quoted.items()
+    ]
+    lines = rows.select(F.concat_ws(",", *cells).alias("value"))
+    lines.write.text(source)
+    layers.bronze_to_silver(spark, source, silver, CORRUPT_IDS, header=False)
+    layers.silver_to_gold(spark, silver, gold)
+    return csv.scan_lossless(
+        spark, f"{gold}/training_dataset", layers.GOLD_SCHEMA, multi_line=False
     )
 
 

@@ -21,14 +21,21 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("target")
     parser.add_argument("--known-corrupt", action="store_true",
                         help="quarantine the known corrupt products (bronze-to-silver)")
+    parser.add_argument("--corrupt-keys", metavar="PATH",
+                        help="quarantine the products in this Parquet table (product_id)")
+    parser.add_argument("--corrupt-aside", action="store_true",
+                        help="set rows that do not parse aside, with the reason")
     parser.add_argument("--format", default="csv", help="gold format (silver-to-gold)")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"reviewloom {args.step}").getOrCreate()
     if args.step == "bronze-to-silver":
         ids = CORRUPT_PRODUCT_IDS if args.known_corrupt else []
-        null_key = "drop" if args.known_corrupt else "keep"
-        bronze_to_silver(spark, args.source, args.target, ids, null_key)
+        if args.corrupt_keys:
+            known = spark.createDataFrame([(i,) for i in ids], "product_id string")
+            ids = spark.read.parquet(args.corrupt_keys).select("product_id").union(known)
+        null_key = "drop" if args.known_corrupt or args.corrupt_keys else "keep"
+        bronze_to_silver(spark, args.source, args.target, ids, null_key, args.corrupt_aside)
     else:
         silver_to_gold(spark, args.source, args.target, args.format)
 

@@ -1,67 +1,115 @@
 """Bronze -> silver -> gold.
 
 Order of the gold plan: cheap row filters (they reach the scan), one cleaning
-pass, the gate, one hash aggregate on the body, the label, two columns. The
-only shuffle is that aggregate, after map-side combining.
+pass, the gate, the ratings if they are a table of their own, one hash aggregate
+on the body, the label, two columns. Raw text is never shuffled; cleaned text is
+once, for the aggregate, after map-side combining, and once more to meet a table
+of ratings.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.functions.gates import passes_quality
 from reviewloom.functions.labels import sentiment
-from reviewloom.functions.text import clean_review
+from reviewloom.functions.text import clean_review_once
 from reviewloom.operators.counts import sentiment_counts
-from reviewloom.operators.dedup import best_rating_per, best_rating_per_digest, distinct_on
-from reviewloom.operators.keysplit import KEPT, drop_listed, with_split
+from reviewloom.operators.dedup import best_rating_per, digest_of, distinct_on
+from reviewloom.operators.keysplit import KEPT, drop_listed, split_by_reason, with_split
 from reviewloom.sources import csv, sinks
+from reviewloom.sources.schema import REVIEW_COLUMNS
+
+# Cleaned bodies hold no line breaks and no quotes: the table is read by lines.
+GOLD_SCHEMA = "review_body string, sentiment string"
 
 
 def cleaned(
-    reviews: DataFrame, corrupt_ids: Iterable[str] | None = None, null_key: str = "drop"
+    reviews: DataFrame,
+    corrupt_ids: Iterable[str] | None = None,
+    null_key: str = "drop",
+    where: Column | str | None = None,
 ) -> DataFrame:
-    """Rows with cleaned, worthwhile ``review_content``; other columns as they are."""
+    """Rows with cleaned, worthwhile ``review_content``; other columns as they are.
+
+    Filters put on the result do not pass the cleaner. Give those on other
+    columns as ``where``: they are applied before and reach the scan.
+    """
     rows = reviews.where(F.col("review_content").isNotNull())
+    if where is not None:
+        rows = rows.where(where)
     if corrupt_ids is not None:
         rows = drop_listed(rows, "product_id", corrupt_ids, null_key)
-    text = clean_review(F.col("review_content"))
+    text = clean_review_once(F.col("review_content"))
     return rows.withColumn("review_content", text).where(
         passes_quality(F.col("review_content"))
     )
 
 
-def silver(reviews: DataFrame, corrupt_ids: Iterable[str] | None = None) -> DataFrame:
+def _rated(rows: DataFrame, ratings: DataFrame | None, key: str) -> DataFrame:
+    """Add ``rating`` from a table of its own, if it is one.
+
+    The hash side is built from the narrow table whatever its size, so cleaned
+    text is moved but not sorted.
+    """
+    if ratings is None:
+        return rows
+    return rows.join(ratings.select(key, "rating").hint("shuffle_hash"), key, "left")
+
+
+def silver(
+    reviews: DataFrame,
+    corrupt_ids: Iterable[str] | None = None,
+    null_key: str = "drop",
+    ratings: DataFrame | None = None,
+    key: str = "doc_id",
+) -> DataFrame:
     """Distinct (user, product, cleaned review, rating)."""
-    keys = reviews.select("user_id", "product_id", "review_content", "rating")
-    return distinct_on(cleaned(keys, corrupt_ids))
+    own = ["user_id", "product_id", "review_content", "rating" if ratings is None else key]
+    return distinct_on(_rated(cleaned(reviews.select(*own), corrupt_ids, null_key), ratings, key))
 
 
-def _bodies(reviews: DataFrame, corrupt_ids: Iterable[str] | None) -> DataFrame:
-    return (
-        cleaned(reviews.select("product_id", "review_content", "rating"), corrupt_ids)
-        .withColumnRenamed("review_content", "review_body")
-        .select("review_body", "rating")
-    )
+def _bodies(
+    reviews: DataFrame, corrupt_ids: Iterable[str] | None, null_key: str, last: str
+) -> DataFrame:
+    """``review_body`` and the column ``last``: the rating, or the key of its table."""
+    rows = cleaned(reviews.select("product_id", "review_content", last), corrupt_ids, null_key)
+    return rows.select(F.col("review_content").alias("review_body"), last)
 
 
-def gold(reviews: DataFrame, corrupt_ids: Iterable[str] | None = None) -> DataFrame:
+def gold(
+    reviews: DataFrame,
+    corrupt_ids: Iterable[str] | None = None,
+    null_key: str = "drop",
+    ratings: DataFrame | None = None,
+    key: str = "doc_id",
+) -> DataFrame:
     """The training set: one row per cleaned body, ``(review_body, sentiment)``.
 
     Copies with different ratings: the highest known one gives the label, so
     two runs agree whatever the partitioning. The four-key dedup is implied by
-    the body dedup and is not repeated here.
+    the body dedup and is not repeated here. ``ratings`` (``key, rating``) are
+    joined after cleaning; without it ``reviews`` has the rating.
     """
-    best = best_rating_per(_bodies(reviews, corrupt_ids), ["review_body"])
+    bodies = _bodies(reviews, corrupt_ids, null_key, "rating" if ratings is None else key)
+    best = best_rating_per(_rated(bodies, ratings, key), ["review_body"])
     return best.select("review_body", sentiment("rating").alias("sentiment"))
 
 
-def gold_counts(reviews: DataFrame, corrupt_ids: Iterable[str] | None = None) -> DataFrame:
+def gold_counts(
+    reviews: DataFrame,
+    corrupt_ids: Iterable[str] | None = None,
+    null_key: str = "drop",
+    ratings: DataFrame | None = None,
+    key: str = "doc_id",
+) -> DataFrame:
     """``sentiment_counts(gold(...))`` without moving any text."""
-    best = best_rating_per_digest(_bodies(reviews, corrupt_ids), "review_body")
+    last = "rating" if ratings is None else key
+    digests = digest_of(_bodies(reviews, corrupt_ids, null_key, last), "review_body", last)
+    best = best_rating_per(_rated(digests, ratings, key), ["digest"])
     return sentiment_counts(best.select(sentiment("rating").alias("sentiment")))
 
 
@@ -69,21 +117,42 @@ def bronze_to_silver(
     spark: SparkSession,
     source: str,
     target: str,
-    corrupt_ids: Iterable[str] = (),
+    corrupt_ids: Iterable[str] | DataFrame = (),
     null_key: str = "drop",
+    corrupt_aside: bool = False,
+    header: bool = True,
 ) -> None:
-    """Messy CSV files to a Parquet table with a kept and a quarantined side."""
-    rows = csv.scan_schema(spark, source, multi_line=True)
-    sinks.write_split(with_split(rows, "product_id", corrupt_ids, null_key), target, "parquet")
+    """Messy CSV files to a Parquet table with a kept and a quarantined side.
 
+    ``corrupt_ids`` is a list of products or a table with ``product_id``. With
+    any, fields are trimmed before they are compared, as such files are padded;
+    without, they are read as they are. ``corrupt_aside`` puts rows that do not
+    parse on a side of their own, with their ``reason``, in the same pass.
+    """
+    any_ids = isinstance(corrupt_ids, DataFrame) or bool(corrupt_ids := list(corrupt_ids))
+    if corrupt_aside:
+        rows = csv.scan_flagged(spark, source, list(REVIEW_COLUMNS), header=header, trimmed=any_ids)
+    else:
+        rows = csv.scan_schema(
+            spark, source, multi_line=True, trimmed=any_ids, header=header
+        )
+    split = with_split(rows, "product_id", corrupt_ids, null_key)
+    sinks.write_split(split_by_reason(split) if corrupt_aside else split, target, "parquet")
 
-def silver_to_gold(spark: SparkSession, source: str, target: str, fmt: str = "csv") -> None:
+
+def silver_to_gold(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    fmt: str = "csv",
+    max_records: int = sinks.MAX_RECORDS,
+) -> None:
     """Kept silver rows to the published training set and its label report."""
     reviews = csv.scan_side(spark, source, KEPT, fmt="parquet")
     table = f"{target}/training_dataset"
-    sinks.publish(gold(reviews), table, fmt)
+    sinks.publish(gold(reviews), table, fmt, max_records)
     if fmt == "csv":
-        published = csv.scan_lossless(spark, table, "review_body string, sentiment string")
+        published = csv.scan_lossless(spark, table, GOLD_SCHEMA, multi_line=False)
     else:
         published = spark.read.format(fmt).load(table)
     sinks.write_report(sentiment_counts(published), f"{target}/sentiment_counts")

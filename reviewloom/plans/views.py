@@ -18,85 +18,74 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Share a small scan among the cores before CPU-heavy work.
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return table(spark, sf_dir, name).select(*columns)
 
-    A small file is one row group and so one busy task. Only a scan of a few
-    splits (32 of them hold some 4 GB at most) and fewer than there are cores is
-    repartitioned; anything larger is left alone, without a shuffle. Give it a
-    bare scan: the split count is then known without running anything.
-    """
-    splits = scan.rdd.getNumPartitions()
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if splits >= min(cores, 32):
-        return scan
-    return scan.repartition(min(cores, 4 * max(splits, 1)))
 
+def review_texts(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """Every document as a review without its rating, every tenth twice.
 
-def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return spread(table(spark, sf_dir, name).select(*columns))
+    Faults are extra rows: copies 2 of some documents have a missing, blank,
+    placeholder or decorated text. One scan; copies come from an explode.
+    """
+    copies = """explode(array_compact(array(0, IF(doc_id % 10 = 0, 1, NULL),
+      IF(doc_id % 50 BETWEEN 7 AND 13, 2, NULL)))) AS copy"""
+    docs = table(spark, sf_dir, "documents")
+    return docs.selectExpr("doc_id", "lang", "text", *extra, copies).selectExpr(
+        "doc_id",
+        "CASE WHEN doc_id % 41 = 3 THEN NULL ELSE 'P' || (doc_id % 7) END AS product_id",
+        "lang AS user_id",
+        """CASE WHEN copy < 2 THEN text ELSE CASE doc_id % 50
+             WHEN 7 THEN NULL
+             WHEN 8 THEN '   '
+             WHEN 9 THEN 'N/A'
+             WHEN 10 THEN ' None '
+             WHEN 11 THEN '12345'
+             WHEN 12 THEN 'fooXXX axxxb ' || text
+             ELSE '<p>helloWorld</p> http://example.com/x ' || text END END AS review_content""",
+        *extra,
+    )
 
 
-def _documents_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = texts(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    return docs.join(labels, "doc_id", "left")
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, rating``: a narrow table of its own."""
+    return table(spark, sf_dir, "labels").selectExpr(
+        "doc_id",
+        """CASE WHEN quality IS NULL THEN NULL
+             WHEN doc_id % 29 = 5 THEN 7.0D
+             WHEN quality = 1 AND toxic = 0 THEN 4.5D
+             WHEN quality = 1 THEN 3.5D
+             WHEN toxic = 0 THEN 2.0D
+             ELSE 0.5D END AS rating""",
+    )
 
 
 def reviews(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    """Every document as a review, some with injected faults, every tenth twice.
-
-    One scan and one join; copies come from an explode, not from a union.
-    """
-    copies = "explode(CASE WHEN doc_id % 10 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
-    return (
-        _documents_with_labels(spark, sf_dir)
-        .selectExpr(
-            "doc_id",
-            "CASE WHEN doc_id % 41 = 3 THEN NULL ELSE 'P' || (doc_id % 7) END AS product_id",
-            "lang AS user_id",
-            """CASE doc_id % 50
-                 WHEN 7 THEN NULL
-                 WHEN 8 THEN '   '
-                 WHEN 9 THEN 'N/A'
-                 WHEN 10 THEN ' None '
-                 WHEN 11 THEN '12345'
-                 WHEN 12 THEN 'fooXXX axxxb ' || text
-                 WHEN 13 THEN '<p>helloWorld</p> http://example.com/x ' || text
-                 ELSE text END AS review_content""",
-            """CASE WHEN quality IS NULL THEN NULL
-                 WHEN doc_id % 29 = 5 THEN 7.0D
-                 WHEN quality = 1 AND toxic = 0 THEN 4.5D
-                 WHEN quality = 1 THEN 3.5D
-                 WHEN toxic = 0 THEN 2.0D
-                 ELSE 0.5D END AS rating""",
-            *extra,
-            copies,
-        )
-        .drop("copy")
-    )
+    """``review_texts`` with their ratings."""
+    rated = review_texts(spark, sf_dir, *extra).join(ratings(spark, sf_dir), "doc_id", "left")
+    return rated.select("doc_id", "product_id", "user_id", "review_content", "rating", *extra)
 
 
 REVIEWS_SQL = """
 base AS (
   SELECT d.doc_id, d.lang, d.source, d.n_chars, d.text, l.quality, l.toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
-copies AS (SELECT * FROM (VALUES (0), (1)) AS v(copy)),
+copies AS (SELECT * FROM (VALUES (0), (1), (2)) AS v(copy)),
 reviews AS (
   SELECT doc_id,
     CASE WHEN doc_id % 41 = 3 THEN NULL ELSE concat('P', doc_id % 7) END AS product_id,
     lang AS user_id,
-    CASE doc_id % 50
+    CASE WHEN copy < 2 THEN text ELSE CASE doc_id % 50
       WHEN 7 THEN NULL WHEN 8 THEN '   ' WHEN 9 THEN 'N/A'
       WHEN 10 THEN ' None ' WHEN 11 THEN '12345'
       WHEN 12 THEN concat('fooXXX axxxb ', text)
-      WHEN 13 THEN concat('<p>helloWorld</p> http://example.com/x ', text)
-      ELSE text END AS review_content,
+      ELSE concat('<p>helloWorld</p> http://example.com/x ', text) END END AS review_content,
     CAST(CASE WHEN quality IS NULL THEN NULL WHEN doc_id % 29 = 5 THEN 7.0
       WHEN quality = 1 AND toxic = 0 THEN 4.5 WHEN quality = 1 THEN 3.5
       WHEN toxic = 0 THEN 2.0 ELSE 0.5 END AS DOUBLE) AS rating,
     source, n_chars
-  FROM base JOIN copies ON copy = 0 OR doc_id % 10 = 0)"""
+  FROM base JOIN copies ON copy = 0 OR (copy = 1 AND doc_id % 10 = 0)
+    OR (copy = 2 AND doc_id % 50 BETWEEN 7 AND 13))"""
 
 
 def review_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +147,7 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     extra_line = F.when(F.col("n_chars") % 5 == 0, "\n").otherwise("")
     shape = F.regexp_replace("review_content", r"[^\n ]+", "w")
-    return reviews(spark, sf_dir, "n_chars").select(
+    return review_texts(spark, sf_dir, "n_chars").select(
         "doc_id", "review_content", F.concat(shape, extra_line).alias("shape")
     )
 

@@ -18,7 +18,7 @@ CORRUPT = "_corrupt_record"
 # Quotes are doubled inside quoted fields.
 QUOTING = {"header": True, "quote": '"', "escape": '"'}
 
-# As received: padded fields are trimmed, damaged rows become NULLs.
+# Fixed values. As received: padded fields are trimmed, damaged rows become NULLs.
 MESSY = {
     **QUOTING,
     "multiLine": True,
@@ -47,20 +47,35 @@ def scan_messy(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_schema(
-    spark: SparkSession, path: str, schema: str = REVIEW_SCHEMA, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: str = REVIEW_SCHEMA,
+    multi_line: bool = False,
+    trimmed: bool = False,
+    header: bool = True,
 ) -> DataFrame:
     """Declared schema; a value that does not parse becomes NULL.
 
     ``path`` is a file or a directory. ``multi_line`` reads newlines inside
     quoted fields; without it records are lines and files stay splittable.
+    ``trimmed`` also takes padding off, before and after quotes.
     """
-    options = {**QUOTING, "multiLine": True} if multi_line else {"header": True}
+    options = {**QUOTING, "multiLine": True} if multi_line else {}
+    if trimmed:
+        options = {**MESSY, "multiLine": multi_line}
+    options["header"] = header
     return spark.read.options(**options).schema(schema).csv(path)
 
 
-def scan_lossless(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Read back what ``sinks.write_csv`` wrote, value for value."""
-    return spark.read.options(**LOSSLESS, multiLine=True).schema(schema).csv(path)
+def scan_lossless(
+    spark: SparkSession, path: str, schema: str, multi_line: bool = True
+) -> DataFrame:
+    """Read back what ``sinks.write_csv`` wrote, value for value.
+
+    Where no value can hold a line break, ``multi_line=False`` reads by lines and
+    keeps files splittable.
+    """
+    return spark.read.options(**LOSSLESS, multiLine=multi_line).schema(schema).csv(path)
 
 
 def scan_side(
@@ -87,6 +102,7 @@ def scan_flagged(
     columns: list[str],
     rating: str = "rating",
     header: bool = True,
+    trimmed: bool = True,
 ) -> DataFrame:
     """Scan in one pass and say what is wrong with each row.
 
@@ -95,8 +111,9 @@ def scan_flagged(
     an ``arity`` row stays in ``_corrupt_record``.
     """
     schema = ", ".join(f"`{c}` string" for c in [*columns, CORRUPT])
+    padding = {f"ignore{side}WhiteSpace": trimmed for side in ("Leading", "Trailing")}
     rows = (
-        spark.read.options(**{**MESSY, "header": header})
+        spark.read.options(**{**MESSY, "header": header, **padding})
         .option("columnNameOfCorruptRecord", CORRUPT)
         .schema(schema)
         .csv(path)
@@ -109,6 +126,10 @@ def scan_flagged(
 
 
 def split_corrupt(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(sound, corrupt)`` halves of a ``scan_flagged`` result."""
+    """``(sound, corrupt)`` halves of a ``scan_flagged`` result.
+
+    Each half scans the source. To have both, write them in one pass with
+    ``keysplit.split_by_reason`` and ``sinks.write_split``.
+    """
     sound = flagged.where(F.col("reason").isNull()).drop("reason", CORRUPT)
     return sound, flagged.where(F.col("reason").isNotNull())

@@ -1,12 +1,19 @@
-"""Sinks. Every write replaces the target directory as one Spark job."""
+"""Sinks. Every write replaces the target directory as one Spark job.
+
+``max_records`` bounds the rows of a CSV file, and with them the work of the one
+task that reads a file with line breaks inside fields. It drops nothing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from reviewloom.sources.csv import LOSSLESS
 
-# Bounds the work of the one task that later reads a multi-line file.
 MAX_RECORDS = 100_000
 
 
@@ -34,15 +41,30 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_split(df: DataFrame, path: str, fmt: str = "csv") -> None:
+def write_split(
+    df: DataFrame, path: str, fmt: str = "csv", max_records: int = MAX_RECORDS
+) -> None:
     """Write a ``keysplit.with_split`` frame: one directory per side, one scan.
 
-    Read a side back with ``csv.scan_side``.
+    A task keeps one file per side open, so rows need no sort by side. Read a
+    side back with ``csv.scan_side``.
     """
     writer = df.write.mode("overwrite").partitionBy("split")
     if fmt == "csv":
-        writer = writer.options(**LOSSLESS).option("maxRecordsPerFile", MAX_RECORDS)
-    writer.format(fmt).save(path)
+        writer = writer.options(**LOSSLESS).option("maxRecordsPerFile", max_records)
+    with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "8"):
+        writer.format(fmt).save(path)
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the time of one write."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before is not None else spark.conf.unset(name)
 
 
 def write_report(df: DataFrame, path: str) -> None:
@@ -54,9 +76,31 @@ def write_report(df: DataFrame, path: str) -> None:
     df.repartition(1).write.mode("overwrite").options(**LOSSLESS).csv(path)
 
 
-def publish(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Replace the published directory with ``df``."""
-    if fmt == "csv":
-        write_csv(df, path)
-    else:
-        df.write.mode("overwrite").format(fmt).save(path)
+def publish(
+    df: DataFrame, path: str, fmt: str = "csv", max_records: int = MAX_RECORDS
+) -> None:
+    """Replace the published directory with ``df`` once ``df`` is written in full.
+
+    The rows go to a hidden directory beside it, which then takes its place by a
+    rename; a job that fails leaves the published rows as they are. Readers see
+    one table or the other, but for the moment between two renames.
+    """
+    jvm, context = df.sparkSession._jvm, df.sparkSession.sparkContext
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(context._jsc.hadoopConfiguration())
+    name = f".{target.getName()}-{uuid.uuid4().hex}"
+    aside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"{name}.new")
+    old = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"{name}.old")
+    try:
+        if fmt == "csv":
+            write_csv(df, aside.toString(), max_records)
+        else:
+            df.write.format(fmt).save(aside.toString())
+        if files.exists(target) and not files.rename(target, old):
+            raise OSError(f"cannot replace {path}")
+        if not files.rename(aside, target):
+            files.rename(old, target)
+            raise OSError(f"cannot publish {path}")
+    finally:
+        files.delete(aside, True)
+    files.delete(old, True)

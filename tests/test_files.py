@@ -114,23 +114,95 @@ def test_report_is_one_file(spark, tmp_path):
     assert len(list(path.glob("part-*"))) == 1
 
 
-def fake_session(folder, master):
-    conf = {"spark.checkpoint.dir": folder} if folder else {}
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+def fake_session(**conf):
+    return SimpleNamespace(conf={k.replace("_", "."): v for k, v in conf.items()})
 
 
-@pytest.mark.parametrize("master", ["local[4]", "spark://host:7077"])
-def test_scratch_follows_the_session(tmp_path, master):
-    shared = fake_session(f"{tmp_path}/", master)
+def test_scratch_follows_the_session(tmp_path):
+    shared = fake_session(spark_checkpoint_dir=f"{tmp_path}/", spark_sql_warehouse_dir="x")
     first, second = (scratch.scratch_path(shared, "x") for _ in range(2))
     assert first.startswith(f"{tmp_path}/reviewloom/x-") and first != second
+    unset = fake_session(spark_sql_warehouse_dir="hdfs://host/warehouse")
+    assert scratch.scratch_path(unset, "x").startswith("hdfs://host/warehouse/reviewloom/x-")
+
+
+def test_scratch_can_be_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_root", lambda _: f"{tmp_path}/reviewloom")
+    spark.range(3).write.parquet(scratch.scratch_path(spark, "x"))
+    assert list(tmp_path.glob("reviewloom/x-*"))
+    assert scratch.clear_scratch(spark) and not list(tmp_path.glob("reviewloom"))
+    assert not scratch.clear_scratch(spark)
+
+
+def test_both_sides_are_written_without_a_sort(spark, tmp_path):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    df = spark.range(100).selectExpr("id AS n", "IF(id % 2 = 0, 'kept', 'quarantine') AS split")
+    table = str(tmp_path / "t")
+    spark.sql(f"CREATE TABLE both_sides (n bigint, split string) USING parquet "
+              f"PARTITIONED BY (split) LOCATION '{table}'")
+    df.createOrReplaceTempView("both_rows")
+    insert = "EXPLAIN EXTENDED INSERT INTO both_sides SELECT n, split FROM both_rows"
+    try:
+        assert "Sort" in spark.sql(insert).first()[0]
+        with sinks._setting(spark, name, "8"):
+            assert "Sort" not in spark.sql(insert).first()[0]
+    finally:
+        spark.sql("DROP TABLE both_sides")
+    used = []
+    real = sinks._setting
+    sinks._setting = lambda spark, key, value: used.append((key, value)) or real(spark, key, value)
+    try:
+        sinks.write_split(df, str(tmp_path / "s"), "parquet")
+    finally:
+        sinks._setting = real
+    assert used == [(name, "8")] and spark.conf.get(name) == "0"
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 100
 
 
-def test_only_a_local_session_may_leave_the_folder_unset():
-    local = fake_session(None, "local[4]")
-    assert scratch.scratch_path(local, "x") != scratch.scratch_path(local, "x")
-    with pytest.raises(ValueError):
-        scratch.scratch_path(fake_session(None, "yarn"), "x")
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_a_failed_publish_leaves_the_old_rows(spark, tmp_path, fmt):
+    path = str(tmp_path / "gold")
+    read = lambda: sorted(
+        r.a for r in spark.read.format(fmt).schema("a string").option("header", True).load(path).collect()
+    )
+    sinks.publish(spark.createDataFrame([("x",), ("y",)], "a string"), path, fmt)
+    assert read() == ["x", "y"]
+    bad = spark.range(0, 100, 1, 4).selectExpr("IF(id = 99, raise_error('no'), string(id)) AS a")
+    with pytest.raises(Exception, match="no"):
+        sinks.publish(bad, path, fmt)
+    assert read() == ["x", "y"]
+    sinks.publish(spark.createDataFrame([("z",)], "a string"), path, fmt)
+    assert read() == ["z"] and len(list(tmp_path.iterdir())) == 1
+
+
+def test_padded_source_with_listed_products(spark, tmp_path):
+    cells = dict.fromkeys(REVIEW_COLUMNS, "")
+    lines = [",".join(REVIEW_COLUMNS)]
+    for product, content in (("  B088Z1YWBC ", ' "good, cable"'), (" X1", ' "so, so" ')):
+        row = {**cells, "product_id": product, "review_content": content, "rating": " 4.0 "}
+        lines.append(",".join(row.values()))
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "r.csv").write_text("\n".join(lines) + "\n")
+    silver = str(tmp_path / "silver")
+    keys = spark.createDataFrame([("B088Z1YWBC",)], "product_id string")
+    for ids in (CORRUPT_PRODUCT_IDS, keys):
+        layers.bronze_to_silver(spark, str(tmp_path / "src"), silver, ids)
+        sides = [csv.scan_side(spark, silver, s, fmt="parquet").collect()
+                 for s in (keysplit.QUARANTINE, keysplit.KEPT)]
+        assert [[(r.product_id, r.review_content, r.rating) for r in s] for s in sides] == [
+            [("B088Z1YWBC", "good, cable", 4.0)], [("X1", "so, so", 4.0)],
+        ]
+
+
+def test_job_with_a_key_table_and_corrupt_rows_aside(spark, source, tmp_path):
+    silver, keys = str(tmp_path / "silver"), str(tmp_path / "keys")
+    spark.createDataFrame([("X2",), ("X2",)], "product_id string").write.parquet(keys)
+    (tmp_path / "src" / "more.csv").write_text(",".join(REVIEW_COLUMNS) + "\nshort,row\n")
+    jobs.main(["bronze-to-silver", source, silver, "--corrupt-keys", keys, "--corrupt-aside"])
+    side = lambda s: {r.product_id for r in csv.scan_side(spark, silver, s, fmt="parquet").collect()}
+    assert side(keysplit.QUARANTINE) == {"X2"}
+    assert side(keysplit.CORRUPT) == {"X3", "short"}
+    assert side(keysplit.KEPT) == {"B088Z1YWBC", "X1", "X4", "X5", "X6"}
 
 
 def test_fixed_lists():

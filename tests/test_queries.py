@@ -32,8 +32,8 @@ def test_contract(spark):
 
 # Known values of the derived reviews, computed in DuckDB.
 KNOWN = {
-    "sf0.001": (220, 5, 4, 137, 125, 122, [7, 4, 39, 71, 1]),
-    "sf0.01": (1100, 27, 20, 682, 621, 593, [27, 26, 199, 334, 7]),
+    "sf0.001": (248, 5, 4, 160, 145, 140, [7, 4, 49, 79, 1]),
+    "sf0.01": (1240, 30, 20, 794, 717, 683, [34, 28, 227, 385, 9]),
 }
 
 
@@ -70,19 +70,46 @@ def test_gate_and_rejects_make_up_the_input(spark):
     assert rows.where(keep).count() + rows.where(~keep).count() == rows.count()
 
 
-def test_gold_plan(spark, plan):
-    text = plan(layers.gold(views.reviews(spark, SF_DIR), views.CORRUPT_IDS))
-    assert text.count("hashpartitioning") == 1
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they are for tables beyond the broadcast threshold."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+@pytest.mark.parametrize("name", ["gold_training_set", "gold_training_set_unfiltered"])
+def test_gold_plan(spark, plan, no_broadcast, name):
+    text = plan(CATALOG[name].run(spark, SF_DIR))
+    # Narrow ratings, cleaned texts to meet them, cleaned bodies: no raw text, no sort.
+    assert text.count("hashpartitioning") == text.count("Exchange") == 3
+    assert "Sort" not in text and "RoundRobin" not in text and "ShuffledHashJoin" in text
     assert text.count("ArrowEvalPython") == 1
-    assert "SortAggregate" not in text
+    below = text[text.index("ArrowEvalPython") :]
+    assert "hashpartitioning" not in below[: below.index("FileScan")]
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
 
 
+def test_merged_lists_need_no_ratings(spark, plan):
+    assert "labels" not in plan(CATALOG["explode_merged"].run(spark, SF_DIR))
+
+
+def test_a_filter_given_to_the_cleaner_reaches_the_scan(spark, plan):
+    docs = views.table(spark, SF_DIR, "documents").withColumnRenamed("text", "review_content")
+    text = plan(layers.cleaned(docs, where="doc_id = 7"))
+    assert text.count("ArrowEvalPython") == 1
+    assert "EqualTo(doc_id,7)" in text
+
+
 def test_counts_never_shuffle_text(spark, plan):
-    text = plan(layers.gold_counts(views.reviews(spark, SF_DIR), views.CORRUPT_IDS))
+    texts, ratings = views.review_texts(spark, SF_DIR), views.ratings(spark, SF_DIR)
+    text = plan(layers.gold_counts(texts, views.CORRUPT_IDS, ratings=ratings))
     keys = [line for line in text.splitlines() if "hashpartitioning" in line]
-    assert len(keys) == 2
-    assert "digest" in keys[1] and "sentiment" in keys[0]
+    assert len(keys) == 4
+    assert "sentiment" in keys[0] and "digest" in keys[1] and "doc_id" in keys[2] + keys[3]
+    # The body is digested before rows meet their ratings.
+    assert text.index("ShuffledHashJoin") < text.index("sha2")
 
 
 def test_no_query_crosses_or_collapses(spark, plan):
@@ -91,10 +118,6 @@ def test_no_query_crosses_or_collapses(spark, plan):
         assert "CartesianProduct" not in text, name
         assert "BroadcastNestedLoopJoin" not in text, name
         # Only the label report, five rows at most, may meet in one partition.
-        assert "SinglePartition" not in text or name in ("sentiment_balance", "split_counts"), name
-
-
-def test_only_small_scans_are_spread(spark):
-    many, few = spark.range(0, 100, 1, 64), spark.range(0, 100, 1, 1)
-    assert views.spread(many) is many
-    assert views.spread(few).rdd.getNumPartitions() == 4
+        assert "SinglePartition" not in text or name in (
+            "sentiment_balance", "split_counts", "clean_sql_aggregate"
+        ), name

@@ -115,6 +115,38 @@ def test_salted_split_of_a_hot_key(spark):
             )
 
 
+def reducers(df):
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_rows_of_one_input_partition_reach_several_reducers(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        hot = spark.range(0, 4000, 1, 1).selectExpr("IF(id < 0, 'x', 'hot') AS k", "id AS n")
+        keys = spark.createDataFrame([("hot",), ("other",)], "k string")
+        assert reducers(keysplit.keep_matching(hot, keys, "k", salts=8)) > 2
+        others = spark.createDataFrame([("other",), ("x",)], "k string")
+        assert reducers(keysplit.drop_matching(hot, others, "k", salts=8)) > 2
+        none = hot.withColumn("k", F.expr("nullif(k, 'hot')"))
+        assert reducers(keysplit.drop_matching(none, keys, "k", null_key="keep")) > 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_split_by_a_table_is_split_by_its_list(spark, products):
+    keys = spark.createDataFrame([("P1",), ("P1",), (None,)], "product_id string")
+    for null_key in ("drop", "keep"):
+        for salts in (1, 5):
+            by_table = keysplit.with_split(products, "product_id", keys, null_key, salts)
+            by_list = keysplit.with_split(products, "product_id", ["P1"], null_key)
+            assert by_table.columns == by_list.columns
+            assert sorted(map(str, by_table.collect())) == sorted(map(str, by_list.collect()))
+
+
 def test_with_split_covers_every_row(products):
     tagged = keysplit.with_split(products, "product_id", ["P1"], null_key="keep")
     assert {r.n: r.split for r in tagged.collect()} == {
