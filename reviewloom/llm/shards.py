@@ -25,6 +25,7 @@ from reviewloom.llm.common import written
 SHARDS = 24
 SEED = 42
 BUCKET_ROWS = 16_384  # a bound on what one array holds
+BLOCK = 1024  # buckets whose offsets are summed together
 
 
 def shuffle_into_shards(
@@ -50,13 +51,7 @@ def shuffle_into_shards(
         .agg(members.alias("members"))
         .select("bucket", F.posexplode(F.shuffle("members", F.lit(seed))).alias("at", "member"))
     )
-    # One row per bucket: a number that is 16,384 times smaller than the records'.
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        scattered.groupBy("bucket")
-        .agg(F.count("*").alias("rows"))
-        .select("bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
-    )
+    offsets = _offsets(scattered.groupBy("bucket").agg(F.count("*").alias("rows")))
     rank = F.col("offset") + F.col("at")
     return shuffled.join(offsets, "bucket").select(
         F.col("member.record").alias("record"),
@@ -65,6 +60,25 @@ def shuffle_into_shards(
     )
 
 
+def _offsets(sizes: DataFrame) -> DataFrame:
+    """``bucket, offset``: the rows of all buckets before, within blocks of buckets
+    and over the blocks, so that no task sees more than a block or a row per block."""
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("block", F.floor(F.col("bucket") / BLOCK))
+    blocks = (
+        sizes.groupBy("block")
+        .agg(F.sum("rows").alias("all_rows"))
+        .select("block", F.sum("all_rows").over(before.orderBy("block")).alias("above"))
+    )
+    inside = F.sum("rows").over(before.partitionBy("block").orderBy("bucket"))
+    offset = F.coalesce(F.col("above"), F.lit(0)) + F.coalesce(F.col("inside"), F.lit(0))
+    return (
+        sizes.withColumn("inside", inside)
+        .join(blocks, "block")
+        .select("bucket", offset.alias("offset"))
+    )
+
+
 def write_shards(sharded: DataFrame, path: str, parts: int = 1) -> None:
     """One directory per shard; ``parts`` files each, with rows in slot order inside.
 

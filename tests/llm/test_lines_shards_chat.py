@@ -104,6 +104,12 @@ def test_shards_repeat_and_depend_on_the_seed(spark):
     assert deal() == deal() and deal() != deal(seed=1)
 
 
+def test_offsets_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(shards, "BLOCK", 3)
+    rows = shards.shuffle_into_shards(spark.range(2000), shards=7, bucket_rows=100).collect()
+    assert sorted(r.slot * 7 + r.shard for r in rows) == list(range(2000))
+
+
 def test_order_is_shuffled_evenly(spark):
     df = spark.range(0, 24_000, 1, 6)
     rows = shards.shuffle_into_shards(df, bucket_rows=1000).collect()
