@@ -167,7 +167,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record.*",
         F.lit("rows").alias("law"),
         "shard",
-        F.col("slot").cast("int").alias("slot"),
+        "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

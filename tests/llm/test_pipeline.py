@@ -79,6 +79,32 @@ def test_nothing_in_nothing_out(spark, nothing, tmp_path):
         assert docs.count() == 0
 
 
+SCHEMAS = {
+    "op1_quality_rules": """doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint,
+      n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean""",
+    "op2_license_scan": """doc_id bigint, n_words bigint, n_base bigint, first_word bigint,
+      last_word bigint, base_labels string, labels string, score double""",
+    "op3_packing": """doc_id bigint, start bigint, length bigint, ids_crc32 bigint,
+      doc_tokens bigint, sequence_id bigint, offset bigint""",
+    "op4_line_dedup": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
+    "op6_decontamination": """doc_id bigint, n_words bigint, n_hit bigint, n_items bigint,
+      items_sha256 string, contaminated boolean""",
+    "op7_sharding": """doc_id bigint, size bigint, text_crc32 bigint, law string, shard int,
+      slot bigint, grown_shard int""",
+    "op9_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op10_chat_formatting": """conv_id bigint, n_turns bigint, turns_sha256 string,
+      loss_chars bigint, loss_sha256 string, formatted_chars bigint""",
+}
+
+
+@pytest.mark.parametrize("name", sorted(SCHEMAS))
+def test_columns_and_types(spark, name):
+    found = dict(q.QUERIES[name](spark, SF).dtypes)
+    for column in SCHEMAS[name].split(","):
+        column, kind = column.split()
+        assert found[column] == kind, column
+
+
 def test_contract():
     names = contract.queries()
     for n in range(1, 11):
