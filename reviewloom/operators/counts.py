@@ -15,10 +15,10 @@ def sentiment_counts(df: DataFrame, label: str = "sentiment") -> DataFrame:
 
 
 def sentiment_balance(counts: DataFrame) -> DataFrame:
-    """Add each label's share of all rows.
+    """Add each label's share of all rows to a result of ``sentiment_counts``.
 
-    The un-partitioned window is over the counted table: one row per label, at
-    most five, whatever the size of the data.
+    The un-partitioned window is over that table: one row per label, at most five,
+    whatever the size of the data. Do not give it a table that is not counted.
     """
     total = F.sum("reviews").over(Window.partitionBy())
     return counts.withColumn("share", F.col("reviews") / total)
