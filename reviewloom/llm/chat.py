@@ -6,9 +6,10 @@ sums over the conversation. In the text form control strings inside contents are
 escaped: a backslash is doubled, and a control string gets a backslash after its
 first character. That is undone by dropping each backslash before its neighbour.
 
-Turns are encoded before conversations are put together, and put together turn
-by turn in sorted order, so a conversation of any length passes through in the
-memory of one batch.
+Turns are encoded before conversations are put together, so a conversation of any
+share of the rows is encoded by all tasks. They are put together turn by turn in
+sorted order, in the memory of a few hundred turns. Only texts and packed ids
+move; masks and the text form are made where they are written.
 
 Defined results: a NULL text or role is empty; turns go by (turn, role, text),
 NULL first, so ties and repeated rows have an order and all stay; a NULL conv_id
@@ -18,17 +19,22 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import base64
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import as_bytes, columns
-from reviewloom.llm.tokens import encoder, vocabulary_path
+from reviewloom.llm.tokens import vocabulary_path
 
+TOKENIZER = "byte_bpe_50k.tiktoken"
 # The template. Opening and closing mark of a turn, by role.
 MARKS = {
     "user": ("[INST]", "[/INST]"),
@@ -40,23 +46,61 @@ ROLE, END_ROLE, END_TURN = "[ROLE]", "[/ROLE]", "[/TURN]"
 CONTROL = [*[m for pair in MARKS.values() for m in pair], ROLE, END_ROLE, END_TURN]
 LOSS_ROLE = "assistant"
 
-_AT_CONTROL = re.compile("(?=" + "|".join(map(re.escape, CONTROL)) + ")(.)")
+_CONTROL = re.compile("|".join(map(re.escape, CONTROL)))  # no two of them overlap
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 
 def escape(text: str) -> str:
     """No control string is left in the result. ``unescape`` undoes it."""
-    return _AT_CONTROL.sub(r"\1\\", text.replace("\\", "\\\\"))
+    return _CONTROL.sub(lambda m: m[0][0] + "\\" + m[0][1:], text.replace("\\", "\\\\"))
 
 
 def unescape(text: str) -> str:
     return _ESCAPED.sub(r"\1", text)
 
 
+class Codec:
+    """Byte-level BPE of a file of ranks; reserved ids follow its vocabulary."""
+
+    def __init__(self, path: str):
+        import public_tokenizers
+
+        with open(path, "rb") as file:
+            ranks = {base64.b64decode(t): int(rank) for t, rank in map(bytes.split, file)}
+        self.size = max(ranks.values()) + 1
+        self.reserved = {mark: self.size + i for i, mark in enumerate(CONTROL)}
+        self.marks = {number: mark for mark, number in self.reserved.items()}
+        pieces = [b""] * (self.size + len(CONTROL))
+        for token, rank in ranks.items():
+            pieces[rank] = token
+        self._pieces = pa.array(pieces, pa.binary())
+        self.dtype = np.dtype("<u2") if len(pieces) <= 1 << 16 else np.dtype("<u4")
+        self._encoding = tiktoken.Encoding(
+            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+
+    def encode(self, text: str) -> list[int]:
+        """Control strings and names of special tokens are text like any other."""
+        return self._encoding.encode_ordinary(text)
+
+    def decode(self, ids: pa.Array, at: np.ndarray) -> list[str]:
+        """Text of ``ids[at[0]:at[1]]``, ``ids[at[1]:at[2]]`` and so on."""
+        taken = self._pieces.take(ids)
+        sizes = pc.binary_length(taken).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[at].tolist()
+        data = taken.buffers()[2].to_pybytes() if ends[-1] else b""
+        return [data[a:b].decode() for a, b in zip(ends, ends[1:])]
+
+
+@cache
+def codec(path: str) -> Codec:
+    """One per worker process, kept between tasks."""
+    return Codec(path)
+
+
 def reserved_ids(tokenizer: str) -> dict[str, int]:
     """Ids of the control strings: the first ones after the vocabulary."""
-    start = encoder(tokenizer, specials_are_text=True).size
-    return {mark: start + i for i, mark in enumerate(CONTROL)}
+    return codec(tokenizer).reserved
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
@@ -70,6 +114,15 @@ FORMATTED = """conv_id bigint, turn bigint, position bigint, ids array<int>,
   loss_mask array<boolean>, token_start bigint, char_start bigint, formatted string"""
 
 
+def _strings(column: pa.Array) -> list[str]:
+    return [value.decode("utf-8", "replace") for value in column.to_pylist()]
+
+
+def _turn_text(role: str, text: str) -> str:
+    opening, end = MARKS.get(role) or (f"{ROLE}{escape(role)}{END_ROLE}", END_TURN)
+    return opening + escape(text) + end
+
+
 def format_turns(
     conversations: DataFrame,
     tokenizer: str | None = None,
@@ -83,87 +136,96 @@ def format_turns(
     ``ids`` with reserved ids, ``loss_mask`` (true on the text of the assistant),
     ``formatted`` text, and where both start in the conversation
     (``token_start``, ``char_start``); ``position`` counts turns from 0.
+    ``tokenizer`` is the path of a file of ranks.
     """
-    tokenizer = tokenizer or vocabulary_path("byte_bpe_50k.json")
+    tokenizer = tokenizer or vocabulary_path(TOKENIZER)
     turns = columns(
         conversations, conv_id=id_col, turn=turn_col, role=role_col, text=text_col
     ).withColumns({name: F.coalesce(F.col(name), F.lit("")) for name in ("role", "text")})
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(tokenizer, specials_are_text=True)
-        marks = reserved_ids(tokenizer)
+        known = codec(tokenizer)
+        marks = known.reserved
         for batch in slices(batches):
-            rows = batch.select(["role", "text"]).to_pylist()
-            texts = [escape(r["text"].decode("utf-8", "replace")) for r in rows]
-            roles = [escape(r["role"].decode("utf-8", "replace")) for r in rows]
-            contents = tokens.encode_ids([t.encode() for t in texts])
-            spelled = [r for r in roles if r not in MARKS]
-            names = dict(zip(spelled, tokens.encode_ids([r.encode() for r in spelled])))
-            ids, masks, formatted = [], [], []
-            for role, text, content in zip(roles, texts, contents):
+            packed, heads = [], []
+            for role, text in zip(*[_strings(batch.column(name)) for name in ("role", "text")]):
                 if role in MARKS:
-                    begin, end = MARKS[role]
-                    head, opening = [marks[begin]], begin
+                    head, end = [marks[MARKS[role][0]]], marks[MARKS[role][1]]
                 else:
-                    head = [marks[ROLE], *names[role], marks[END_ROLE]]
-                    opening, end = f"{ROLE}{role}{END_ROLE}", END_TURN
-                ids.append([*head, *content, marks[end]])
-                lost = role == LOSS_ROLE
-                masks.append([False] * len(head) + [lost] * len(content) + [False])
-                formatted.append(opening + text + end)
+                    name = known.encode(escape(role))
+                    head, end = [marks[ROLE], *name, marks[END_ROLE]], marks[END_TURN]
+                ids = [*head, *known.encode(escape(text)), end]
+                packed.append(np.array(ids, known.dtype).tobytes())
+                heads.append(len(head))
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("conv_id"), batch.column("turn"),
-                    batch.column("role"), batch.column("text"),
-                    pa.array(ids, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.bool_())),
-                    pa.array(formatted, pa.string()),
-                ],
-                names=["conv_id", "turn", "role", "text", "ids", "loss_mask", "formatted"],
+                [*batch.columns, pa.array(packed, pa.binary()), pa.array(heads, pa.int32())],
+                names=["conv_id", "turn", "role", "text", "packed", "head"],
             )
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dtype = codec(tokenizer).dtype
         current, at = object(), (0, 0, 0)
-        for batch in batches:
-            keys = batch.column("conv_id").to_pylist()
-            sizes = np.asarray(batch.column("n_ids")).tolist()
-            chars = np.asarray(batch.column("n_chars")).tolist()
+        for batch in slices(batches):
+            roles, texts = _strings(batch.column("role")), _strings(batch.column("text"))
+            formatted = [_turn_text(role, text) for role, text in zip(roles, texts)]
+            packed = batch.column("packed").to_pylist()
+            flat = np.frombuffer(b"".join(packed), dtype).astype(np.int32)
+            sizes = [len(p) // dtype.itemsize for p in packed]
+            ends = np.cumsum(sizes)
+            # The mask is on behind the head and off before the closing mark.
+            spoken = np.array([role == LOSS_ROLE for role in roles])
+            turned = np.zeros(len(flat) + 1, np.int8)
+            np.add.at(turned, (ends - sizes + np.asarray(batch.column("head")))[spoken], 1)
+            np.add.at(turned, (ends - 1)[spoken], -1)
+            mask = np.cumsum(turned[:-1]) > 0
+            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
             starts = []
-            for key, size, count in zip(keys, sizes, chars):
+            for key, size, text in zip(batch.column("conv_id").to_pylist(), sizes, formatted):
                 if key != current:
                     current, at = key, (0, 0, 0)
                 starts.append(at)
-                at = (at[0] + 1, at[1] + size, at[2] + count)
+                at = (at[0] + 1, at[1] + size, at[2] + len(text))
             position, token_start, char_start = (pa.array(x, pa.int64()) for x in zip(*starts))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("conv_id"), batch.column("turn"), position,
-                    batch.column("ids"), batch.column("loss_mask"), token_start, char_start,
-                    batch.column("formatted"),
+                    pa.ListArray.from_arrays(offsets, pa.array(flat)),
+                    pa.ListArray.from_arrays(offsets, pa.array(mask)),
+                    token_start, char_start, pa.array(formatted, pa.string()),
                 ],
                 names=["conv_id", "turn", "position", "ids", "loss_mask", "token_start",
                        "char_start", "formatted"],
             )
 
-    whole = "conv_id bigint, turn bigint, role binary, text binary, ids array<int>, "
-    whole += "loss_mask array<boolean>, formatted string"
+    whole = "conv_id bigint, turn bigint, role binary, text binary, packed binary, head int"
     return (
         as_bytes(turns, "role", "text")
         .mapInArrow(encoded, whole)
-        .withColumns({"n_ids": F.size("ids"), "n_chars": F.length("formatted")})
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "text")
-        .drop("role", "text")
         .mapInArrow(placed, FORMATTED)
     )
 
 
-def read_turns(ids: list[int], tokenizer: str) -> tuple[str, str]:
-    """(role, text) of one turn from its ids alone."""
-    marks = {number: mark for mark, number in reserved_ids(tokenizer).items()}
-    decode = encoder(tokenizer, specials_are_text=True).decode
-    opening, body = marks[ids[0]], ids[1:-1]
-    if opening == ROLE:
-        end = next(i for i, number in enumerate(body) if marks.get(number) == END_ROLE)
-        return unescape(decode(body[:end])), unescape(decode(body[end + 1 :]))
-    role = next(role for role, pair in MARKS.items() if pair[0] == opening)
-    return role, unescape(decode(body))
+def read_turns(
+    ids: pa.ListArray, loss_mask: pa.ListArray, tokenizer: str
+) -> Iterator[tuple[str, str, str]]:
+    """(role, text, text under the loss mask) of each turn, from its ids and mask alone."""
+    known = codec(tokenizer)
+    flat, mask = ids.flatten(), loss_mask.flatten()
+    at = np.asarray(ids.offsets).astype(np.int64) - ids.offsets[0].as_py()
+    numbers = flat.to_numpy()
+    before = np.concatenate([[0], np.cumsum(mask.to_numpy(zero_copy_only=False))])
+    learned = known.decode(flat.filter(mask), before[at].astype(np.int64))
+    # Reserved ids have no text, so a role's name and the text need a border of their own.
+    first, last = at[:-1], at[1:]
+    body = first + 1
+    named = np.flatnonzero(numbers[first] == known.reserved[ROLE])
+    for i in named:
+        body[i] += np.flatnonzero(numbers[first[i] : last[i]] == known.reserved[END_ROLE])[0]
+    borders = np.append(np.stack([first, body], axis=1).ravel(), at[-1])
+    texts = known.decode(flat, borders)
+    roles = {known.reserved[begin]: role for role, (begin, _) in MARKS.items()}
+    for i, mark in enumerate(numbers[first].tolist()):
+        role = roles[mark] if mark in roles else unescape(texts[2 * i])
+        yield role, unescape(texts[2 * i + 1]), unescape(learned[i])

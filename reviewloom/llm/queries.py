@@ -10,6 +10,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 TOKENIZER = "word_bpe_49k.json"
-CHAT_TOKENIZER = "byte_bpe_50k.json"
+CHAT_TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
 def query(run: Query) -> Query:
@@ -205,9 +206,6 @@ def digest_conversations(turns: DataFrame, tokenizer: str) -> DataFrame:
     names = "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars".split()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from reviewloom.llm.tokens import encoder
-
-        decode = encoder(tokenizer, specials_are_text=True).decode
         current, state = None, None
 
         def ended() -> tuple:
@@ -221,20 +219,20 @@ def digest_conversations(turns: DataFrame, tokenizer: str) -> DataFrame:
 
         for batch in chat.slices(batches):
             rows = []
-            for turn in batch.select(["conv_id", "ids", "loss_mask", "formatted"]).to_pylist():
-                if state is None or turn["conv_id"] != current:
+            turns = chat.read_turns(batch.column("ids"), batch.column("loss_mask"), tokenizer)
+            chars = pc.utf8_length(batch.column("formatted")).to_pylist()
+            keys = batch.column("conv_id").to_pylist()
+            for key, (role, text, learned), size in zip(keys, turns, chars):
+                if state is None or key != current:
                     if state is not None:
                         rows.append(ended())
-                    current = turn["conv_id"]
+                    current = key
                     state = [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, text = chat.read_turns(turn["ids"], tokenizer)
-                under = [i for i, m in zip(turn["ids"], turn["loss_mask"]) if m]
-                learned = chat.unescape(decode(under)) if under else ""
                 state[0] += 1
                 state[1].update(f"{role}\n{text}\n".encode())
                 state[2] += len(learned)
                 state[3].update(learned.encode())
-                state[4] += len(turn["formatted"])
+                state[4] += size
             if rows:
                 yield result(rows)
         if state is not None:

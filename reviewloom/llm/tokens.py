@@ -35,10 +35,9 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 class Encoder:
     """``encode(texts)`` gives the ids of an array of texts, as ``dtype``."""
 
-    def __init__(self, path: str, specials_are_text: bool = False):
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = specials_are_text
         with open(path, encoding="utf-8") as file:
             config = json.load(file)
         self.size = size = self._tokenizer.get_vocab_size()
@@ -77,9 +76,6 @@ class Encoder:
         ids, at = self.encode(pa.array(texts, pa.binary()))
         return [ids[a:b].tolist() for a, b in zip(at, at[1:])]
 
-    def decode(self, ids: list[int]) -> str:
-        return self._tokenizer.decode(ids, skip_special_tokens=False)
-
     def _words(self, words: list[bytes]) -> list[bytes]:
         if len(self._new) > WORDS_REMEMBERED:
             self._old, self._new = self._new, {}
@@ -196,6 +192,6 @@ def token_blocks(
 
 
 @cache
-def encoder(path: str, specials_are_text: bool = False) -> Encoder:
+def encoder(path: str) -> Encoder:
     """One per worker process, kept between tasks."""
-    return Encoder(path, specials_are_text)
+    return Encoder(path)
