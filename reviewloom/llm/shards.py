@@ -44,11 +44,13 @@ def shuffle_into_shards(
     bucket = F.pmod(F.xxhash64(F.lit(seed), F.col("row")), F.lit(buckets)).alias("bucket")
     scattered = numbered.select(bucket, "row", "record")
 
-    # Sorted first, as the order of arrival in a bucket is not repeatable.
+    # Sorted first, as the order of arrival in a bucket is not repeatable; and buckets
+    # in order, as a task draws its random numbers from one sequence for all of its own.
     members = F.sort_array(F.collect_list(F.struct("row", "record")))
     shuffled = (
         scattered.groupBy("bucket")
         .agg(members.alias("members"))
+        .sortWithinPartitions("bucket")
         .select("bucket", F.posexplode(F.shuffle("members", F.lit(seed))).alias("at", "member"))
     )
     offsets = _offsets(scattered.groupBy("bucket").agg(F.count("*").alias("rows")))
