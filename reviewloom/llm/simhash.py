@@ -35,6 +35,7 @@ SHINGLE = 3
 MAX_BITS = 2
 SEED = 42
 SAMPLE_POINTS = 100_000  # a bound on what the top tree is fitted to
+SAMPLE_SHARE = 16  # and one point in so many at most
 SHARD_POINTS = 32_768
 BUCKET = 64  # points of a shard's tree compared one by one
 CHUNK = 1 << 21  # comparisons held at once
@@ -186,8 +187,8 @@ def near_links(points: DataFrame, max_bits: int = MAX_BITS, shard_points: int =
     """Links ``a, b`` between distinct points that connect all pairs ``max_bits`` apart."""
     spark = points.sparkSession
     count = points.count()
-    # Every k-th hash value: a bounded sample of distinct points.
-    k = max(1, -(-count // SAMPLE_POINTS))
+    # Every k-th hash value: a bounded sample of distinct points, never all of them.
+    k = max(SAMPLE_SHARE, -(-count // SAMPLE_POINTS))
     sample = points.where(F.pmod(F.xxhash64("point"), F.lit(k)) == 0).toArrow().column(0)
     sample = np.sort(np.asarray(sample).astype(np.int64)).view(np.uint64)
     sample = np.random.default_rng(SEED).permutation(sample)
