@@ -63,12 +63,8 @@ class Encoder:
             return np.concatenate([*ids, np.zeros(0, self.dtype)]), np.cumsum([0, *sizes])
         words = pc.ascii_split_whitespace(texts.fill_null(""))
         distinct = words.flatten().dictionary_encode()
-        per_word = self._words(_bytes(distinct.dictionary).to_pylist())
-        sizes = np.fromiter(map(len, per_word), np.int32, len(per_word)) // self.dtype.itemsize
-        flat = pa.array(np.frombuffer(b"".join(per_word), self.dtype))
-        ids = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), flat)
         # Each word of the texts copies its ids.
-        copied = ids.take(distinct.indices)
+        copied = self._word_ids(distinct.dictionary).take(distinct.indices)
         first = words.offsets.to_numpy() - words.offsets[0].as_py()
         return copied.values.to_numpy(), copied.offsets.to_numpy()[first]
 
@@ -76,72 +72,77 @@ class Encoder:
         ids, at = self.encode(pa.array(texts, pa.binary()))
         return [ids[a:b].tolist() for a, b in zip(at, at[1:])]
 
-    def _words(self, words: list[bytes]) -> list[bytes]:
+    def _word_ids(self, words: pa.StringArray) -> pa.ListArray:
+        """Ids of distinct words.
+
+        A word of letters and closing punctuation is the ids of the letters, in lower
+        case, and those of the punctuation; any other word is encoded as it is.
+        """
+        cores = pc.ascii_rtrim(words, characters=TAIL.decode())
+        cores = pc.ascii_lower(cores).dictionary_encode()
+        of_core = cores.indices.to_numpy()
+        letters = pc.ascii_is_alpha(cores.dictionary).to_numpy(zero_copy_only=False).copy()
+        unsure = np.flatnonzero(~letters)
+        letters[unsure] = [_letters(c) for c in _bytes(cores.dictionary.take(unsure)).to_pylist()]
+        split = letters[of_core]
+        core_sizes = pc.binary_length(cores.dictionary).to_numpy()[of_core]
+        tailed = np.flatnonzero(split & (pc.binary_length(words).to_numpy() > core_sizes))
+        tails = zip(_bytes(words.take(tailed)).to_pylist(), core_sizes[tailed].tolist())
+        tails = pa.array([word[size:] for word, size in tails], pa.binary()).dictionary_encode()
+        parts = _bytes(cores.dictionary.filter(letters)).to_pylist()
+        others = tails.dictionary.to_pylist() + _bytes(words.filter(~split)).to_pylist()
+        known = [*self._part_ids(parts, others), b""]
+        # Numbers of a word's two parts; the last part of all is empty.
+        first = np.empty(len(words), np.int64)
+        first[split] = (np.cumsum(letters) - 1)[of_core[split]]
+        first[~split] = len(parts) + len(tails.dictionary) + np.arange(int((~split).sum()))
+        second = np.full(len(words), len(known) - 1)
+        second[tailed] = len(parts) + tails.indices.to_numpy()
+        sizes = np.fromiter(map(len, known), np.int32, len(known)) // self.dtype.itemsize
+        flat = pa.array(np.frombuffer(b"".join(known), self.dtype))
+        ids = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), flat)
+        both = ids.take(pa.array(np.stack([first, second], axis=1).ravel()))
+        return pa.ListArray.from_arrays(pa.array(both.offsets.to_numpy()[::2]), both.values)
+
+    def _part_ids(self, letters: list[bytes], others: list[bytes]) -> list[bytes]:
         if len(self._new) > WORDS_REMEMBERED:
             self._old, self._new = self._new, {}
-        missing = set(words).difference(self._new)
-        if missing:
-            self._learn(missing)
-        return list(map(self._new.__getitem__, words))
-
-    def _learn(self, words: set[bytes]) -> None:
         known, old = self._new, self._old
-        letters, others, split = [], [], []
-        for word in words:
-            if word in old:
-                known[word] = old[word]
-            elif word.isalpha():  # ASCII, in lower case mostly
-                letters.append(word)
-            else:
-                core, tail, is_letters = _parts(word)
-                if tail or core != word:
-                    split.append((word, core, tail))
-                else:
-                    (letters if is_letters else others).append(word)
-        waiting = {core for _, core, _ in split}.difference(known, letters)
-        tails = {tail for _, _, tail in split if tail}.difference(known, others)
-        for parts, group in ((waiting, letters), (tails, others)):
+        for parts, learn in ((letters, self._learn_joined), (others, self._learn_each)):
+            unknown = []
             for part in parts:
-                if part in old:
-                    known[part] = old[part]
-                else:
-                    group.append(part)
-        for some in _chunks(letters):
-            if not self._learn_joined(some):
-                others += some
-        for some in _chunks(others):
-            texts = [word.decode("utf-8", "replace") for word in some]
-            found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-            for word, encoding in zip(some, found):
-                known[word] = np.array(encoding.ids, self.dtype).tobytes()
-        for word, core, tail in split:
-            known[word] = known[core] + known[tail] if tail else known[core]
-
-    def _learn_joined(self, words: list[bytes]) -> bool:
-        """Encode words of letters in one call; each is one pre-token, else nothing is learnt."""
+                if part not in known:
+                    if part in old:
+                        known[part] = old[part]
+                    else:
+                        unknown.append(part)
+            for start in range(0, len(unknown), WORDS_PER_CALL):
+                learn(unknown[start : start + WORDS_PER_CALL])
+        return [*map(known.__getitem__, letters), *map(known.__getitem__, others)]
+
+    def _learn_each(self, words: list[bytes]) -> None:
+        texts = [word.decode("utf-8", "replace") for word in words]
+        found = self._tokenizer.encode_batch(texts, add_special_tokens=False)
+        for word, encoding in zip(words, found):
+            self._new[word] = np.array(encoding.ids, self.dtype).tobytes()
+
+    def _learn_joined(self, words: list[bytes]) -> None:
+        """Words of letters in one call: each should be one pre-token."""
         joined = b" ".join(words).decode("utf-8", "replace")
         ids = np.array(self._tokenizer.encode(joined, add_special_tokens=False).ids, self.dtype)
         stops = (np.flatnonzero(self._ends[ids]) + 1) * self.dtype.itemsize
         if len(stops) != len(words):
-            return False
+            return self._learn_each(words)
         known, data, start = self._new, ids.tobytes(), 0
         for word, stop in zip(words, stops.tolist()):
             known[word] = data[start:stop]
             start = stop
-        return True
 
 
-def _parts(word: bytes) -> tuple[bytes, bytes, bool]:
-    """(letters in lower case, closing punctuation, true) where that split is exact,
-    else (word, nothing, false)."""
-    core = word.rstrip(TAIL)
-    if core.isalpha():
-        return core.lower(), word[len(core) :], True
+def _letters(core: bytes) -> bool:
+    """Capital sigma is left out: it has two small forms, chosen by its neighbours."""
     letters = core.decode("utf-8", "replace")
-    # Capital sigma has two small forms, chosen differently by Python.
-    if not letters.isalpha() or "\u03a3" in letters:
-        return word, b"", False
-    return letters.lower().encode(), word[len(core) :], True
+    return letters.isalpha() and "\u03a3" not in letters
 
 
 def _strings(texts: pa.Array) -> pa.Array:
@@ -153,10 +154,6 @@ def _bytes(strings: pa.Array) -> pa.Array:
     return strings.cast(pa.binary())
 
 
-def _chunks(items: list) -> list[list]:
-    return [items[i : i + WORDS_PER_CALL] for i in range(0, len(items), WORDS_PER_CALL)]
-
-
 def text_groups(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with some ``GROUP_BYTES`` of text, or a single longer one."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)
