@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from reviewloom.llm import decontaminate, fmindex, licenses, quality, simhash
 from reviewloom.llm import queries as q
@@ -398,6 +399,17 @@ def test_close_points_meet_across_shards(spark, reach):
     assert links.count() < 3 * len(points)
 
 
+def test_the_sample_of_the_top_tree_is_small(spark, monkeypatch):
+    sizes = []
+    build = simhash.build
+    monkeypatch.setattr(simhash, "build", lambda points, most: (sizes.append(len(points)), build(points, most))[1])
+    points = spark.range(4000).select(F.xxhash64("id").alias("point"))
+    simhash.near_links(points)
+    monkeypatch.setattr(simhash, "SAMPLE_POINTS", 50)
+    simhash.near_links(points)
+    assert 0 < sizes[0] < 4000 / 8 and sizes[1] < 100
+
+
 def test_components_of_chains_and_stars(spark):
     rand = random.Random(2)
     pairs = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 400)]

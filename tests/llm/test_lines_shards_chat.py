@@ -3,11 +3,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from oracle import connect, difference
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from reviewloom.llm import chat, lines, shards
 from reviewloom.llm import queries as q
@@ -140,6 +142,18 @@ def test_awkward_records_written_and_read(spark, awkward, nothing, tmp_path):
     assert shards.shuffle_into_shards(nothing).count() == 0
 
 
+def test_buckets_are_shuffled_in_order(spark, plan):
+    """A task that runs again must draw the same numbers for the same bucket."""
+    df = spark.range(5000).select(F.col("id").alias("doc_id"))
+    text = plan(shards.shuffle_into_shards(df, bucket_rows=100))
+    below = text[text.index("Generate posexplode(shuffle") :].splitlines()
+    assert "Sort [bucket" in below[1] and "ObjectHashAggregate" in below[2]
+    first, again = (
+        {tuple(r) for r in shards.shuffle_into_shards(df, bucket_rows=100).collect()} for _ in "ab"
+    )
+    assert first == again and len(first) == 5000
+
+
 def test_sharding_is_native(spark, plan):
     text = plan(q.op7_sharding(spark, SF))
     assert "Python" not in text and "MapInArrow" not in text and "Pandas" not in text
@@ -201,6 +215,47 @@ def test_conversations_read_back(spark):
     assert q.digest_conversations(chat.format_turns(nothing, PATH), PATH).count() == 0
 
 
+def test_ids_are_those_of_the_escaped_texts(spark):
+    """Against the same vocabulary read by another library."""
+    plain = Tokenizer.from_file(vocabulary_path("byte_bpe_50k.json"))
+    plain.encode_special_tokens = True
+    reserved = chat.reserved_ids(PATH)
+    rows = chat.format_turns(conversations(spark), PATH).collect()
+    assert len(rows) == conversations(spark).count()
+    for r in rows:
+        inner = r.formatted
+        begin = next(m for m in (*chat.MARKS.values(), (chat.ROLE, chat.END_TURN)) if inner.startswith(m[0]))
+        inner = inner.removeprefix(begin[0]).removesuffix(begin[1])
+        parts = inner.split(chat.END_ROLE) if begin[0] == chat.ROLE else [inner]
+        ids = [plain.encode(p, add_special_tokens=False).ids for p in parts]
+        between = [reserved[chat.END_ROLE]] if len(parts) > 1 else []
+        head = [reserved[begin[0]], *(ids[0] + between if between else [])]
+        assert r.ids == [*head, *ids[-1], reserved[begin[1]]]
+        lost = begin[0] == chat.MARKS["assistant"][0]
+        assert r.loss_mask == [False] * len(head) + [lost] * len(ids[-1]) + [False]
+
+
+@given(st.lists(st.tuples(st.one_of(MIXED, st.sampled_from(list(chat.MARKS))), MIXED), min_size=1, max_size=4))
+def test_turns_are_read_from_ids_and_mask(turns):
+    known = chat.codec(PATH)
+    ids, masks = [], []
+    for role, text in turns:
+        content = known.encode(chat.escape(text))
+        if role in chat.MARKS:
+            head, end = [known.reserved[chat.MARKS[role][0]]], known.reserved[chat.MARKS[role][1]]
+        else:
+            name = known.encode(chat.escape(role))
+            head = [known.reserved[chat.ROLE], *name, known.reserved[chat.END_ROLE]]
+            end = known.reserved[chat.END_TURN]
+        ids.append([*head, *content, end])
+        masks.append([False] * len(head) + [role == "assistant"] * len(content) + [False])
+    # A slice of a longer column, as batches are read.
+    spare = [[known.reserved["<s>"], known.reserved["</s>"]]]
+    both = (pa.array(spare + ids, pa.list_(pa.int32())), pa.array([[False] * 2] + masks, pa.list_(pa.bool_())))
+    found = list(chat.read_turns(*[column.slice(1) for column in both], PATH))
+    assert found == [(r, t, t if r == "assistant" else "") for r, t in turns]
+
+
 def test_no_text_yields_a_reserved_id(spark):
     reserved = set(chat.reserved_ids(PATH).values())
     for r in chat.format_turns(conversations(spark), PATH).collect():
