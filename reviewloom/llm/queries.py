@@ -158,14 +158,12 @@ FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"
 
 @query
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    records = table(spark, sf_dir, "documents").select(
-        "doc_id",
+    dealt = shards.shuffle_into_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce(F.col("record.text"), F.lit(""))
+    return dealt.select(
+        "record.doc_id",
         (F.octet_length(text) + 8).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-    )
-    return shards.shuffle_into_shards(records).select(
-        "record.*",
         F.lit("rows").alias("law"),
         "shard",
         "slot",

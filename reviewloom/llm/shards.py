@@ -1,12 +1,16 @@
 """Two-pass external shuffle into shards, with DataFrame functions only.
 
 Pass one scatters records over buckets by a seeded hash of their row number, so
-neither copies nor a hot key can fill a bucket; the number of buckets follows
-from the number of records, so a bucket fits in memory. Pass two runs Spark's
-``shuffle`` (Fisher-Yates) over each bucket. The buckets one after the other are
-one random order of all records; dealing that order round-robin gives shards
+neither copies nor a hot key can fill a bucket. Pass two runs Spark's ``shuffle``
+(Fisher-Yates) over the row numbers of each bucket. The buckets one after the other
+are one random order of all records; dealing that order round-robin gives shards
 whose counts differ by one at most.
 
+Only row numbers are held in arrays, so a bucket takes 8 bytes a record whatever the
+records hold. Whole records move once, to meet their places in a merge join, which
+spills to disk: no task holds more than one of them beyond its sort memory, and a
+single giant one needs no path of its own.
+
 Records go to the scratch folder first: row numbers, and with them bucket, slot
 and shard, then stay the same when tasks run again. Project records to what is
 needed before: every column moves.
@@ -24,7 +28,7 @@ from reviewloom.llm.common import written
 
 SHARDS = 24
 SEED = 42
-BUCKET_ROWS = 16_384  # a bound on what one array holds
+BUCKET_ROWS = 16_384  # row numbers in one array
 BLOCK = 1024  # buckets whose offsets are summed together
 
 
@@ -42,24 +46,25 @@ def shuffle_into_shards(
     # A count of written Parquet reads file footers only.
     buckets = max(1, -(-numbered.count() // bucket_rows))
     bucket = F.pmod(F.xxhash64(F.lit(seed), F.col("row")), F.lit(buckets)).alias("bucket")
-    scattered = numbered.select(bucket, "row", "record")
+    scattered = numbered.select(bucket, "row")
 
     # Sorted first, as the order of arrival in a bucket is not repeatable; and buckets
     # in order, as a task draws its random numbers from one sequence for all of its own.
-    members = F.sort_array(F.collect_list(F.struct("row", "record")))
+    members = F.sort_array(F.collect_list("row"))
     shuffled = (
         scattered.groupBy("bucket")
         .agg(members.alias("members"))
         .sortWithinPartitions("bucket")
-        .select("bucket", F.posexplode(F.shuffle("members", F.lit(seed))).alias("at", "member"))
+        .select("bucket", F.posexplode(F.shuffle("members", F.lit(seed))).alias("at", "row"))
     )
     offsets = _offsets(scattered.groupBy("bucket").agg(F.count("*").alias("rows")))
     rank = F.col("offset") + F.col("at")
-    return shuffled.join(offsets, "bucket").select(
-        F.col("member.record").alias("record"),
+    places = shuffled.join(offsets, "bucket").select(
+        "row",
         (rank % shards).cast("int").alias("shard"),
         F.floor(rank / F.lit(shards)).alias("slot"),
     )
+    return numbered.join(places, "row").select("record", "shard", "slot")
 
 
 def _offsets(sizes: DataFrame) -> DataFrame:

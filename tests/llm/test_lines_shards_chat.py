@@ -154,6 +154,22 @@ def test_buckets_are_shuffled_in_order(spark, plan):
     assert first == again and len(first) == 5000
 
 
+def test_texts_go_through_the_shuffle_and_arrays_hold_row_numbers(spark, plan):
+    text = plan(q.op7_sharding(spark, SF))
+    assert "crc32" in text and text.index("crc32") < text.index("Join")
+    arrays = [line for line in text.splitlines() if "collect_list(" in line]
+    assert arrays and all("collect_list(row#" in line for line in arrays)
+
+
+def test_a_giant_record_is_dealt_whole(spark):
+    size = F.when(F.col("id") == 3, 60_000_000).otherwise(F.lit(10))
+    df = spark.range(50).select("id", F.repeat(F.lit("x"), size.cast("int")).alias("text"))
+    rows = shards.shuffle_into_shards(df, shards=7).select("record.id", F.length("record.text"), "shard", "slot")
+    rows = rows.collect()
+    assert {r[0]: r[1] for r in rows} == {i: 60_000_000 if i == 3 else 10 for i in range(50)}
+    assert sorted(r.slot * 7 + r.shard for r in rows) == list(range(50))
+
+
 def test_sharding_is_native(spark, plan):
     text = plan(q.op7_sharding(spark, SF))
     assert "Python" not in text and "MapInArrow" not in text and "Pandas" not in text
