@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -140,9 +141,15 @@ class Encoder:
 
 
 def _letters(core: bytes) -> bool:
-    """Capital sigma is left out: it has two small forms, chosen by its neighbours."""
+    """Letters that the vocabulary's normalizer (NFC, then lower case) leaves letters.
+
+    Some turn into a letter and a mark there, which is one pre-token with punctuation
+    behind it. Capital sigma is left out: it has two small forms, chosen by its neighbours.
+    """
     letters = core.decode("utf-8", "replace")
-    return letters.isalpha() and "\u03a3" not in letters
+    if "\u03a3" in letters or not letters.isalpha():
+        return False
+    return unicodedata.normalize("NFC", letters).lower().isalpha()
 
 
 def _strings(texts: pa.Array) -> pa.Array:

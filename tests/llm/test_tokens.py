@@ -38,6 +38,20 @@ def test_words_encode_like_whole_texts(texts):
 Encoder_shared = Encoder(PATH)
 
 
+@pytest.mark.parametrize("text", [
+    "\u09b9\u09df,", "\u09dc! \u09dd.", "\u0130,", "Diyarbak\u0130; x\u0130", "\u0958, \u095f?",
+    "\ufb2a.", "\u0a33) \u0b5c]", "\u0f43:", "\u03a3\u0391\u03a3, \u00c9t\u00e9.",
+])
+def test_letters_that_the_normalizer_splits(text):
+    assert Encoder(PATH).encode_ids([text.encode()]) == [plain_ids(text)]
+
+
+def test_every_letter_before_punctuation():
+    words = [c + "," for c in map(chr, range(0x110000)) if c.isalpha()]
+    plain = [e.ids for e in PLAIN.encode_batch(words, add_special_tokens=False)]
+    assert Encoder(PATH).encode_ids([w.encode() for w in words]) == plain
+
+
 def test_memory_of_words_is_bounded_and_harmless(monkeypatch):
     import reviewloom.llm.tokens as tokens
 
