@@ -8,22 +8,25 @@ as is one that fails the base rules. Texts of fewer than ``MIN_WORDS`` words are
 too short for either histogram and are judged by the base rules alone.
 
 References are summed per batch and task in whole millionths, so they do not
-depend on the order of rows; a language costs one row. Documents whose language
-has no word list here share one reference and are judged by characters only.
+depend on the order of rows; a language costs one row. Every value of the language
+column has a reference of its own. A language without a word list here gets the
+words that most of its own long documents hold, once ``MIN_DOCUMENTS`` of them are
+there; with fewer, its documents are judged by the base rules alone.
 
 Defined results: a NULL or empty text has no words and fails the base rules; a
-NULL language has no word list; ids are carried through; repeated rows get equal
-results; an empty table gives no rows.
+NULL or empty language has no reference, so the base rules alone judge; ids are
+carried through; repeated rows get equal results; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.llm.common import (
@@ -44,6 +47,7 @@ COMMON = {
 }
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
+MIN_DOCUMENTS = 20  # of a language without a word list
 MAX_CHARACTER_DISTANCE = 0.25
 # Few words scatter more: the limit is 0.25 + 1 / sqrt(words).
 MAX_WORD_DISTANCE, WORD_SCATTER = 0.25, 1.0
@@ -102,17 +106,24 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
     return n_words < BASE_WORDS or 100 * n_repeat_words > BASE_REPEATED * n_words
 
 
-def histograms(text: bytes, lang: str) -> tuple[np.ndarray, np.ndarray]:
-    """Characters by class; common words of the language and, last, all others."""
+class Reference(NamedTuple):
+    """Of one language: summed histograms and its common words."""
+
+    sums: np.ndarray
+    common: list[bytes]
+
+
+def histograms(text: bytes, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Characters by class; the common ``words`` and, last, all others."""
     by_byte = np.bincount(np.frombuffer(text, np.uint8), minlength=256)
     by_byte[0x80:0xC0] = 0  # a character beyond ASCII counts by its first byte
     characters = np.bincount(_CLASS_OF, weights=by_byte, minlength=N_CLASSES).astype(np.int64)
     counted = Counter(alnum_words(text))
-    common = [counted[word] for word in _LISTS.get(lang, [])]
-    words = np.zeros(N_WORDS, np.int64)
-    words[: len(common)] = common
-    words[-1] = counted.total() - sum(common)
-    return characters, words
+    common = [counted[word] for word in words]
+    by_word = np.zeros(N_WORDS, np.int64)
+    by_word[: len(common)] = common
+    by_word[-1] = counted.total() - sum(common)
+    return characters, by_word
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> float:
@@ -132,47 +143,94 @@ def _millionths(counts: np.ndarray) -> np.ndarray:
     return counts * _MILLION // max(1, int(counts.sum()))
 
 
-def references(docs: DataFrame, min_words: int = MIN_WORDS) -> dict[str, np.ndarray]:
-    """Per language ('' for all without a word list) the summed histograms.
+def _long_texts(batch: pa.RecordBatch, min_words: int):
+    """Text and language of the rows that are long enough and have a language."""
+    for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
+        if lang:
+            text = text.as_py() or b""
+            if len(text.split(maxsplit=min_words)) >= min_words:
+                yield text, lang
 
-    ``docs`` has ``text`` as bytes and ``lang``. Five rows come to the driver.
-    """
+
+def _sums(docs: DataFrame, lists: dict[str, list[bytes]], min_words: int) -> DataFrame:
+    """Per language its long documents, and their histograms by the words of ``lists``."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             sums: dict[str, np.ndarray] = {}
-            for text, lang in zip(batch.column("text"), batch.column("lang").to_pylist()):
-                text = text.as_py() or b""
-                if len(text.split(maxsplit=min_words)) < min_words:
-                    continue
-                lang = lang if lang in COMMON else ""
-                both = np.concatenate([_millionths(h) for h in histograms(text, lang)])
-                sums[lang] = sums.get(lang, 0) + both
-            totals = np.array(list(sums.values()), np.int64).reshape(-1, WIDTH)
+            for text, lang in _long_texts(batch, min_words):
+                both = [_millionths(h) for h in histograms(text, lists.get(lang, []))]
+                sums[lang] = sums.get(lang, 0) + np.concatenate([[1], *both])
+            totals = np.array(list(sums.values()), np.int64).reshape(-1, 1 + WIDTH)
             arrays = [pa.array(list(sums), pa.string()), *[pa.array(c) for c in totals.T]]
             return pa.RecordBatch.from_arrays(arrays, names=["lang", *names])
 
         return step
 
-    names = [f"h{i}" for i in range(WIDTH)]
+    names = ["documents", *[f"h{i}" for i in range(WIDTH)]]
     schema = "lang string, " + ", ".join(f"{n} bigint" for n in names)
-    sums = map_batches(docs.select("text", "lang"), schema, make, rows=None)
-    rows = sums.groupBy("lang").agg(*[F.sum(n).alias(n) for n in names]).collect()
-    return {row.lang: np.array(row[1:], np.int64) for row in rows}
+    sums = map_batches(docs, schema, make, rows=None)
+    return sums.groupBy("lang").agg(*[F.sum(n).alias(n) for n in names])
+
 
+def common_words(docs: DataFrame, min_words: int = MIN_WORDS) -> dict[str, list[bytes]]:
+    """Per language the words that most of its long documents hold, ties by their bytes."""
 
-def measure(text: bytes | None, lang: str | None, known: dict[str, np.ndarray]) -> tuple:
-    """Base counts, both distances (None if too short) and both verdicts."""
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            held: Counter = Counter()
+            for text, lang in _long_texts(batch, min_words):
+                held.update((lang, word) for word in set(alnum_words(text)))
+            arrays = [
+                pa.array([lang for lang, _ in held], pa.string()),
+                pa.array([word for _, word in held], pa.binary()),
+                pa.array(held.values(), pa.int64()),
+            ]
+            return pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "documents"])
+
+        return step
+
+    held = map_batches(docs, "lang string, word binary, documents bigint", make, rows=None)
+    held = held.groupBy("lang", "word").agg(F.sum("documents").alias("documents"))
+    order = Window.partitionBy("lang").orderBy(F.desc("documents"), "word")
+    rows = held.withColumn("at", F.row_number().over(order)).where(F.col("at") < N_WORDS)
+    lists: dict[str, list[bytes]] = {}
+    for row in sorted(rows.collect(), key=lambda row: row["at"]):
+        lists.setdefault(row.lang, []).append(bytes(row.word))
+    return lists
+
+
+def references(
+    docs: DataFrame, min_words: int = MIN_WORDS, min_documents: int = MIN_DOCUMENTS
+) -> dict[str, Reference]:
+    """Per language its reference.
+
+    ``docs`` has ``text`` as bytes and ``lang``. A row per language comes to the
+    driver. Languages without a word list are read twice more, if there are any.
+    """
+    docs = docs.select("text", "lang")
+    enough = F.col("lang").isin(*COMMON) | (F.col("documents") >= min_documents)
+    rows = _sums(docs, _LISTS, min_words).where(enough).collect()
+    known = {row.lang: Reference(np.array(row[2:], np.int64), _LISTS.get(row.lang, [])) for row in rows}
+    others = [lang for lang in known if lang not in COMMON]
+    if others:
+        docs = docs.where(F.col("lang").isin(*others))
+        lists = common_words(docs, min_words)
+        for row in _sums(docs, lists, min_words).collect():
+            known[row.lang] = Reference(np.array(row[2:], np.int64), lists.get(row.lang, []))
+    return known
+
+
+def measure(text: bytes | None, lang: str | None, known: dict[str, Reference]) -> tuple:
+    """Base counts, both distances (None without a reference or if too short) and both verdicts."""
     counts = base_counts(text)
     failed = base_failed(counts[0], counts[4])
     near, apart = None, None
-    if counts[0] >= MIN_WORDS:
-        lang = lang if lang in COMMON else ""
-        characters, words = histograms(text, lang)
-        reference = known.get(lang)
-        if reference is not None:
-            near = js_distance(characters, reference[:N_CLASSES])
-            apart = js_distance(words, reference[N_CLASSES:])
+    reference = known.get(lang)
+    if counts[0] >= MIN_WORDS and reference is not None:
+        characters, words = histograms(text, reference.common)
+        near = js_distance(characters, reference.sums[:N_CLASSES])
+        apart = js_distance(words, reference.sums[N_CLASSES:])
     far = near is not None and (
         near > MAX_CHARACTER_DISTANCE
         or apart > MAX_WORD_DISTANCE + WORD_SCATTER / math.sqrt(counts[0])

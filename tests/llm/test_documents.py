@@ -120,6 +120,32 @@ def test_rejections_do_not_depend_on_partitions(awkward):
     assert runs[0] == runs[1]
 
 
+def plain_text(rand, words, size=80):
+    return " ".join(rand.choice(words) + rand.choice(["", "", ","]) for _ in range(size))
+
+
+def test_every_language_has_its_own_reference(spark):
+    rand = random.Random(3)
+    words = {
+        "it": "di che la il un non per una sono con casa tempo giorno uomo vita mano".split(),
+        "zh": "\u7684\u4e00 \u662f\u4e0d \u4e86\u4eba \u6211\u5728 \u6709\u4ed6 \u8fd9\u4e3a \u4e4b\u5927 \u6765\u4ee5".split(),
+        "ru": "\u0438 \u0432 \u043d\u0435 \u043d\u0430 \u0447\u0442\u043e \u043e\u043d \u0441 \u0434\u043e\u043c".split(),
+    }
+    rows = [(f"{lang}{i}", plain_text(rand, words[lang]), lang) for lang in words for i in range(40)]
+    rows += [(f"few{i}", plain_text(rand, words["ru"]), "uk") for i in range(3)]
+    rows += [(f"null{i}", plain_text(rand, words[lang]), None) for i, lang in enumerate(words)]
+    rows += [("short", "one two", None), ("junk", "#$ %& " * 3 + plain_text(rand, ["1234", "56", "78", "90"], 90), "it")]
+    # Same letters, none of the language's words.
+    other = "lorem ipsum dolor amet elit sed tempor labore magna aliqua quis nisi".split()
+    rows.append(("foreign", plain_text(rand, other, 400), "it"))
+    found = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id string, text string, lang string").repartition(4)).collect()}
+    clean = {r.doc_id for r in found.values() if not r.base_failed}
+    lost = {key for key in clean if not found[key].kept}
+    assert lost == {"junk", "foreign"} and "short" not in clean
+    assert found["foreign"].character_distance <= quality.MAX_CHARACTER_DISTANCE
+    assert found["null0"].character_distance is None and found["few0"].word_distance is None
+
+
 # --- Licenses ------------------------------------------------------------
 
 
