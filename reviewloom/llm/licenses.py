@@ -5,10 +5,15 @@ A template is license text with regions in SPDX markup: optional wording between
 ``<<var;name="..";original="..";match="..">>``. It is compiled to an automaton
 over words: mandatory words must follow one another exactly, optional ones may be
 left out as a whole, a replaceable region takes any words within its bounds
-(``.+`` one to eight, ``.*`` none to eight, ``.{m,n}`` that many). The states
+(``.+`` one or more, ``.*`` any number, ``.{m,n}`` that many). The states
 that can be reached together become one state when first met, so a text is read
 with one step per word. An automaton starts wherever a text has its first
-mandatory word and takes the longest match.
+mandatory word and takes the longest match. Starts that reach the same state go on
+as one, so work follows the length of a text however often it starts.
+
+``WHOLE`` has bodies of licenses with every clause and disclaimer, ``TEMPLATES``
+notices as authors put them and, in ``OPENINGS``, first sentences of bodies: these
+alone say nothing about the conditions behind them.
 
 Words are those of letters, digits and characters beyond ASCII, A-Z lower-cased;
 case, punctuation and line breaks of a license do not matter.
@@ -28,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from reviewloom.llm.common import alnum_words, as_bytes, columns, keyed_schema, map_batches
+from reviewloom.llm.license_texts import WHOLE
 
 # Phrases and their labels.
 PHRASES = {
@@ -35,7 +41,6 @@ PHRASES = {
     "general public license": "gpl",
     "all rights reserved": "reserved",
 }
-MOST_REPLACED = 8
 
 _VERSION = '<<var;name="version";original="";match=".{0,3}">>'
 _HOLDER = '<<var;name="holder";original="the copyright holder";match=".{1,8}">>'
@@ -66,6 +71,9 @@ TEMPLATES = [
      f"<<var;name=\"year\";original=\"2024\";match=\".{{1,2}}\">> {_HOLDER} all rights reserved"),
 ]
 
+# Templates above that stop before the conditions.
+OPENINGS = {t for _, t in TEMPLATES if t.startswith(("permission is", "redistribution and"))}
+
 _MARKUP = re.compile(r"<<(beginOptional|endOptional|var;[^>]*)>>")
 _MATCH = re.compile(r'match="\.(\+|\*|\{(\d+),(\d+)\})"')
 _ANY = None  # a transition that takes any word
@@ -127,9 +135,17 @@ def compile_template(label: str, template: str) -> Automaton:
             if not bounds:
                 raise ValueError(f"{label}: a replaceable region needs match=\".+\", "
                                  f"\".*\" or \".{{m,n}}\", not {kind!r}")
-            least, most = {"+": (1, MOST_REPLACED), "*": (0, MOST_REPLACED)}.get(
-                bounds.group(1)
-            ) or (int(bounds.group(2)), int(bounds.group(3)))
+            if bounds.group(1) in "+*":
+                if bounds.group(1) == "+":
+                    after = automaton.state()
+                    automaton.steps[at].append((_ANY, after))
+                    at = after
+                loop = automaton.state()
+                automaton.skips[at].append(loop)
+                automaton.steps[loop].append((_ANY, loop))
+                at = loop
+                continue
+            least, most = int(bounds.group(2)), int(bounds.group(3))
             ends = [at] if least == 0 else []
             for taken in range(1, most + 1):
                 after = automaton.state()
@@ -182,15 +198,66 @@ class Matcher:
         return longest
 
 
+    def spans(self, words: list[bytes], starts: list[int]) -> list[tuple[int, int]]:
+        """``start, longest`` of all starts, in order, that have a match."""
+        final, n = self.automaton.final, len(words)
+        ends: list[int] = []  # per run its last end, and the run that it went on in
+        onto: list[int] = []
+        running: dict[frozenset[int], int] = {}
+
+        def run() -> int:
+            ends.append(0)
+            onto.append(-1)
+            return len(ends) - 1
+
+        own, at, waiting = [], 0, 0
+        while waiting < len(starts) or running:
+            if not running:
+                at = starts[waiting]
+            if waiting < len(starts) and starts[waiting] == at:
+                own.append(run())
+                waiting += 1
+                if self.start in running:
+                    joined = run()
+                    onto[running[self.start]] = onto[own[-1]] = joined
+                    running[self.start] = joined
+                else:
+                    running[self.start] = own[-1]
+            if at == n:
+                break
+            after: dict[frozenset[int], int] = {}
+            for states, number in running.items():
+                states = self._step(states, words[at])
+                if not states:
+                    continue
+                if states in after:
+                    joined = run()
+                    onto[after[states]] = onto[number] = joined
+                    number = joined
+                after[states] = number
+            at += 1
+            for states, number in after.items():
+                if final in states:
+                    ends[number] = at
+            running = after
+        for number in reversed(range(len(ends))):  # a run goes on in a later one
+            if onto[number] >= 0:
+                ends[number] = max(ends[number], ends[onto[number]])
+        return [(s, ends[o] - s) for s, o in zip(starts, own) if ends[o]]
+
+
 class Scanner:
     """All phrases and templates over one text."""
 
     def __init__(self, templates: list[tuple[str, str]], phrases: dict[str, str]):
-        self.templates: dict[bytes, list[Matcher]] = {}
+        self.matchers: list[tuple[Matcher, bool]] = []
+        self.templates: dict[bytes, list[int]] = {}
         for label, template in templates:
             matcher = Matcher(compile_template(label, template))
+            number = len(self.matchers)
+            self.matchers.append((matcher, template in OPENINGS))
             for word in matcher.first:
-                self.templates.setdefault(word, []).append(matcher)
+                self.templates.setdefault(word, []).append(number)
         self.phrases: dict[bytes, list[tuple[list[bytes], str]]] = {}
         for phrase, label in phrases.items():
             words = alnum_words(phrase.encode())
@@ -199,29 +266,39 @@ class Scanner:
 
     def scan(self, text: bytes | None) -> tuple:
         """n_words, places (start, label) of phrases, spans (label, start, words)."""
+        n_words, places, found = self.find(text)
+        return n_words, places, [span[:3] for span in found]
+
+    def find(self, text: bytes | None) -> tuple:
+        """As ``scan``, with spans (label, start, words, opening)."""
         words = alnum_words(text)
         first = self.first
-        places, spans = [], []
+        places, starts = [], {}
         for at in [i for i, word in enumerate(words) if word in first]:
             for phrase, label in self.phrases.get(words[at], ()):
                 if words[at : at + len(phrase)] == phrase:
                     places.append((at, label))
-            for matcher in self.templates.get(words[at], ()):
-                length = matcher.longest(words, at)
-                if length:
-                    spans.append((matcher.automaton.label, at, length))
-        return len(words), places, spans
+            for number in self.templates.get(words[at], ()):
+                starts.setdefault(number, []).append(at)
+        longest: dict[tuple, int] = {}  # two templates of a label give one span
+        for number, places_of in starts.items():
+            matcher, opening = self.matchers[number]
+            for at, length in matcher.spans(words, places_of):
+                key = matcher.automaton.label, at, opening
+                longest[key] = max(length, longest.get(key, 0))
+        spans = [(label, at, n, opening) for (label, at, opening), n in longest.items()]
+        return len(words), places, sorted(spans, key=lambda span: (span[1], span[0], span[2]))
 
 
 SCANNED = """n_words bigint, places array<struct<start: bigint, label: string>>,
-  spans array<struct<label: string, start: bigint, n_words: bigint>>"""
+  spans array<struct<label: string, start: bigint, n_words: bigint, opening: boolean>>"""
 
 
 def scan_licenses(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    templates: list[tuple[str, str]] = TEMPLATES,
+    templates: list[tuple[str, str]] = TEMPLATES + WHOLE,
     phrases: dict[str, str] = PHRASES,
 ) -> DataFrame:
     """Per document: number of words, places of phrases and spans of accepted templates."""
@@ -233,17 +310,18 @@ def scan_licenses(
         scanner = Scanner(templates, phrases)
         place = pa.list_(pa.struct([("start", pa.int64()), ("label", pa.string())]))
         span = pa.list_(
-            pa.struct([("label", pa.string()), ("start", pa.int64()), ("n_words", pa.int64())])
+            pa.struct([("label", pa.string()), ("start", pa.int64()), ("n_words", pa.int64()),
+                       ("opening", pa.bool_())])
         )
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [scanner.scan(t.as_py()) for t in batch.column(1)]
+            found = [scanner.find(t.as_py()) for t in batch.column(1)]
             arrays = [
                 batch.column(0),
                 pa.array([f[0] for f in found], pa.int64()),
                 pa.array([[{"start": s, "label": x} for s, x in f[1]] for f in found], place),
-                pa.array([[{"label": x, "start": s, "n_words": n} for x, s, n in f[2]]
-                          for f in found], span),
+                pa.array([[{"label": x, "start": s, "n_words": n, "opening": o}
+                           for x, s, n, o in f[2]] for f in found], span),
             ]
             return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "places", "spans"])
 

@@ -64,8 +64,13 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_max(starts).alias("last_word"),
         F.array_join(F.sort_array(base), ",").alias("base_labels"),
         F.array_join(F.sort_array(method), ",").alias("labels"),
-        # A whole notice is certain, a phrase alone is a hint.
-        F.when(F.size("spans") > 0, 1.0).when(F.size("places") > 0, 0.5).otherwise(0.0).alias("score"),
+        # A whole text or notice is certain; an opening may have other conditions behind
+        # it, a phrase alone is a hint.
+        F.when(F.exists("spans", lambda span: ~span.opening), 1.0)
+        .when(F.size("spans") > 0, 0.75)
+        .when(F.size("places") > 0, 0.5)
+        .otherwise(0.0)
+        .alias("score"),
     )
 
 

@@ -249,6 +249,66 @@ def test_automaton_accepts_what_the_pattern_does(text):
     assert matcher.longest([w.encode() for w in words], 0) == max(ends, default=0)
 
 
+@given(st.text(st.sampled_from("abc "), max_size=40), st.sampled_from("+*"))
+def test_unbounded_regions_and_all_starts_at_once(text, kind):
+    template = f'a b<<var;name="v";original="x";match=".{kind}">> a c'
+    matcher = licenses.Matcher(licenses.compile_template("t", template))
+    words = text.split()
+    expected = []
+    starts = [i for i, w in enumerate(words) if w == "a"]
+    for i in starts:
+        ends = [j for j in range(i + 1, len(words) + 1)
+                if re.fullmatch(rf"a b (?:\S+ ){kind}a c ", "".join(w + " " for w in words[i:j]))]
+        expected += [(i, max(ends) - i)] if ends else []
+    assert matcher.spans([w.encode() for w in words], starts) == expected
+
+
+def filled(template, holder="the copyright holder"):
+    """A template as one text: optional wording in, regions as in the original."""
+    template = template.replace('original="the copyright holder"', f'original="{holder}"')
+    text = re.sub(r'<<var;name="[^"]*";original="([^"]*)"[^>]*>>', r"\1", template)
+    return re.sub("<<(begin|end)Optional>>", " ", text)
+
+
+BOTH_BSD = ["binary form must reproduce", "PROFITS; OR BUSINESS", "OF THE USE OF THIS SOFTWARE"]
+CLAUSES = {
+    "mit": ["copies or substantial", "WITHOUT WARRANTY", "TORT OR OTHERWISE"], "bsd": BOTH_BSD,
+    "apa": ["irrevocable copyright license", "Redistribution.", "indemnify"],
+    "gpl": ["warranty", "patent", "modified"], "cop": ["all rights"],
+}
+
+
+def test_whole_licenses_need_every_clause(spark):
+    scanner = licenses.Scanner(licenses.TEMPLATES + licenses.WHOLE, licenses.PHRASES)
+    names = lambda text: {s[0] for s in scanner.find(text.encode())[2] if not s[3]}
+    for label, template in licenses.WHOLE:
+        text = "Some heading. " + filled(template, "nine words " * 9)
+        assert label in names(text)
+        assert not {"bsd-2-clause", "bsd-3-clause", "bsd-4-clause"} - {label} & names(text)
+        text = " ".join(text.split())
+        for clause in CLAUSES[label[:3]]:
+            assert clause in text and label not in names(text.replace(clause, "unlike that"))
+    bsd = filled(dict(licenses.WHOLE)["bsd-3-clause"])
+    rows = [(0, bsd), (1, bsd[:300] + " and more"), (2, "cc by"), (3, "none"),
+            (4, filled(dict(licenses.WHOLE)["mit"]).split("including without")[0])]
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    spans = {r.doc_id: [(s.label, s.opening) for s in r.spans] for r in found.collect()}
+    assert spans == {0: [("bsd", True), ("bsd-3-clause", False)], 1: [("bsd", True)], 2: [], 3: [], 4: [("mit", True)]}
+
+
+def test_many_starts_of_an_open_region_take_linear_time():
+    scanner = licenses.Scanner(licenses.TEMPLATES + licenses.WHOLE, licenses.PHRASES)
+    assert len(scanner.scan(b"copyright " * 100_000 + b"all rights reserved")[2]) > 90_000
+
+
+def test_openings_score_lower_than_whole_texts(spark, tmp_path):
+    mit = filled(dict(licenses.WHOLE)["mit"])
+    rows = [(0, mit), (1, mit[:400]), (2, "All rights reserved"), (3, "no")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    scores = {r.doc_id: r.score for r in q.op2_license_scan(spark, str(tmp_path)).collect()}
+    assert scores == {0: 1.0, 1: 0.75, 2: 0.5, 3: 0.0}
+
+
 @pytest.mark.parametrize("bad", [
     "a <<beginOptional>> b", '<<var;name="x";match=".+">> b', "<<beginOptional>>a<<endOptional>>",
     'a <<var;name="x";match="[0-9]+">>',
