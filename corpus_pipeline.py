@@ -65,8 +65,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4,096 ids."""
-    return packing.pack_documents(docs, vocabulary_path(TOKENIZER))
+    """Pieces of documents in sequences of 4,096 ids, with their ids."""
+    return packing.pack_documents(docs, vocabulary_path(TOKENIZER), with_ids=True)
 
 
 STAGES = [

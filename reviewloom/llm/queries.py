@@ -7,6 +7,7 @@ statements with the same rows where SQL can express them.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -77,7 +78,24 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, vocabulary_path(TOKENIZER))
+    return digest_pieces(packing.pack_documents(docs, vocabulary_path(TOKENIZER), with_ids=True))
+
+
+def digest_pieces(pieces: DataFrame) -> DataFrame:
+    """Pieces without their ids; ``ids_crc32`` is that of the ids as 4 bytes each."""
+    schema = pieces.drop("ids").schema
+    at = schema.names.index("ids_crc32")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            values, bounds = ids.values.to_numpy().astype("<i4"), ids.offsets.to_pylist()
+            digests = [zlib.crc32(values[a:b]) for a, b in zip(bounds, bounds[1:])]
+            arrays = [batch.column(name) for name in schema.names]
+            arrays[at] = pa.array(digests, pa.int64())
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return pieces.mapInArrow(run, schema)
 
 
 @query

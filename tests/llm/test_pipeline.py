@@ -7,7 +7,7 @@ import corpus_pipeline as cp
 import pytest
 from test_documents import lower, plain_classes, plain_fingerprint, plain_passages, plain_quality
 from test_lines_shards_chat import plain_lines
-from test_tokens import check_pieces
+from test_tokens import check_pieces, plain_ids
 
 import __spark_entry__ as contract
 from reviewloom.llm import queries as q
@@ -72,6 +72,15 @@ def test_run_is_the_stages_in_order(spark, tmp_path):
     assert set(key(found)) == set(key(docs))
 
 
+def test_the_last_stage_returns_the_sequences(spark):
+    docs = q.table(spark, SF, "documents").select(cp.COLUMNS)
+    whole = {}
+    for r in sorted(cp.pack(spark, docs, SF).collect(), key=lambda r: (r.doc_id, r.start)):
+        assert len(r.ids) == r.length
+        whole.setdefault(r.doc_id, []).extend(r.ids)
+    assert whole == {r.doc_id: [*plain_ids(r.text), 2] for r in docs.collect()}
+
+
 def test_nothing_in_nothing_out(spark, nothing, tmp_path):
     docs = reread(spark, nothing.select(cp.COLUMNS), str(tmp_path / "empty"))
     for number, (_, stage) in enumerate(cp.STAGES):

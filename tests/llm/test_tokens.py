@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from reviewloom.llm import lengths, matrices, packing
@@ -102,6 +103,16 @@ def test_packing_query(spark):
     assert len(sequences) <= 1.03 * total / 4096 + 1
 
 
+def test_digests_come_from_the_ids(spark):
+    docs = q.table(spark, SF, "documents")
+    pieces = packing.pack_documents(docs, PATH, with_ids=True).withColumn("ids_crc32", F.lit(-1).cast("bigint"))
+    found = q.digest_pieces(pieces)
+    assert found.columns == packing.pack_documents(docs, PATH).columns
+    key = lambda r: (r.doc_id, r.start, r.sequence_id, r.offset)
+    expected = {key(r): zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in pieces.collect()}
+    assert {key(r): r.ids_crc32 for r in found.collect()} == expected
+
+
 def test_packing_of_awkward_rows(awkward, nothing):
     docs = [(r.doc_id, r.text) for r in awkward.collect()]
     check_pieces(docs, packing.pack_documents(awkward, PATH).collect())
