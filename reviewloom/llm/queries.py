@@ -10,14 +10,17 @@ import hashlib
 import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import (
+    align,
     chat,
     decontaminate,
+    langid,
     lengths,
     licenses,
     lines,
@@ -27,6 +30,7 @@ from reviewloom.llm import (
     shards,
     simhash,
 )
+from reviewloom.llm.common import keyed_schema
 from reviewloom.llm.tokens import vocabulary_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -289,3 +293,53 @@ SELECT conv_id, count(*) AS n_turns,
     AS loss_sha256,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id"""
+
+
+@query
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # A NULL id has no remainder: such a row is neither learnt from nor held out.
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    prototypes = langid.learn(docs.where(remainder != 2))
+    found = langid.predict(
+        docs.select(F.struct("doc_id", remainder.eqNullSafe(2).alias("held_out")).alias("row"), "text"),
+        prototypes,
+        id_col="row",
+    )
+    return found.select("doc_id.doc_id", "doc_id.held_out", "lang_pred", "score")
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = vocabulary_path(align.A_RANKS), vocabulary_path(align.B_MODEL)
+    aligned, links = align.aligned_with_counts(table(spark, sf_dir, "documents"), *paths)
+    return digest_alignment(aligned, links, *paths)
+
+
+def digest_alignment(
+    aligned: DataFrame, links: align.Links, a_path: str, b_path: str
+) -> DataFrame:
+    """One row per document of ``align_tokenizers``; groups are spelled
+    ``a1,a2|b1;a3|b2,b3`` and hashed."""
+    known = aligned.sparkSession.sparkContext.broadcast(links)
+    schema = keyed_schema(
+        aligned,
+        """n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint,
+        count_sum bigint, groups_sha256 string""",
+    )
+
+    def step(batch: pa.RecordBatch, tokens: dict[str, np.ndarray]) -> pa.RecordBatch:
+        count, best = known.value.of(tokens)
+        groups = align.groups_per_document(tokens)
+        at = np.concatenate([[0], np.cumsum(groups)])
+        sums = [np.diff(np.append(0, np.cumsum(x, dtype=np.int64))[at]) for x in (best, count)]
+        texts = align.spelled_groups(tokens)
+        digests = [hashlib.sha256(text).hexdigest() if text else "" for text in texts]
+        arrays = [
+            *[batch.column(name) for name in ("doc_id", "n_a", "n_b")],
+            *[pa.array(x, pa.int64()) for x in (groups, groups, *sums)],
+            pa.array(digests, pa.string()),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, schema.names)
+
+    return align.map_tokens(aligned, schema, step, a_path, b_path)
