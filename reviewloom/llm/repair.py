@@ -6,11 +6,12 @@ either role may be inserted anywhere (3). A blank turn and one whose role and te
 before must be deleted; a truncated one that stays adds 3. Of the cheapest edits those win
 whose letters ``D I K R``, in order, are first in ASCII order.
 
-The search keeps an explicit stack of prefixes. A suffix lower bound, the cost of a
-relaxed problem in which a system turn may stand wherever a user turn may, cuts prefixes
-that cannot beat the incumbent (cost, letters); a table per node (turns done, state of
-the grammar) eliminates those dominated by a cheaper or smaller prefix there. When the
-stack is empty the incumbent is proved optimal.
+The search keeps an explicit stack of prefixes, the most promising on top. A suffix lower
+bound, the least cost from a state of the grammar whatever the letters, cuts prefixes
+that cannot beat the incumbent (cost, letters); a table per node (turns done, state)
+eliminates those dominated by a cheaper or smaller prefix there. When the stack is empty
+the incumbent is proved optimal. Looser bounds were tried first: on runs of system turns
+the search then took exponential time.
 
 A conversation of any length is solved in segments of at most ``SEGMENT`` turns, by all
 tasks: turns are spread by ranges of their order, not by conversation. An open segment
@@ -52,25 +53,27 @@ ROLES = {"u": "user", "a": "assistant"}
 IMPOSSIBLE = 1 << 60
 
 
-def lower_bounds(codes: str, goal: int) -> list[tuple[int, int]]:
-    """For every suffix of turns: its least cost where a user, and where an assistant turn
-    is waited for, in the relaxed problem."""
+def lower_bounds(codes: str, goal: int) -> list[list[int]]:
+    """For every suffix of turns and every state before it: the least cost to the goal."""
     if goal == END:
-        bound = (0, INSERT)
+        bound = [0, 2 * INSERT, INSERT, 0]
     else:
-        bound = (IMPOSSIBLE, 0) if goal == USER else (0, IMPOSSIBLE)
+        bound = [0 if state == goal else IMPOSSIBLE for state in range(END)]
     found = [bound]
     for code in reversed(codes):
         kind, spoilt = code.lower(), TRUNCATED if code.isupper() else 0
         costs = []
-        for waits, letter in enumerate("ua"):
-            best = DELETE + bound[waits]
+        for state, keeps in enumerate(KEEPS):
+            best = DELETE + bound[state]
             if kind != "x":
-                best = min(best, REROLE * (kind != letter) + spoilt + bound[1 - waits])
-                if kind == "s" and not waits:
-                    best = min(best, spoilt + bound[0])
+                best = min(best, REROLE + spoilt + bound[LEADS[state]])
+                if kind in keeps:
+                    best = min(best, spoilt + bound[keeps[kind]])
             costs.append(best)
-        bound = (min(costs[0], INSERT + costs[1]), min(costs[1], INSERT + costs[0]))
+        # Up to two turns inserted before this one; a third is a pair too many.
+        for _ in range(2):
+            costs = [min(c, INSERT + costs[LEADS[state]]) for state, c in enumerate(costs)]
+        bound = costs
         found.append(bound)
     return found[::-1]
 
@@ -92,7 +95,7 @@ def cheapest(codes: str, entry: int = START, goal: int = END) -> tuple[int, str]
         i, state, cost, audit = stack.pop()
         if table[i, state] != (cost, audit):
             continue  # a better prefix has come here since
-        least = cost + bounds[i][state == USER]
+        least = cost + bounds[i][state]
         if least >= IMPOSSIBLE:
             continue
         if best and (least > best[0] or least == best[0] and audit > best[1][: len(audit)]):
@@ -112,7 +115,7 @@ def cheapest(codes: str, entry: int = START, goal: int = END) -> tuple[int, str]
             if kind not in ("x", NEEDED[state]):
                 moves.append((i + 1, LEADS[state], cost + REROLE + spoilt, audit + "R"))
         # The most promising move is on top of the stack, of equal ones the first letter.
-        moves.sort(key=lambda m: (m[2] + bounds[m[0]][m[1] == USER], m[3]), reverse=True)
+        moves.sort(key=lambda m: (m[2] + bounds[m[0]][m[1]], m[3]), reverse=True)
         for move in moves:
             node, label = move[:2], move[2:]
             if node not in table or label < table[node]:
@@ -327,7 +330,8 @@ def _joined(segments: DataFrame) -> DataFrame:
     ``crossing``: illegal with the turn before it, in another segment."""
     schema = "n bigint, entry int, exit int, tail string, crossing bigint"
     numbers = F.transform(
-        "options", lambda o: F.struct(o["entry"], o["exit"], o["cost"], o["rank"])
+        "options",
+        lambda o: F.struct(*[o[name].alias(name) for name in ("entry", "exit", "cost", "rank")]),
     )
     narrow = segments.where(~(F.col("begins") & F.col("ends"))).select(
         "conv_id", "n", "first", "last", numbers.alias("options")
@@ -337,8 +341,7 @@ def _joined(segments: DataFrame) -> DataFrame:
         held: list[tuple] = []
 
         def result() -> pa.RecordBatch:
-            found = [[Option(*o.values(), 0) for o in h[3]] for h in held]
-            found = [[Option(o[0], o[1], o[2], "", o[3]) for o in opts] for opts in found]
+            found = [[Option(audit="", **o) for o in h[3]] for h in held]
             chosen, tail = join_segments(found)
             before = [None, *[h[2] for h in held]]
             rows = [
