@@ -103,6 +103,11 @@ SCHEMAS = {
     "op9_simhash": "doc_id bigint, fingerprint string, component_id bigint",
     "op10_chat_formatting": """conv_id bigint, n_turns bigint, turns_sha256 string,
       loss_chars bigint, loss_sha256 string, formatted_chars bigint""",
+    "op11_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op12_structure_repair": """conv_id bigint, gaps bigint, blank bigint, duplicate bigint,
+      truncated bigint, illegal bigint, cost bigint, audit string, repaired_sha256 string""",
+    "op13_token_alignment": """doc_id bigint, n_a bigint, n_b bigint, n_groups bigint,
+      n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string""",
 }
 
 
@@ -116,6 +121,6 @@ def test_columns_and_types(spark, name):
 
 def test_contract():
     names = contract.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(bool(re.match(rf"op{n}_", name)) for name in names) == 1
     assert lower("ÀA") == "Àa" and "pipeline" in names
