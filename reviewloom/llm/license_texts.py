@@ -1141,6 +1141,4 @@ WHOLE = [
     ("apache-2.0", _marks_optional(_APACHE_2)),
     ("gpl-2.0", _marks_optional(_GPL_2)),
     ("gpl-3.0", _marks_optional(_GPL_3)),
-    ("copyright", "copyright <<beginOptional>>(c) <<endOptional>>"
-     f'<<var;name="year";original="2024";match=".{{1,2}}">> {_HOLDER} all rights reserved'),
 ]

@@ -5,7 +5,8 @@ A template is license text with regions in SPDX markup: optional wording between
 ``<<var;name="..";original="..";match="..">>``. It is compiled to an automaton
 over words: mandatory words must follow one another exactly, optional ones may be
 left out as a whole, a replaceable region takes any words within its bounds
-(``.+`` one or more, ``.*`` any number, ``.{m,n}`` that many). The states
+(``.+`` one or more, ``.*`` any number, ``.{m,n}`` that many, ``[^\\n]+`` one or more of one
+line and sentence, as in notices). The states
 that can be reached together become one state when first met, so a text is read
 with one step per word. An automaton starts wherever a text has its first
 mandatory word and takes the longest match. Starts that reach the same state go on
@@ -16,7 +17,10 @@ notices as authors put them and, in ``OPENINGS``, first sentences of bodies: the
 alone say nothing about the conditions behind them.
 
 Words are those of letters, digits and characters beyond ASCII, A-Z lower-cased;
-case, punctuation and line breaks of a license do not matter.
+case, punctuation and line breaks of a license do not matter, but for where a
+``[^\\n]+`` region must end: at a line break, or at a full stop, exclamation or question
+mark with white space and a capital behind it and a word of four characters or more
+before it (so not after ``Inc.`` or an initial).
 
 Defined results: a NULL or empty text has no words, no places and score 0; ids
 are carried through; repeated rows get equal results; matches that overlap all
@@ -43,7 +47,7 @@ PHRASES = {
 }
 
 _VERSION = '<<var;name="version";original="";match=".{0,3}">>'
-_HOLDER = '<<var;name="holder";original="the copyright holder";match=".{1,8}">>'
+_HOLDER = r'<<var;name="holder";original="the copyright holder";match="[^\n]+">>'
 # Labels and templates: notices as authors put them, and openings of full texts.
 TEMPLATES = [
     ("cc-by-4.0", "licensed under cc by 4.0"),
@@ -55,9 +59,9 @@ TEMPLATES = [
     ("mit", "<<beginOptional>>this work is <<endOptional>>released under the mit license"),
     ("mit", "licensed under the mit license"),
     ("mit", "permission is hereby granted, free of charge, to any person obtaining a copy of "
-     "<<var;name=\"thing\";original=\"this software\";match=\".{1,4}\">> and associated "
+     "<<var;name=\"thing\";original=\"this software\";match=\".+\">> and associated "
      "documentation files <<beginOptional>>(the \"Software\")<<endOptional>>, to deal in the "
-     "<<var;name=\"thing\";original=\"Software\";match=\".{1,3}\">> without restriction"),
+     "<<var;name=\"thing\";original=\"Software\";match=\".+\">> without restriction"),
     ("apache-2.0", "licensed under the apache license, version 2.0"
      "<<beginOptional>> (the \"License\")<<endOptional>>"),
     ("gpl-2.0", "licensed under the gnu general public license, version 2"),
@@ -75,13 +79,16 @@ TEMPLATES = [
 OPENINGS = {t for _, t in TEMPLATES if t.startswith(("permission is", "redistribution and"))}
 
 _MARKUP = re.compile(r"<<(beginOptional|endOptional|var;[^>]*)>>")
-_MATCH = re.compile(r'match="\.(\+|\*|\{(\d+),(\d+)\})"')
+_MATCH = re.compile(r'match="(?:\.(\+|\*|\{(\d+),(\d+)\})|(\[\^\\n\]\+))"')
 _ANY = None  # a transition that takes any word
+_SAME = b"\n"  # one that takes any word with no border before it
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+_STOP = re.compile(rb"[.!?]\S*\s")
 
 
 @dataclass
 class Automaton:
-    """States are numbers; 0 starts. ``steps[s]`` has (word or ``_ANY``, target)."""
+    """States are numbers; 0 starts. ``steps[s]`` has (word, ``_ANY`` or ``_SAME``, target)."""
 
     label: str
     steps: list[list[tuple[bytes | None, int]]] = field(default_factory=lambda: [[]])
@@ -133,16 +140,17 @@ def compile_template(label: str, template: str) -> Automaton:
         else:
             bounds = _MATCH.search(kind)
             if not bounds:
-                raise ValueError(f"{label}: a replaceable region needs match=\".+\", "
-                                 f"\".*\" or \".{{m,n}}\", not {kind!r}")
-            if bounds.group(1) in "+*":
-                if bounds.group(1) == "+":
+                raise ValueError(f"{label}: a replaceable region needs match=\".+\", \".*\", "
+                                 f"\".{{m,n}}\" or \"[^\\n]+\", not {kind!r}")
+            one_line = bounds.group(4) is not None
+            if one_line or bounds.group(1) in "+*":
+                if bounds.group(1) != "*":
                     after = automaton.state()
                     automaton.steps[at].append((_ANY, after))
                     at = after
                 loop = automaton.state()
                 automaton.skips[at].append(loop)
-                automaton.steps[loop].append((_ANY, loop))
+                automaton.steps[loop].append((_SAME if one_line else _ANY, loop))
                 at = loop
                 continue
             least, most = int(bounds.group(2)), int(bounds.group(3))
@@ -171,35 +179,40 @@ class Matcher:
         self.start = automaton.closed([0])
         if automaton.final in self.start:
             raise ValueError(f"{automaton.label}: nothing is mandatory")
-        if any(word is _ANY for s in self.start for word, _ in automaton.steps[s]):
+        if any(word in (_ANY, _SAME) for s in self.start for word, _ in automaton.steps[s]):
             raise ValueError(f"{automaton.label}: starts with a replaceable region")
         self.first = {word for s in self.start for word, _ in automaton.steps[s]}
         self.words = {word for steps in automaton.steps for word, _ in steps}
-        self.known: dict[tuple[frozenset[int], bytes | None], frozenset[int]] = {}
+        self.by_line = _SAME in self.words
+        self.known: dict[tuple[frozenset[int], bytes | None, bool], frozenset[int]] = {}
 
-    def _step(self, states: frozenset[int], word: bytes) -> frozenset[int]:
+    def _step(self, states: frozenset[int], word: bytes, border: bool) -> frozenset[int]:
         word = word if word in self.words else _ANY  # all foreign words are alike
-        found = self.known.get((states, word))
+        found = self.known.get((states, word, border))
         if found is None:
-            steps = self.automaton.steps
-            targets = [t for s in states for w, t in steps[s] if w is _ANY or w == word]
-            found = self.known[states, word] = self.automaton.closed(targets)
+            taken = {word, _ANY} if border else {word, _ANY, _SAME}
+            targets = [t for s in states for w, t in self.automaton.steps[s] if w in taken]
+            found = self.known[states, word, border] = self.automaton.closed(targets)
         return found
 
     def longest(self, words: list[bytes], start: int) -> int:
         """Words of the longest match that begins at ``start``; 0 if there is none."""
         states, longest = self.start, 0
         for at in range(start, len(words)):
-            states = self._step(states, words[at])
+            states = self._step(states, words[at], False)
             if not states:
                 break
             if self.automaton.final in states:
                 longest = at + 1 - start
         return longest
 
+    def spans(
+        self, words: list[bytes], starts: list[int], borders: list[bool] | None = None
+    ) -> list[tuple[int, int]]:
+        """``start, longest`` of all starts, in order, that have a match.
 
-    def spans(self, words: list[bytes], starts: list[int]) -> list[tuple[int, int]]:
-        """``start, longest`` of all starts, in order, that have a match."""
+        ``borders``: whether a line or sentence ends before a word.
+        """
         final, n = self.automaton.final, len(words)
         ends: list[int] = []  # per run its last end, and the run that it went on in
         onto: list[int] = []
@@ -226,8 +239,9 @@ class Matcher:
             if at == n:
                 break
             after: dict[frozenset[int], int] = {}
+            border = borders is not None and borders[at]
             for states, number in running.items():
-                states = self._step(states, words[at])
+                states = self._step(states, words[at], border)
                 if not states:
                     continue
                 if states in after:
@@ -246,6 +260,17 @@ class Matcher:
         return [(s, ends[o] - s) for s, o in zip(starts, own) if ends[o]]
 
 
+def word_borders(text: bytes) -> list[bool]:
+    """Per word whether a line or sentence ends between it and the word before."""
+    found, before, end = [], b"", 0
+    for word in _WORD.finditer(text):
+        gap = text[end : word.start()]
+        stop = len(before) > 3 and word[0][:1].isupper() and _STOP.search(gap)
+        found.append(b"\n" in gap or bool(stop))
+        before, end = word[0], word.end()
+    return found
+
+
 class Scanner:
     """All phrases and templates over one text."""
 
@@ -281,9 +306,12 @@ class Scanner:
             for number in self.templates.get(words[at], ()):
                 starts.setdefault(number, []).append(at)
         longest: dict[tuple, int] = {}  # two templates of a label give one span
+        borders = None
         for number, places_of in starts.items():
             matcher, opening = self.matchers[number]
-            for at, length in matcher.spans(words, places_of):
+            if matcher.by_line and borders is None:
+                borders = word_borders(text)
+            for at, length in matcher.spans(words, places_of, borders):
                 key = matcher.automaton.label, at, opening
                 longest[key] = max(length, longest.get(key, 0))
         spans = [(label, at, n, opening) for (label, at, opening), n in longest.items()]

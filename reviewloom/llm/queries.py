@@ -73,10 +73,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.sort_array(base), ",").alias("base_labels"),
         F.array_join(F.sort_array(method), ",").alias("labels"),
         # A whole text or notice is certain; an opening may have other conditions behind
-        # it, a phrase alone is a hint.
-        F.when(F.exists("spans", lambda span: ~span.opening), 1.0)
-        .when(F.size("spans") > 0, 0.75)
-        .when(F.size("places") > 0, 0.5)
+        # it; a phrase alone, or a copyright line, which is no license, is a hint.
+        F.when(F.exists("spans", lambda span: ~span.opening & (span.label != "copyright")), 1.0)
+        .when(F.exists("spans", lambda span: span.opening), 0.75)
+        .when(F.size("places") + F.size("spans") > 0, 0.5)
         .otherwise(0.0)
         .alias("score"),
     )

@@ -153,7 +153,7 @@ def expansions(template):
     """All word sequences of a template as a regular expression over joined words."""
     pattern, position = "", 0
     marks = list(licenses._MARKUP.finditer(template))
-    word = lambda text: "".join(f"{re.escape(w)} " for w in ALNUM.findall(lower(text)))
+    word = lambda text: "".join(f"\n?{re.escape(w)} " for w in ALNUM.findall(lower(text)))
     for m in marks:
         pattern += word(template[position : m.start()])
         position = m.end()
@@ -163,27 +163,36 @@ def expansions(template):
             pattern += ")?"
         else:
             bounds = re.search(r"\.\{(\d+),(\d+)\}", m.group(1))
-            pattern += r"(?:\S+ ){%s,%s}" % bounds.groups()
+            if bounds:
+                pattern += r"(?:\n?\S+ ){%s,%s}" % bounds.groups()
+            else:
+                pattern += r"\n?\S+ (?:\S+ )*" if "[^" in m.group(1) else r"(?:\n?\S+ )+"
     return pattern + word(template[position:])
 
 
 def plain_scan(text):
     words = ALNUM.findall(lower(text))
-    joined = "".join(w + " " for w in words)
-    starts, at = [], 0
-    for w in words:
+    # A line feed stands before words that begin a line or a sentence.
+    raw, marked, starts, at, end, before = text or "", [], [], 0, 0, ""
+    for w, m in zip(words, ALNUM.finditer(lower(raw))):
+        gap = raw[end : m.start()]
+        capital = "A" <= raw[m.start()] <= "Z" and len(before.encode()) > 3
+        border = "\n" in gap or capital and re.search(r"[.!?][^ \t\r\f\v]*[ \t\r\f\v]", gap)
+        marked.append("\n" * bool(border) + w + " ")
         starts.append(at)
-        at += len(w) + 1
+        at += len(marked[-1])
+        end, before = m.end(), w
+    joined = "".join(marked)
     places, spans = [], []
     for i, at in enumerate(starts):
         for phrase, label in licenses.PHRASES.items():
-            if joined.startswith(phrase + " ", at):
+            if words[i : i + len(phrase.split())] == phrase.split():
                 places.append((i, label))
         for label, template in licenses.TEMPLATES:
             matches = [
                 j for j in range(i + 1, len(words) + 1)
                 if re.fullmatch(expansions(template), joined[at : starts[j] if j < len(words) else None])
-            ] if joined.startswith(tuple(FIRST[template]), at) else []
+            ] if words[i] + " " in FIRST[template] else []
             if matches:
                 spans.append((label, i, max(matches) - i))
     return len(words), sorted(places), sorted(spans)
@@ -198,6 +207,10 @@ NOTICES = [
     "This work is licensed under the GNU General Public License, version 3.",
     "Copyright (c) 2024 Some One and Others. All rights reserved. cc-by, CC BY 4.0",
     "copyright 1999 2000 holder all rights reserved all rights reserved",
+    "Copyright 2024 J. R. Writer Inc. and Others Ltd.\nAll rights reserved",
+    "copyright law is a subject\nof many books. All rights reserved",
+    "Copyright law is a subject. Books treat it. All rights reserved",
+    "copyright 2024 " + "a holder of many words " * 9 + "all rights reserved",
     "Permission is hereby granted, free of charge, to any person obtaining a copy of\nthis "
     "software and associated documentation files (the 'Software'), to deal in the Software "
     "without restriction",
@@ -274,7 +287,7 @@ BOTH_BSD = ["binary form must reproduce", "PROFITS; OR BUSINESS", "OF THE USE OF
 CLAUSES = {
     "mit": ["copies or substantial", "WITHOUT WARRANTY", "TORT OR OTHERWISE"], "bsd": BOTH_BSD,
     "apa": ["irrevocable copyright license", "Redistribution.", "indemnify"],
-    "gpl": ["warranty", "patent", "modified"], "cop": ["all rights"],
+    "gpl": ["warranty", "patent", "modified"],
 }
 
 
@@ -296,6 +309,15 @@ def test_whole_licenses_need_every_clause(spark):
     assert spans == {0: [("bsd", True), ("bsd-3-clause", False)], 1: [("bsd", True)], 2: [], 3: [], 4: [("mit", True)]}
 
 
+def test_a_copyright_line_ends_with_its_line_or_sentence():
+    scanner = licenses.Scanner(licenses.TEMPLATES + licenses.WHOLE, licenses.PHRASES)
+    for end in (" and so on.\nAnd on.", " It ends. There."):
+        prose = "copyright law is a subject." + " A few words." * 1700 + end
+        assert scanner.scan(f"{prose} All rights reserved".encode())[2] == []
+    line = "Copyright (c) 2024 The Long Name of Some Very Large Holder and Its Friends, Inc. All rights reserved."
+    assert [s[0] for s in scanner.scan(line.encode())[2]] == ["copyright"]
+
+
 def test_many_starts_of_an_open_region_take_linear_time():
     scanner = licenses.Scanner(licenses.TEMPLATES + licenses.WHOLE, licenses.PHRASES)
     assert len(scanner.scan(b"copyright " * 100_000 + b"all rights reserved")[2]) > 90_000
@@ -303,10 +325,11 @@ def test_many_starts_of_an_open_region_take_linear_time():
 
 def test_openings_score_lower_than_whole_texts(spark, tmp_path):
     mit = filled(dict(licenses.WHOLE)["mit"])
-    rows = [(0, mit), (1, mit[:400]), (2, "All rights reserved"), (3, "no")]
+    rows = [(0, mit), (1, mit[:400]), (2, "All rights reserved"), (3, "no"),
+            (4, "Copyright 2024 Holder. All rights reserved")]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     scores = {r.doc_id: r.score for r in q.op2_license_scan(spark, str(tmp_path)).collect()}
-    assert scores == {0: 1.0, 1: 0.75, 2: 0.5, 3: 0.0}
+    assert scores == {0: 1.0, 1: 0.75, 2: 0.5, 3: 0.0, 4: 0.5}
 
 
 @pytest.mark.parametrize("bad", [
