@@ -44,10 +44,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the smallest id stays, of equal ids the first row."""
+    """Of each group the document with the smallest id stays, of equal ids the first row.
+
+    Rows are written with their numbers, which are used twice: a number depends on how
+    the scan was split, and that on the cores there are at the time.
+    """
     numbered = docs.select(
         *COLUMNS, F.struct("doc_id", F.monotonically_increasing_id().alias("n")).alias("row")
     )
+    numbered = written(numbered, "numbered")
     classes = simhash.near_duplicates(numbered, id_col="row")
     kept = classes.where(F.col("doc_id") == F.col("component_id")).select(
         F.col("doc_id.n").alias("n")
