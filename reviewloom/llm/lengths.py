@@ -10,6 +10,8 @@ rows count each time; an empty table gives no rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -94,9 +96,11 @@ def cut_total(table: DataFrame, limit: int) -> DataFrame:
     return table.agg(F.coalesce(left, F.lit(0)).alias("tokens_cut"))
 
 
-def quantile(table: DataFrame, share: float) -> DataFrame:
-    """The smallest length that at least ``share`` of the documents do not exceed."""
+def quantile(table: DataFrame, share: Decimal | float | str) -> DataFrame:
+    """The smallest length that at least ``share`` of the documents do not exceed.
+
+    ``share`` counts as the decimal number it is written as: 0.07 is 7 of 100.
+    """
     everyone = F.col("docs_at_most") + F.col("docs_at_least") - F.col("docs")
-    return table.where(F.col("docs_at_most") >= F.ceil(everyone * F.lit(share))).agg(
-        F.min("length").alias("length")
-    )
+    wanted = everyone.cast("decimal(20,0)") * F.lit(Decimal(str(share)))
+    return table.where(F.col("docs_at_most") >= wanted).agg(F.min("length").alias("length"))
