@@ -191,7 +191,8 @@ def _drop(text: bytes | None, repeated) -> tuple[int, int, bytes]:
     return len(lines), len(lines) - len(kept), b"\n".join(kept)
 
 
-RESULT = "n_lines bigint, n_dropped bigint, kept string"
+# Kept text leaves Python as bytes: it need not be valid UTF-8.
+RESULT = "n_lines bigint, n_dropped bigint, kept binary"
 
 
 def drop_repeated_lines(
@@ -215,7 +216,7 @@ def drop_repeated_lines(
 
     def result(ids: pa.Array, found: list[tuple]) -> pa.RecordBatch:
         n_lines, n_dropped, kept = zip(*found)
-        text = pa.array(kept, pa.binary()).cast(pa.string())
+        text = pa.array(kept, pa.binary())
         arrays = [ids, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), text]
         return pa.RecordBatch.from_arrays(arrays, names)
 
@@ -228,8 +229,10 @@ def drop_repeated_lines(
                 batch.column(0), [_drop(t.as_py(), repeated) for t in batch.column(1)]
             )
 
-        return map_batches(as_bytes(docs, "text"), schema, make)
-    return _drop_by_join(docs, keys, schema, result)
+        dropped = map_batches(as_bytes(docs, "text"), schema, make)
+    else:
+        dropped = _drop_by_join(docs, keys, schema, result)
+    return dropped.withColumn("kept", F.col("kept").cast("string"))
 
 
 def _drop_by_join(docs: DataFrame, keys: DataFrame, schema: str, result) -> DataFrame:
