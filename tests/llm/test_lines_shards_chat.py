@@ -53,6 +53,21 @@ def test_lines_against_brute_force(spark, awkward, min_docs, options):
     assert Counter(map(tuple, found)) == expected
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_keys": 0}])
+def test_lines_of_bad_bytes(spark, options):
+    """Texts that are no valid UTF-8 lose their repeated lines and keep all other bytes."""
+    docs = spark.range(12).selectExpr(
+        "id AS doc_id",
+        "CAST(concat(X'FFFE', CAST(concat('\nsame\n', id) AS binary), X'C3') AS string) AS text",
+    )
+    found = lines.drop_repeated_lines(docs, min_docs=10, **options)
+    found = found.select("doc_id", "n_dropped", found["kept"].cast("binary").alias("kept"))
+    # The first line, of two bad bytes, repeats as well.
+    assert {(r.doc_id, r.n_dropped, bytes(r.kept)) for r in found.collect()} == {
+        (i, 2, f"{i}".encode() + b"\xc3") for i in range(12)
+    }
+
+
 def test_lines_of_nothing(nothing):
     assert lines.drop_repeated_lines(nothing).count() == 0
     assert lines.drop_repeated_lines(nothing, broadcast_keys=-1).count() == 0

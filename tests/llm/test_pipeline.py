@@ -63,6 +63,28 @@ def test_stages(spark, awkward, tmp_path, source):
     check_pieces([(r[0], r[1]) for r in rows_of(docs)], cp.pack(spark, docs, SF).collect())
 
 
+def test_numbers_hold_when_the_cluster_changes(spark, tmp_path, monkeypatch):
+    """The scan is split otherwise for each evaluation, as when executors come or go."""
+    path = str(tmp_path / "many")
+    docs = q.table(spark, "/root/testdata/sf0.01", "documents").select(cp.COLUMNS)
+    docs.repartition(8).write.parquet(path)
+    docs = spark.read.parquet(path)
+    expected = Counter(rows_of(cp.simhash_dedup(spark, docs, SF)))
+    found = cp.simhash.near_duplicates
+
+    def then_more_cores(*args, **options):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
+        classes = found(*args, **options)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "32")
+        return classes
+
+    monkeypatch.setattr(cp.simhash, "near_duplicates", then_more_cores)
+    try:
+        assert Counter(rows_of(cp.simhash_dedup(spark, docs, SF))) == expected
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
 def test_run_is_the_stages_in_order(spark, tmp_path):
     docs = q.table(spark, SF, "documents")
     for number, (_, stage) in enumerate(cp.STAGES):

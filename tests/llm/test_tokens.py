@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -216,3 +217,16 @@ def test_counts(spark, awkward, nothing):
     empty = lengths.length_table(lengths.encoded_lengths(nothing, PATH))
     assert empty.count() == 0
     assert lengths.cut_total(empty, 10).first().tokens_cut == 0
+
+
+def test_quantiles_are_those_of_the_written_share(spark):
+    counts = [(i, 1) for i in range(1, 101)]
+    table = lengths.length_table(spark.createDataFrame(counts, "length bigint, docs bigint"))
+    rows = table.cache().collect()
+    everyone = sum(r.docs for r in rows)
+    for k in range(1, 101):
+        share = k / 100
+        wanted = Fraction(str(share)) * everyone
+        expected = min(r.length for r in rows if r.docs_at_most >= wanted)
+        assert lengths.quantile(table, share).first().length == expected == k, share
+    table.unpersist()
