@@ -6,40 +6,161 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+EXACT, RECOVERED, AMBIGUOUS, UNEQUAL = "exact", "recovered", "ambiguous", "unequal"
+
+# What speaks for a delimiter between two parts being the end of a review: the next part
+# starts at once or after white space, with a capital or digit, or in lower case; the part
+# before ends like a sentence. And what speaks against a review that is blank.
+AT_ONCE, SPACED, CAPITAL, SMALL, STOP, BLANK = 2, -2, 1, -1, 1, -6
+
 
 def _literal(delimiter: str) -> str:
     return r"\Q" + delimiter.replace(r"\E", r"\E\\E\Q") + r"\E"
 
 
-def explode_merged(df: DataFrame, columns: Sequence[str], delimiter: str) -> DataFrame:
+def explode_merged(
+    df: DataFrame,
+    columns: Sequence[str],
+    delimiter: str,
+    free_text: str | None = None,
+    item: str = "item",
+    aligned: str = "aligned",
+    alignment: str = "alignment",
+) -> DataFrame:
     """Split the parallel lists in ``columns`` and emit one row per position.
 
     Adds ``item`` (position from 0) and ``aligned``. When the lists of a row
     differ in length, or one is NULL, nothing can be paired: the row passes
     through whole, with ``item`` NULL and ``aligned`` false. The delimiter is
-    taken literally and must not occur inside the values; a comma is unsafe
-    for free text. Narrow: no shuffle, memory bounded by one row.
+    taken literally. Narrow: no shuffle, memory bounded by one row.
+
+    ``free_text`` is the one of ``columns`` whose values may hold the delimiter
+    themselves, as a comma in a review. If it has more parts than the other lists, parts
+    are joined to as many reviews by ``best_cuts``. A column ``alignment`` is added:
+    ``exact``, ``recovered``, ``ambiguous`` (two ways are equally good) or ``unequal``;
+    rows of the last two pass through whole.
+
+    The added columns need names that the frame does not have.
     """
-    rest = [c for c in df.columns if c not in columns]
-    lists = {f"_{c}_list": F.split(F.col(c), _literal(delimiter)) for c in columns}
-    sizes = [F.array_size(name) for name in lists]
-    aligned = F.coalesce(reduce(and_, [s == sizes[0] for s in sizes]), F.lit(False))
-    paired = F.arrays_zip(*[F.col(name).alias(c) for name, c in zip(lists, columns)])
-    whole = F.array(F.struct(*columns))
+    added = [item, aligned] + ([alignment] if free_text else [])
+    if clash := {c.lower() for c in added} & {c.lower() for c in df.columns}:
+        raise ValueError(f"the frame has columns {sorted(clash)}: give other names")
+    if free_text and (free_text not in columns or len(columns) < 2):
+        raise ValueError("free_text needs to be one of several columns")
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    # Everything new lives in one struct, so no name of the frame can clash.
+    own = "merged"
+    while own.lower() in {c.lower() for c in df.columns}:
+        own = f"_{own}"
+    lists = {c: F.split(F.col(f"`{c}`"), _literal(delimiter)) for c in columns}
+    keys = [c for c in columns if c != free_text]
+    sizes = [F.array_size(lists[c]) for c in columns]
+    key_sizes = [F.array_size(lists[c]) for c in keys]
+    equal = F.coalesce(reduce(and_, [s == sizes[0] for s in sizes]), F.lit(False))
+    how = F.when(equal, EXACT).otherwise(UNEQUAL)
+    if free_text:
+        same_keys = reduce(and_, [s == key_sizes[0] for s in key_sizes])
+        more = F.array_size(lists[free_text]) > key_sizes[0]
+        wanted = F.when(F.coalesce(same_keys & more, F.lit(False)), key_sizes[0])
+        cuts = best_cuts(F.when(wanted.isNotNull(), lists[free_text]), wanted, F.lit(delimiter))
+        staged = df.withColumn(own, F.struct(how.alias("how"), cuts.alias("found")))
+        found = F.col(f"{own}.found")
+        how = (
+            F.when(found.isNull(), F.col(f"{own}.how"))
+            .when(found["ways"] > 1, AMBIGUOUS)
+            .otherwise(RECOVERED)
+        )
+        lists[free_text] = F.when(found.isNull(), lists[free_text]).otherwise(found["parts"])
+    else:
+        staged = df
+    paired = F.arrays_zip(*[lists[c].alias(c) for c in columns])
+    whole = F.array(F.struct(*[F.col(f"`{c}`") for c in columns]))
+    good = how.isin(EXACT, RECOVERED)
+    items = F.when(good, paired).otherwise(whole)
     # The arrays are never empty. "outer" only keeps Catalyst from testing that
     # beforehand, which would split every text again below the scan.
-    return (
-        df.withColumns(lists)
-        .withColumn("aligned", aligned)
-        .withColumn("_items", F.when(F.col("aligned"), paired).otherwise(whole))
-        .select(*rest, "aligned", F.posexplode_outer("_items").alias("_pos", "_item"))
-        .select(
-            *rest,
-            F.when(F.col("aligned"), F.col("_pos")).alias("item"),
-            *[F.col(f"_item.{c}").alias(c) for c in columns],
-            "aligned",
-        )
+    position, value = f"{own}_at", f"{own}_item"
+    return staged.select(
+        *rest, how.alias(own), F.posexplode_outer(items).alias(position, value)
+    ).select(
+        *rest,
+        F.when(F.col(own).isin(EXACT, RECOVERED), F.col(position)).alias(item),
+        *[F.col(f"{value}.`{c}`").alias(c) for c in columns],
+        F.col(own).isin(EXACT, RECOVERED).alias(aligned),
+        *([F.col(own).alias(alignment)] if free_text else []),
     )
+
+
+def cut_parts(parts: Sequence[str], wanted: int) -> tuple[list[int], int]:
+    """Where to end reviews so that ``parts`` become ``wanted`` of them, and in how many ways
+    that can be done equally well (2 stands for more).
+
+    Dynamic programming over the parts: for every number of reviews so far, and for
+    whether the last is blank as yet, the best score, its ways and its cuts.
+    """
+    scores = []
+    for before, after in zip(parts, parts[1:]):
+        text = after.lstrip()
+        score = SPACED if after[:1].isspace() else AT_ONCE
+        score += CAPITAL if text[:1].isupper() or text[:1].isdigit() else SMALL * text[:1].islower()
+        scores.append(score + STOP * (before.rstrip()[-1:] in tuple(".!?")))
+    # (reviews, blank) -> score, ways, last cut as a chain of (part, chain before)
+    best: dict[tuple[int, bool], tuple[int, int, tuple | None]] = {
+        (1, not parts[0].strip()): (0, 1, None)
+    }
+    for number, (part, score) in enumerate(zip(parts[1:], scores), 1):
+        after: dict[tuple[int, bool], tuple[int, int, tuple | None]] = {}
+        empty = not part.strip()
+        left = len(parts) - 1 - number
+        for (count, blank), (total, ways, cuts) in best.items():
+            for cut in (False, True):
+                key = (count + 1, empty) if cut else (count, blank and empty)
+                if not wanted - left <= key[0] <= wanted:
+                    continue
+                new = total + (score + BLANK * blank if cut else 0)
+                kept = after.get(key)
+                if kept is None or new > kept[0]:
+                    after[key] = (new, ways, (number, cuts) if cut else cuts)
+                elif new == kept[0]:
+                    after[key] = (new, min(2, ways + kept[1]), kept[2])
+        best = after
+    ends = [
+        (total + BLANK * blank, ways, cuts)
+        for (count, blank), (total, ways, cuts) in best.items()
+        if count == wanted
+    ]
+    top = max(total for total, _, _ in ends)
+    ways = min(2, sum(ways for total, ways, _ in ends if total == top))
+    chain = next(cuts for total, _, cuts in ends if total == top)
+    found = []
+    while chain:
+        found.append(chain[0])
+        chain = chain[1]
+    return found[::-1], ways
+
+
+def best_cuts(parts: Column, wanted: Column, delimiter: Column) -> Column:
+    """``cut_parts`` of a list: struct of ``parts``, joined to ``wanted`` ones, and ``ways``.
+
+    NULL where ``wanted`` is. Arrow batches; a row takes parts x wanted steps.
+    """
+
+    @F.pandas_udf("parts array<string>, ways int")
+    def cut(parts: pd.Series, wanted: pd.Series, delimiter: pd.Series) -> pd.DataFrame:
+        rows = []
+        for own, count, mark in zip(parts, wanted, delimiter):
+            if own is None or pd.isna(count):
+                rows.append((None, None))
+                continue
+            own = list(own)
+            cuts, ways = cut_parts(own, int(count))
+            borders = [0, *cuts, len(own)]
+            rows.append(([mark.join(own[a:b]) for a, b in zip(borders, borders[1:])], ways))
+        return pd.DataFrame(rows, columns=["parts", "ways"]).astype({"ways": "Int32"})
+
+    found = cut(parts, wanted, delimiter)
+    return F.when(wanted.isNotNull(), found)

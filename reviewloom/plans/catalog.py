@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions import gates, text
 from reviewloom.functions.labels import sentiment
-from reviewloom.operators import counts, dedup, keysplit
+from reviewloom.operators import counts, dedup, keysplit, shifted
 from reviewloom.operators.explode import explode_merged
 from reviewloom.plans import layers, views
 from reviewloom.plans.views import (
@@ -25,7 +25,8 @@ from reviewloom.plans.views import (
     REVIEW_FILE_SQL,
     REVIEWS_SQL,
 )
-from reviewloom.sources import csv, sinks
+from reviewloom.sources import csv, multiline, sinks
+from reviewloom.sources.schema import REVIEW_COLUMNS, REVIEW_SCHEMA
 from reviewloom.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +174,15 @@ def scan_csv_schema_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.scan_schema(spark, path, multi_line=True)
 
 
+@query("scan_csv_multiline_split", CATALOG["scan_csv_schema_multiline"].sql)
+def scan_csv_multiline_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, every file read by as many tasks as it has splits."""
+    path = scratch_path(spark, "scan_csv_multiline_split")
+    sinks.write_csv(views.review_file(spark, sf_dir), path, null_value="")
+    options = {**csv.QUOTING, "mode": "PERMISSIVE"}
+    return multiline.scan_split(spark, path, REVIEW_SCHEMA, options)
+
+
 @query(
     "scan_csv_dir",
     f"""WITH {REVIEW_FILE_SQL}
@@ -254,6 +264,22 @@ def split_corrupt_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.union(corrupt)
 
 
+@query(
+    "find_shifted_rows",
+    f"""WITH {REVIEWS_SQL},
+copies AS (
+  SELECT doc_id, CASE WHEN copy = 0 THEN 0 WHEN (doc_id // 11) % 31 < 16
+    THEN (doc_id // 11) % 31 + 1 ELSE 15 - (doc_id // 11) % 31 END AS moved
+  FROM reviews JOIN (SELECT unnest([0, 1]) AS copy) ON copy = 0 OR doc_id % 11 = 5)
+SELECT doc_id, CAST(moved AS INTEGER) AS moved, moved <> 0 AS shifted FROM copies""",
+)
+def find_shifted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What sound files look like finds the rows of another whose values have moved."""
+    evidence = shifted.learn(views.review_file(spark, sf_dir), REVIEW_COLUMNS)
+    found = shifted.with_shift(views.shifted_reviews(spark, sf_dir), evidence)
+    return found.select("doc_id", "moved", F.col("shift_start").isNotNull().alias("shifted"))
+
+
 # --- Sinks ---------------------------------------------------------------
 
 
@@ -305,7 +331,8 @@ def sink_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "training_dataset")
     sinks.publish(gold_training_set(spark, sf_dir), path)
-    return csv.scan_lossless(spark, path, layers.GOLD_SCHEMA, multi_line=False)
+    table = sinks.current(spark, path)
+    return csv.scan_lossless(spark, table, layers.GOLD_SCHEMA, multi_line=False)
 
 
 # --- Projections ---------------------------------------------------------
@@ -410,6 +437,22 @@ def keep_anti_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DOC_KEY = "CASE WHEN doc_id % 3 = 0 THEN NULL ELSE doc_id END AS doc_key"
 
 
+@query(
+    "quarantine_semi_hot",
+    f"""WITH {REVIEWS_SQL}
+SELECT {REVIEW_COLUMNS_SQL} FROM reviews
+WHERE user_id IN (SELECT lang FROM documents WHERE source IN ('src1', 'src2'))""",
+)
+def quarantine_semi_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only keys that hold a tenth of the rows or more are spread."""
+    rows = views.reviews(spark, sf_dir)
+    docs = views.table(spark, sf_dir, "documents").where("source IN ('src1', 'src2')")
+    hot = keysplit.hot_keys(rows, "user_id", 0.1)
+    return keysplit.keep_matching(
+        rows, docs.select(F.col("lang").alias("user_id")), "user_id", salts=8, hot=hot
+    )
+
+
 @query(
     "keep_anti_keep_null",
     f"""WITH {REVIEWS_SQL}, keyed AS (SELECT *, {_DOC_KEY} FROM reviews)
@@ -662,11 +705,10 @@ def clean_sql_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     text.register_functions(spark)
     docs = views.table(spark, sf_dir, "documents")
     return spark.sql(
-        """WITH firsts AS (
-             SELECT clean_review(text) AS body, min(doc_id) AS first_id
-             FROM {docs} GROUP BY clean_review(text))
-           SELECT d.doc_id, f.first_id FROM {docs} d
-           JOIN firsts f ON clean_review(d.text) = f.body""",
+        # Digests of cleaned texts meet, not the texts.
+        """WITH keys AS (SELECT doc_id, unhex(sha2(clean_review(text), 256)) AS body FROM {docs}),
+           firsts AS (SELECT body, min(doc_id) AS first_id FROM keys GROUP BY body)
+           SELECT doc_id, first_id FROM keys JOIN firsts USING (body)""",
         docs=docs,
     )
 
@@ -702,6 +744,21 @@ def explode_merged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_merged(views.merged(spark, sf_dir), ["review_content", "shape"], "\n")
 
 
+@query(
+    "explode_merged_text",
+    r"""SELECT doc_id // 8 AS row_id, CAST(doc_id AS VARCHAR) AS review_id,
+  CAST(row_number() OVER (PARTITION BY doc_id // 8 ORDER BY doc_id) - 1 AS INTEGER) AS item,
+  'Document ' || doc_id || ': ' || regexp_replace(text, ',([^ \t\n\r\f\v])', ', \1', 'g')
+    AS review_content, true AS aligned
+FROM documents WHERE text IS NOT NULL""",
+)
+def explode_merged_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews with commas inside, merged by commas: as many as there are ids come out."""
+    rows = views.merged_reviews(spark, sf_dir)
+    found = explode_merged(rows, ["review_id", "review_content"], ",", "review_content")
+    return found.drop("alignment")
+
+
 # --- Reports -------------------------------------------------------------
 
 
@@ -792,12 +849,15 @@ def _published(
     return gold
 
 
+def _training_set(spark: SparkSession, gold: str) -> str:
+    return sinks.current(spark, f"{gold}/training_dataset")
+
+
 @query("files_to_gold", f"WITH {_sql_gold(True)} SELECT review_body, sentiment FROM gold")
 def files_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _published(spark, sf_dir, CORRUPT_IDS, "drop", "csv")
-    return csv.scan_lossless(
-        spark, f"{gold}/training_dataset", layers.GOLD_SCHEMA, multi_line=False
-    )
+    table = _training_set(spark, gold)
+    return csv.scan_lossless(spark, table, layers.GOLD_SCHEMA, multi_line=False)
 
 
 @query("files_to_gold_padded", f"WITH {_sql_gold(True)} SELECT review_body, sentiment FROM gold")
@@ -815,9 +875,8 @@ def files_to_gold_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines.write.text(source)
     layers.bronze_to_silver(spark, source, silver, CORRUPT_IDS, header=False)
     layers.silver_to_gold(spark, silver, gold)
-    return csv.scan_lossless(
-        spark, f"{gold}/training_dataset", layers.GOLD_SCHEMA, multi_line=False
-    )
+    table = _training_set(spark, gold)
+    return csv.scan_lossless(spark, table, layers.GOLD_SCHEMA, multi_line=False)
 
 
 @query(
@@ -826,7 +885,7 @@ def files_to_gold_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def files_to_gold_unfiltered(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = _published(spark, sf_dir, [], "keep", "parquet")
-    return spark.read.parquet(f"{gold}/training_dataset")
+    return spark.read.parquet(_training_set(spark, gold))
 
 
 @query(

@@ -121,23 +121,32 @@ def bronze_to_silver(
     null_key: str = "drop",
     corrupt_aside: bool = False,
     header: bool = True,
-) -> None:
+    salts: int = 1,
+) -> dict[str, int]:
     """Messy CSV files to a Parquet table with a kept and a quarantined side.
 
-    ``corrupt_ids`` is a list of products or a table with ``product_id``. With
-    any, fields are trimmed before they are compared, as such files are padded;
-    without, they are read as they are. ``corrupt_aside`` puts rows that do not
-    parse on a side of their own, with their ``reason``, in the same pass.
+    ``corrupt_ids`` is a list of products or a table with ``product_id``, whose hot keys
+    ``salts`` spreads. With any, fields are trimmed before they are compared, as such
+    files are padded; without, they are read as they are. ``corrupt_aside`` puts rows
+    that do not parse on a side of their own, with their ``reason``, in the same pass. A
+    file larger than a split is read by several tasks.
+
+    Returns how many ``rows`` came in, how many each side got, and how many had
+    ``no_key`` and are on none. They are counted by the tasks that write the rows.
     """
     any_ids = isinstance(corrupt_ids, DataFrame) or bool(corrupt_ids := list(corrupt_ids))
+    how = {"header": header, "trimmed": any_ids, "split_files": True}
     if corrupt_aside:
-        rows = csv.scan_flagged(spark, source, list(REVIEW_COLUMNS), header=header, trimmed=any_ids)
+        rows = csv.scan_flagged(spark, source, list(REVIEW_COLUMNS), **how)
     else:
-        rows = csv.scan_schema(
-            spark, source, multi_line=True, trimmed=any_ids, header=header
-        )
-    split = with_split(rows, "product_id", corrupt_ids, null_key)
-    sinks.write_split(split_by_reason(split) if corrupt_aside else split, target, "parquet")
+        rows = csv.scan_schema(spark, source, multi_line=True, **how)
+    split = with_split(rows, "product_id", corrupt_ids, "keep", salts)
+    if null_key == "drop":
+        on_a_side = F.col("product_id").isNotNull()
+        split = split.withColumn("split", F.when(on_a_side, F.col("split")))
+    if corrupt_aside:
+        split = split_by_reason(split)
+    return sinks.write_counted_split(split, target, "parquet")
 
 
 def silver_to_gold(
@@ -149,8 +158,7 @@ def silver_to_gold(
 ) -> None:
     """Kept silver rows to the published training set and its label report."""
     reviews = csv.scan_side(spark, source, KEPT, fmt="parquet")
-    table = f"{target}/training_dataset"
-    sinks.publish(gold(reviews), table, fmt, max_records)
+    table = sinks.publish(gold(reviews), f"{target}/training_dataset", fmt, max_records)
     if fmt == "csv":
         published = csv.scan_lossless(spark, table, GOLD_SCHEMA, multi_line=False)
     else:

@@ -134,6 +134,33 @@ review_file AS (
 )
 
 
+def shifted_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The review file as strings, and copies of every eleventh row whose values moved by
+    one column: ``moved`` is the first one, from 1, negative if they moved to the left,
+    else 0. All columns and both ways come up in turn."""
+    names = review_file(spark, sf_dir).columns
+    cells = [f"coalesce(string({c}), '')" for c in names]
+    rows = review_file(spark, sf_dir).selectExpr(
+        "review_id", "CAST(substr(review_id, 2) AS bigint) AS doc_id",
+        f"array({', '.join(cells)}) AS cells",
+    )
+    last = len(names)
+    start = f"(doc_id DIV 11) % {2 * last - 1}"
+    moved = f"""CASE WHEN copy = 0 THEN 0 WHEN {start} < {last} THEN {start} + 1
+      ELSE {last - 1} - {start} END"""
+    copies = rows.selectExpr("*", "explode(IF(doc_id % 11 = 5, array(0, 1), array(0))) AS copy")
+    copies = copies.selectExpr("doc_id", "cells", f"CAST({moved} AS int) AS moved")
+    values = f"""CASE WHEN moved > 0 THEN concat(slice(cells, 1, moved - 1), array(' and, so on'),
+        slice(cells, moved, {last} - moved))
+      WHEN moved < 0 THEN concat(slice(cells, 1, -moved - 1), slice(cells, 1 - moved, {last}),
+        array(''))
+      ELSE cells END"""
+    copies = copies.selectExpr("doc_id", "moved", f"{values} AS cells")
+    return copies.selectExpr(
+        "doc_id", "moved", *[f"nullif(cells[{i}], '') AS {c}" for i, c in enumerate(names)]
+    )
+
+
 def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A key table that grows with the data: ids of documents labelled toxic."""
     return table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id")
@@ -152,6 +179,20 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def merged_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of eight neighbouring ids in one row: lists of ids and of texts, joined by
+    commas. Texts hold commas of their own, each with a space behind it."""
+    text = r"""concat('Document ', doc_id, ': ', regexp_replace(text, ',(?=\\S)', ', '))"""
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    rows = docs.selectExpr("doc_id DIV 8 AS row_id", f"struct(doc_id, {text} AS text) AS doc")
+    lists = rows.groupBy("row_id").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
+    return lists.selectExpr(
+        "row_id",
+        "array_join(transform(docs, d -> string(d.doc_id)), ',') AS review_id",
+        "array_join(docs.text, ',') AS review_content",
+    )
+
+
 MERGED_SQL = (
     REVIEWS_SQL
     + r""",

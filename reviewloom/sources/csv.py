@@ -1,9 +1,9 @@
 """CSV scans.
 
 A quoted field may hold newlines, so such files need ``multiLine``, and Spark
-then reads each file in one task. Sources of any size should arrive as many
-files; everything this package writes is split by ``max_records`` for that
-reason, and tables between layers are Parquet.
+then reads each file in one task. With ``split_files`` files larger than a split are
+read by as many tasks as they have splits (``multiline.py``), row for row the same.
+Tables between layers are Parquet.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.sources.multiline import scan_large_split
 from reviewloom.sources.schema import REVIEW_SCHEMA
 
 CORRUPT = "_corrupt_record"
@@ -53,17 +54,22 @@ def scan_schema(
     multi_line: bool = False,
     trimmed: bool = False,
     header: bool = True,
+    split_files: bool = False,
 ) -> DataFrame:
     """Declared schema; a value that does not parse becomes NULL.
 
     ``path`` is a file or a directory. ``multi_line`` reads newlines inside
     quoted fields; without it records are lines and files stay splittable.
-    ``trimmed`` also takes padding off, before and after quotes.
+    ``trimmed`` also takes padding off, before and after quotes. ``split_files``
+    reads large multi-line files in several tasks; it writes their lines to the
+    scratch folder once.
     """
     options = {**QUOTING, "multiLine": True} if multi_line else {}
     if trimmed:
         options = {**MESSY, "multiLine": multi_line}
     options["header"] = header
+    if multi_line and split_files:
+        return scan_large_split(spark, path, schema, options)
     return spark.read.options(**options).schema(schema).csv(path)
 
 
@@ -103,21 +109,24 @@ def scan_flagged(
     rating: str = "rating",
     header: bool = True,
     trimmed: bool = True,
+    split_files: bool = False,
 ) -> DataFrame:
     """Scan in one pass and say what is wrong with each row.
 
     ``reason`` is ``arity`` (too few or too many fields), ``rating`` (text that
     is no number) or NULL. ``rating`` comes back as a double. The raw record of
-    an ``arity`` row stays in ``_corrupt_record``.
+    an ``arity`` row stays in ``_corrupt_record``. Files with columns of either name
+    need others in ``columns``.
     """
+    if {"reason", CORRUPT} & set(columns):
+        raise ValueError(f"'reason' and {CORRUPT!r} are added and cannot be read as columns")
     schema = ", ".join(f"`{c}` string" for c in [*columns, CORRUPT])
     padding = {f"ignore{side}WhiteSpace": trimmed for side in ("Leading", "Trailing")}
-    rows = (
-        spark.read.options(**{**MESSY, "header": header, **padding})
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(schema)
-        .csv(path)
-    )
+    options = {**MESSY, "header": header, **padding, "columnNameOfCorruptRecord": CORRUPT}
+    if split_files:
+        rows = scan_large_split(spark, path, schema, options)
+    else:
+        rows = spark.read.options(**options).schema(schema).csv(path)
     number = parse_rating(F.col(rating))
     reason = F.when(F.col(CORRUPT).isNotNull(), "arity").when(
         F.col(rating).isNotNull() & number.isNull(), "rating"

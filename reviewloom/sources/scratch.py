@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -30,3 +30,10 @@ def clear_scratch(spark: SparkSession) -> bool:
     path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return files.delete(path, True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write to the scratch folder and read back: what follows is cut off from ``df``."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

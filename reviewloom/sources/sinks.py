@@ -6,12 +6,15 @@ task that reads a file with line breaks inside fields. It drops nothing.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from reviewloom.operators.keysplit import SIDES
 from reviewloom.sources.csv import LOSSLESS
 
 MAX_RECORDS = 100_000
@@ -56,6 +59,27 @@ def write_split(
         writer.format(fmt).save(path)
 
 
+def write_counted_split(
+    df: DataFrame, path: str, fmt: str = "csv", max_records: int = MAX_RECORDS
+) -> dict[str, int]:
+    """``write_split``, and the number of all ``rows``, of the rows of each side and of those
+    with ``no_key``, whose ``split`` is NULL: they are counted and not written.
+
+    The tasks that write count as they go (``Observation``): no second scan, and a task
+    that runs again counts once.
+    """
+    seen = Observation("split")
+    side = F.col("split")
+    counted = df.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(side == name).alias(name) for name in SIDES],
+        F.count_if(side.isNull()).alias("no_key"),
+    )
+    write_split(counted.where(side.isNotNull()), path, fmt, max_records)
+    return {name: int(count) for name, count in seen.get.items()}
+
+
 @contextmanager
 def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     """A session setting for the time of one write."""
@@ -77,30 +101,79 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def publish(
-    df: DataFrame, path: str, fmt: str = "csv", max_records: int = MAX_RECORDS
-) -> None:
-    """Replace the published directory with ``df`` once ``df`` is written in full.
-
-    The rows go to a hidden directory beside it, which then takes its place by a
-    rename; a job that fails leaves the published rows as they are. Readers see
-    one table or the other, but for the moment between two renames.
+    df: DataFrame,
+    path: str,
+    fmt: str = "csv",
+    max_records: int = MAX_RECORDS,
+    abandoned_after: float = 24.0,
+) -> str:
+    """Make ``df`` the published rows of the table at ``path``; the path of the new version.
+
+    Every version has a directory of its own, ``v-<name>``, written in full before an empty
+    file ``_current-<number>-<name>`` makes it the published one: the greatest number counts
+    (``current``). Creating that file is the only step readers see, and needs no rename, so
+    there is no moment without a table, on object stores either. A job that stops at any
+    step leaves the table as it was or as it should be.
+
+    The version before stays for readers that are under way; older ones go, and so do
+    directories that never became a version, ``abandoned_after`` hours after their last
+    change. One job at a time should publish a table: of two the last to finish counts.
     """
-    jvm, context = df.sparkSession._jvm, df.sparkSession.sparkContext
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(context._jsc.hadoopConfiguration())
-    name = f".{target.getName()}-{uuid.uuid4().hex}"
-    aside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"{name}.new")
-    old = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"{name}.old")
-    try:
-        if fmt == "csv":
-            write_csv(df, aside.toString(), max_records)
-        else:
-            df.write.format(fmt).save(aside.toString())
-        if files.exists(target) and not files.rename(target, old):
-            raise OSError(f"cannot replace {path}")
-        if not files.rename(aside, target):
-            files.rename(old, target)
-            raise OSError(f"cannot publish {path}")
-    finally:
-        files.delete(aside, True)
-    files.delete(old, True)
+    files, root = _files(df.sparkSession, path)
+    name = uuid.uuid4().hex
+    version = f"{path.rstrip('/')}/{VERSION}{name}"
+    if fmt == "csv":
+        write_csv(df, version, max_records)
+    else:
+        df.write.format(fmt).save(version)
+    versions = _versions(files, root)
+    number = versions[-1][0] + 1 if versions else 1
+    files.create(_child(df.sparkSession, root, f"{CURRENT}{number}-{name}"), False).close()
+    _clean(df.sparkSession, files, root, abandoned_after)
+    return version
+
+
+VERSION, CURRENT = "v-", "_current-"
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The directory of the published version of the table at ``path``."""
+    files, root = _files(spark, path)
+    versions = _versions(files, root)
+    if not versions:
+        raise FileNotFoundError(f"nothing is published at {path}")
+    return f"{path.rstrip('/')}/{VERSION}{versions[-1][1]}"
+
+
+def _files(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
+def _child(spark: SparkSession, root, name: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(root, name)
+
+
+def _versions(files, root) -> list[tuple[int, str]]:
+    """Number and name of every version that was published and is still there, in order."""
+    found = []
+    for entry in files.listStatus(root) if files.exists(root) else []:
+        if (file := entry.getPath().getName()).startswith(CURRENT):
+            number, name = file.removeprefix(CURRENT).split("-", 1)
+            found.append((int(number), name))
+    return sorted(found)
+
+
+def _clean(spark: SparkSession, files, root, abandoned_after: float) -> None:
+    """Keep the published version and the one before. A version's file goes before its
+    rows, so what is left of a clean-up that stops is an abandoned directory."""
+    versions = _versions(files, root)
+    for number, name in versions[:-2]:
+        files.delete(_child(spark, root, f"{CURRENT}{number}-{name}"), False)
+        files.delete(_child(spark, root, VERSION + name), True)
+    known = {VERSION + name for _, name in versions}
+    for entry in files.listStatus(root):
+        old = time.time() - entry.getModificationTime() / 1000 >= abandoned_after * 3600
+        name = entry.getPath().getName()
+        if name.startswith(VERSION) and name not in known and old:
+            files.delete(entry.getPath(), True)
