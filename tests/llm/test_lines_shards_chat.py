@@ -157,32 +157,72 @@ def test_awkward_records_written_and_read(spark, awkward, nothing, tmp_path):
     assert shards.shuffle_into_shards(nothing).count() == 0
 
 
-def test_buckets_are_shuffled_in_order(spark, plan):
-    """A task that runs again must draw the same numbers for the same bucket."""
-    df = spark.range(5000).select(F.col("id").alias("doc_id"))
-    text = plan(shards.shuffle_into_shards(df, bucket_rows=100))
-    below = text[text.index("Generate posexplode(shuffle") :].splitlines()
-    assert "Sort [bucket" in below[1] and "ObjectHashAggregate" in below[2]
+def planned(spark, plan, df, **options):
+    """The plan of what is written: scatter, shuffle of buckets."""
+    kept, plans = shards.written, []
+    try:
+        shards.written = lambda frame, label: plans.append((label, plan(frame))) or kept(frame, label)
+        found = shards.shuffle_into_shards(df, **options)
+    finally:
+        shards.written = kept
+    return found, dict(plans)
+
+
+def test_records_move_once_and_are_shuffled_in_their_buckets(spark, plan):
+    docs = q.table(spark, SF, "documents").select("doc_id", "text")
+    found, plans = planned(spark, plan, docs)
+    # A task that runs again must draw the same numbers for the same bucket.
+    lines = plans["buckets"].splitlines()
+    at = next(i for i, line in enumerate(lines) if "posexplode(shuffle" in line)
+    assert any("Sort [bucket" in line for line in lines[at:])
+    assert plans["buckets"].count("Exchange") == 1 and "Join" not in plans["buckets"]
+    assert "giants" not in plans
+    # What follows reads the written buckets and moves no text.
+    assert not [x for x in plan(found).splitlines() if "Exchange hash" in x and "record" in x]
     first, again = (
-        {tuple(r) for r in shards.shuffle_into_shards(df, bucket_rows=100).collect()} for _ in "ab"
+        {tuple(r) for r in shards.shuffle_into_shards(docs, bucket_bytes=50_000).collect()} for _ in "ab"
     )
-    assert first == again and len(first) == 5000
+    assert first == again
 
 
-def test_texts_go_through_the_shuffle_and_arrays_hold_row_numbers(spark, plan):
-    text = plan(q.op7_sharding(spark, SF))
-    assert "crc32" in text and text.index("crc32") < text.index("Join")
-    arrays = [line for line in text.splitlines() if "collect_list(" in line]
-    assert arrays and all("collect_list(row#" in line for line in arrays)
+def test_buckets_follow_bytes(spark):
+    df = spark.range(600).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+    made, kept = [], shards.written
+    try:
+        shards.written = lambda frame, label: made.append(kept(frame, label)) or made[-1]
+        shards.shuffle_into_shards(df, bucket_bytes=500_000).count()
+    finally:
+        shards.written = kept
+    sizes = [r["count"] for r in made[0].groupBy("bucket").count().collect()]
+    assert len(sizes) == 13 and max(sizes) < 100
 
 
-def test_a_giant_record_is_dealt_whole(spark):
+def test_a_giant_record_is_dealt_whole(spark, plan):
     size = F.when(F.col("id") == 3, 60_000_000).otherwise(F.lit(10))
     df = spark.range(50).select("id", F.repeat(F.lit("x"), size.cast("int")).alias("text"))
-    rows = shards.shuffle_into_shards(df, shards=7).select("record.id", F.length("record.text"), "shard", "slot")
-    rows = rows.collect()
+    found, plans = planned(spark, plan, df, shards=7)
+    assert "giants" in plans
+    rows = found.select("record.id", F.length("record.text"), "shard", "slot").collect()
     assert {r[0]: r[1] for r in rows} == {i: 60_000_000 if i == 3 else 10 for i in range(50)}
     assert sorted(r.slot * 7 + r.shard for r in rows) == list(range(50))
+    many = shards.shuffle_into_shards(df.withColumn("tags", F.array("id")), giant_bytes=9).collect()
+    assert sorted(r.slot * 24 + r.shard for r in many) == list(range(50))
+    assert {(r.record.id, len(r.record.text), *r.record.tags) for r in many} == {
+        (i, 60_000_000 if i == 3 else 10, i) for i in range(50)
+    }
+
+
+def test_shards_are_written_without_another_shuffle(spark, tmp_path, plan):
+    docs = q.table(spark, SF, "documents").select("doc_id", "text")
+    found = shards.shuffle_into_shards(docs, bucket_rows=40).cache()
+    path = str(tmp_path / "shards")
+    shards.write_shards(found, path)
+    back = {(r.shard, r.slot, r.doc_id) for r in spark.read.parquet(path).collect()}
+    assert back == {(r.shard, r.slot, r.record.doc_id) for r in found.collect()}
+    for part in (tmp_path / "shards").rglob("*.parquet"):
+        slots = [r.slot for r in spark.read.parquet(str(part)).coalesce(1).collect()]
+        assert slots == sorted(slots)
+    found.unpersist()
 
 
 def test_sharding_is_native(spark, plan):
