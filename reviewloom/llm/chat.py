@@ -6,15 +6,16 @@ sums over the conversation. In the text form control strings inside contents are
 escaped: a backslash is doubled, and a control string gets a backslash after its
 first character. That is undone by dropping each backslash before its neighbour.
 
-Turns are encoded before conversations are put together, so a conversation of any
-share of the rows is encoded by all tasks. They are put together turn by turn in
-sorted order, in the memory of a few hundred turns. Only texts and packed ids
-move; masks and the text form are made where they are written.
+Turns are spread by ranges of their order, so a conversation of any share of the rows is
+sorted, encoded and formatted by many tasks. Offsets are summed in two steps: over a
+conversation's turns in a task, and over the tasks it spans, a row each. Texts move
+once; packed ids go to the scratch folder; masks and the text form are made from them
+where they are needed.
 
 Defined results: a NULL text or role is empty; turns go by (turn, role, text),
 NULL first, so ties and repeated rows have an order and all stay; a NULL conv_id
-is a conversation of its own; a role without marks of its own is spelled out; an
-empty table gives no rows.
+is a conversation of its own; ids and turns may be of any type that can be sorted; a
+role without marks of its own is spelled out; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,10 +29,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from reviewloom.llm.common import as_bytes, columns
+from reviewloom.llm.common import as_bytes, columns, written
 from reviewloom.llm.tokens import vocabulary_path
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -74,6 +78,8 @@ class Codec:
         for token, rank in ranks.items():
             pieces[rank] = token
         self._pieces = pa.array(pieces, pa.binary())
+        spelled = [*pieces[: self.size], *[mark.encode() for mark in CONTROL]]
+        self._spelled = pa.array(spelled, pa.binary())
         self.dtype = np.dtype("<u2") if len(pieces) <= 1 << 16 else np.dtype("<u4")
         self._encoding = tiktoken.Encoding(
             "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
@@ -83,9 +89,10 @@ class Codec:
         """Control strings and names of special tokens are text like any other."""
         return self._encoding.encode_ordinary(text)
 
-    def decode(self, ids: pa.Array, at: np.ndarray) -> list[str]:
-        """Text of ``ids[at[0]:at[1]]``, ``ids[at[1]:at[2]]`` and so on."""
-        taken = self._pieces.take(ids)
+    def decode(self, ids: pa.Array, at: np.ndarray, marks: bool = False) -> list[str]:
+        """Text of ``ids[at[0]:at[1]]``, ``ids[at[1]:at[2]]`` and so on, with or without the
+        control strings that reserved ids stand for."""
+        taken = (self._spelled if marks else self._pieces).take(ids)
         sizes = pc.binary_length(taken).to_numpy(zero_copy_only=False)
         ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])[at].tolist()
         data = taken.buffers()[2].to_pybytes() if ends[-1] else b""
@@ -110,8 +117,10 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
-FORMATTED = """conv_id bigint, turn bigint, position bigint, ids array<int>,
-  loss_mask array<boolean>, token_start bigint, char_start bigint, formatted string"""
+FORMATTED = """position bigint, ids array<int>, loss_mask array<boolean>, token_start bigint,
+  char_start bigint, formatted string"""
+_PLACED = """part int, position bigint, packed binary, head int, spoken boolean, token_start bigint,
+  char_start bigint, tokens bigint, chars bigint"""
 
 
 def _strings(column: pa.Array) -> list[str]:
@@ -131,80 +140,109 @@ def format_turns(
     role_col: str = "role",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per turn, in order within partitions, conversations whole.
+    """One row per turn: ``conv_id, turn`` and ``position`` (from 0 in its conversation).
 
     ``ids`` with reserved ids, ``loss_mask`` (true on the text of the assistant),
-    ``formatted`` text, and where both start in the conversation
-    (``token_start``, ``char_start``); ``position`` counts turns from 0.
-    ``tokenizer`` is the path of a file of ranks.
+    ``formatted`` text, and where both start in the conversation (``token_start``,
+    ``char_start``). ``tokenizer`` is the path of a file of ranks.
     """
     tokenizer = tokenizer or vocabulary_path(TOKENIZER)
     turns = columns(
         conversations, conv_id=id_col, turn=turn_col, role=role_col, text=text_col
     ).withColumns({name: F.coalesce(F.col(name), F.lit("")) for name in ("role", "text")})
+    schema = T.StructType([*turns.schema.fields[:2], *T.StructType.fromDDL(_PLACED).fields])
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = codec(tokenizer)
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, part = codec(tokenizer), TaskContext.get().partitionId()
         marks = known.reserved
+        current, at = object(), (0, 0, 0)
         for batch in slices(batches):
-            packed, heads = [], []
-            for role, text in zip(*[_strings(batch.column(name)) for name in ("role", "text")]):
+            rows = []
+            keys, roles, texts = (batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))
+            for key, role, text in zip(keys, roles, texts):
+                role, text = role.decode("utf-8", "replace"), text.decode("utf-8", "replace")
                 if role in MARKS:
                     head, end = [marks[MARKS[role][0]]], marks[MARKS[role][1]]
                 else:
-                    name = known.encode(escape(role))
-                    head, end = [marks[ROLE], *name, marks[END_ROLE]], marks[END_TURN]
+                    head = [marks[ROLE], *known.encode(escape(role)), marks[END_ROLE]]
+                    end = marks[END_TURN]
                 ids = [*head, *known.encode(escape(text)), end]
-                packed.append(np.array(ids, known.dtype).tobytes())
-                heads.append(len(head))
+                if key != current:
+                    current, at = key, (0, 0, 0)
+                packed, chars = np.array(ids, known.dtype).tobytes(), len(_turn_text(role, text))
+                rows.append(
+                    (part, at[0], packed, len(head), role == LOSS_ROLE, *at[1:], len(ids), chars)
+                )
+                at = (at[0] + 1, at[1] + len(ids), at[2] + chars)
+            kinds = [to_arrow_type(f.dataType) for f in schema.fields[2:]]
+            made = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(packed, pa.binary()), pa.array(heads, pa.int32())],
-                names=["conv_id", "turn", "role", "text", "packed", "head"],
+                [batch.column("conv_id"), batch.column("turn"), *made], schema.names
             )
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dtype = codec(tokenizer).dtype
-        current, at = object(), (0, 0, 0)
+    order = ["conv_id", "turn", "role", "text", "copy"]
+    sorted_turns = (
+        turns.withColumn("copy", F.monotonically_increasing_id())
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop("copy")
+    )
+    rows = written(as_bytes(sorted_turns, "role", "text").mapInArrow(placed, schema), "turns")
+    # Where a conversation goes on in another task: what the tasks before have of it.
+    sums = rows.groupBy("conv_id", "part").agg(
+        F.count("*").alias("turns_before"),
+        F.sum("tokens").alias("tokens_before"),
+        F.sum("chars").alias("chars_before"),
+    )
+    names = ["turns_before", "tokens_before", "chars_before"]
+    before = (
+        Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    bases = sums.select(
+        F.col("conv_id").alias("base_id"), F.col("part").alias("base_part"),
+        *[F.sum(name).over(before).alias(name) for name in names],
+    )
+    bases = written(bases.where(F.col("turns_before").isNotNull()), "turn_offsets")
+    same = F.col("conv_id").eqNullSafe(F.col("base_id")) & (F.col("part") == F.col("base_part"))
+    starts = dict(zip(("position", "token_start", "char_start"), names))
+    whole = rows.join(bases, same, "left").select(
+        "conv_id", "turn", "packed", "head", "spoken",
+        *[(F.col(a) + F.coalesce(b, F.lit(0))).alias(a) for a, b in starts.items()],
+    )
+    return _expanded(whole, tokenizer)
+
+
+def _expanded(packed: DataFrame, tokenizer: str) -> DataFrame:
+    """Ids, masks and the text form of packed turns."""
+    schema = T.StructType([*packed.schema.fields[:2], *T.StructType.fromDDL(FORMATTED).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = codec(tokenizer)
         for batch in slices(batches):
-            roles, texts = _strings(batch.column("role")), _strings(batch.column("text"))
-            formatted = [_turn_text(role, text) for role, text in zip(roles, texts)]
-            packed = batch.column("packed").to_pylist()
-            flat = np.frombuffer(b"".join(packed), dtype).astype(np.int32)
-            sizes = [len(p) // dtype.itemsize for p in packed]
+            if not batch.num_rows:
+                continue
+            parts = batch.column("packed").to_pylist()
+            flat = np.frombuffer(b"".join(parts), known.dtype).astype(np.int32)
+            sizes = [len(p) // known.dtype.itemsize for p in parts]
             ends = np.cumsum(sizes)
             # The mask is on behind the head and off before the closing mark.
-            spoken = np.array([role == LOSS_ROLE for role in roles])
+            spoken = batch.column("spoken").to_numpy(zero_copy_only=False)
             turned = np.zeros(len(flat) + 1, np.int8)
             np.add.at(turned, (ends - sizes + np.asarray(batch.column("head")))[spoken], 1)
             np.add.at(turned, (ends - 1)[spoken], -1)
             mask = np.cumsum(turned[:-1]) > 0
-            offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-            starts = []
-            for key, size, text in zip(batch.column("conv_id").to_pylist(), sizes, formatted):
-                if key != current:
-                    current, at = key, (0, 0, 0)
-                starts.append(at)
-                at = (at[0] + 1, at[1] + size, at[2] + len(text))
-            position, token_start, char_start = (pa.array(x, pa.int64()) for x in zip(*starts))
+            offsets = np.concatenate([[0], ends]).astype(np.int32)
+            formatted = known.decode(pa.array(flat), offsets.astype(np.int64), marks=True)
+            made = {
+                "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                "loss_mask": pa.ListArray.from_arrays(pa.array(offsets), pa.array(mask)),
+                "formatted": pa.array(formatted, pa.string()),
+            }
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("conv_id"), batch.column("turn"), position,
-                    pa.ListArray.from_arrays(offsets, pa.array(flat)),
-                    pa.ListArray.from_arrays(offsets, pa.array(mask)),
-                    token_start, char_start, pa.array(formatted, pa.string()),
-                ],
-                names=["conv_id", "turn", "position", "ids", "loss_mask", "token_start",
-                       "char_start", "formatted"],
+                [made[n] if n in made else batch.column(n) for n in schema.names], schema.names
             )
 
-    whole = "conv_id bigint, turn bigint, role binary, text binary, packed binary, head int"
-    return (
-        as_bytes(turns, "role", "text")
-        .mapInArrow(encoded, whole)
-        .repartition("conv_id")
-        .sortWithinPartitions("conv_id", "turn", "role", "text")
-        .mapInArrow(placed, FORMATTED)
-    )
+    return packed.mapInArrow(run, schema)
 
 
 def read_turns(

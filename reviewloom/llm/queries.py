@@ -217,8 +217,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    return table(spark, sf_dir, "conversations").select(own.columns).union(own)
+    # In the types of the table, whatever its ids are.
+    return given.union(own.select(*[F.col(f.name).cast(f.dataType) for f in given.schema]))
 
 
 @query
@@ -230,45 +232,65 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def digest_conversations(turns: DataFrame, tokenizer: str) -> DataFrame:
-    """One row per conversation of ``format_turns``, from its ids, mask and text alone."""
-    names = "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars".split()
+    """One row per conversation of ``format_turns``, from its ids, mask and text alone.
+
+    Turns are read back where they are. A digest takes them one by one, so what was read
+    goes through one task per conversation, in order and without being held.
+    """
+    id_field = turns.schema["conv_id"]
+    schema = T.StructType(
+        [id_field, *T.StructType.fromDDL("position bigint, said binary, learned binary, chars bigint")]
+    )
+    result = T.StructType(
+        [id_field, *T.StructType.fromDDL(
+            "n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+        )]
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chat.slices(batches):
+            found = chat.read_turns(batch.column("ids"), batch.column("loss_mask"), tokenizer)
+            said, learned = [], []
+            for role, text, under_mask in found:
+                said.append(f"{role}\n{text}\n".encode())
+                learned.append(under_mask.encode())
+            chars = pc.utf8_length(batch.column("formatted")).cast(pa.int64())
+            texts = [pa.array(x, pa.binary()) for x in (said, learned)]
+            ids = [batch.column("conv_id"), batch.column("position")]
+            yield pa.RecordBatch.from_arrays([*ids, *texts, chars], schema.names)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state = None, None
+        kinds = [to_arrow_type(f.dataType) for f in result.fields]
 
         def ended() -> tuple:
             n_turns, turns, loss_chars, loss, chars = state
             return current, n_turns, turns.hexdigest(), loss_chars, loss.hexdigest(), chars
 
-        def result(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        def made(rows: list[tuple]) -> pa.RecordBatch:
             arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
-            return pa.RecordBatch.from_arrays(arrays, names=names)
+            return pa.RecordBatch.from_arrays(arrays, result.names)
 
-        for batch in chat.slices(batches):
+        for batch in batches:
             rows = []
-            turns = chat.read_turns(batch.column("ids"), batch.column("loss_mask"), tokenizer)
-            chars = pc.utf8_length(batch.column("formatted")).to_pylist()
-            keys = batch.column("conv_id").to_pylist()
-            for key, (role, text, learned), size in zip(keys, turns, chars):
+            for key, _, said, learned, size in zip(*[c.to_pylist() for c in batch.columns]):
                 if state is None or key != current:
                     if state is not None:
                         rows.append(ended())
                     current = key
                     state = [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
                 state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
-                state[2] += len(learned)
-                state[3].update(learned.encode())
+                state[1].update(said)
+                state[2] += len(learned.decode())
+                state[3].update(learned)
                 state[4] += size
             if rows:
-                yield result(rows)
+                yield made(rows)
         if state is not None:
-            yield result([ended()])
+            yield made([ended()])
 
-    schema = """conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint,
-      loss_sha256 string, formatted_chars bigint"""
-    return turns.mapInArrow(run, schema)
+    placed = turns.mapInArrow(read, schema).repartition("conv_id")
+    return placed.sortWithinPartitions("conv_id", "position").mapInArrow(digest, result)
 
 
 _CONTROL = r"\[INST\]|\[/INST\]|<s>|</s>|<<SYS>>|<</SYS>>|\[ROLE\]|\[/ROLE\]|\[/TURN\]"

@@ -333,3 +333,42 @@ def test_no_text_yields_a_reserved_id(spark):
         assert r.ids[0] in reserved and r.ids[-1] in reserved
         masked = [i for i, m in zip(r.ids, r.loss_mask) if m]
         assert not reserved & set(masked)
+
+
+@pytest.mark.parametrize("conv, turn", [("string", "int"), ("int", "smallint"), ("date", "double")])
+def test_ids_of_any_type(spark, tmp_path, conv, turn):
+    rows = conversations(spark).where("conv_id BETWEEN 0 AND 500").distinct()
+    kept = "CAST(turn % 100 AS {t})" if turn == "smallint" else "CAST(turn AS {t})"
+    made = "date_add(DATE'2024-01-01', CAST(conv_id AS int))" if conv == "date" else f"CAST(conv_id AS {conv})"
+    typed = rows.selectExpr(f"{made} AS conv_id", f"{kept.format(t=turn)} AS turn", "role", "text")
+    found = chat.format_turns(typed, PATH)
+    assert found.dtypes[0][1] == conv and found.dtypes[1][1] == turn
+    same = chat.format_turns(rows.selectExpr("conv_id", f"{kept.format(t=turn)} AS turn", "role", "text"), PATH)
+    told = lambda df: Counter((tuple(r.ids), r.position, r.token_start) for r in df.collect())
+    assert told(found) == told(same)
+    assert q.digest_conversations(found, PATH).count() == rows.select("conv_id").distinct().count()
+
+
+def test_a_hot_conversation_is_formatted_by_several_tasks(spark, monkeypatch):
+    rows = [(1, i, ["user", "assistant"][i % 2], f"turn {i} " * 20) for i in range(3000)]
+    rows += [(2, 0, "user", "same")] * 500 + [(i, 0, "user", "x") for i in range(3, 1500)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(4)
+    kept = {}
+    real = chat.written
+    monkeypatch.setattr(chat, "written", lambda frame, label: kept.setdefault(label, real(frame, label)))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = chat.format_turns(df, PATH).where("conv_id < 3").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    parts = kept["turns"].where("conv_id = 1").select("part").distinct().count()
+    copies = kept["turns"].where("conv_id = 2").groupBy("part").count()
+    assert parts > 2 and kept["turn_offsets"].count() >= parts - 1 and copies.count() >= 1
+    for conv, size in ((1, 3000), (2, 500)):
+        own = sorted((r for r in found if r.conv_id == conv), key=lambda r: r.position)
+        assert [r.position for r in own] == list(range(size))
+        tokens = chars = 0
+        for r in own:
+            assert (r.token_start, r.char_start) == (tokens, chars)
+            tokens, chars = tokens + len(r.ids), chars + len(r.formatted)
+        assert [r.turn for r in own] == sorted(r.turn for r in own)
