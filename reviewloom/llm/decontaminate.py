@@ -7,9 +7,10 @@ phrase cannot hold one and are left out, which is exact; the rest is indexed, al
 phrases are searched backwards at once, occurrences are located by sampled
 positions and merged to spans of words.
 
-The benchmark is sent to the tasks in blocks of ``block_bytes`` at most, and a
-benchmark of several blocks is searched block after block; documents are never
-shuffled.
+Distinct phrases are made by a Spark job over the benchmark and written. They are sent to
+the tasks in blocks of about ``block_phrases``, one after the other: the driver and a
+task hold one block at a time, and what was found with it is written before the next.
+Documents are never shuffled.
 
 Defined results: a NULL or empty text has no words; an item without words has no
 phrase; an item without id goes by ''; repeated rows are documents of their own,
@@ -20,11 +21,11 @@ no rows, an empty benchmark no hits.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +41,7 @@ from reviewloom.llm.fmindex import FMIndex
 
 WINDOW = 10
 SHARD_WORDS = 1_000_000  # a bound on the index's memory, some 150 MB
-BLOCK_BYTES = 32_000_000
+BLOCK_PHRASES = 300_000  # some 40 MB as numbers, and their words
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
@@ -53,28 +54,68 @@ class Phrases:
     items: list[list[str]]  # whose each phrase is
 
 
+def item_phrases(text: bytes | None, window: int = WINDOW) -> set[bytes]:
+    """The distinct phrases of an item, words with a space between."""
+    words = alnum_words(text)
+    starts = range(max(1, len(words) - window + 1) if words else 0)
+    return {b" ".join(words[at : at + window]) for at in starts}
+
+
 def phrases(rows: list[tuple[str, bytes | None]], window: int = WINDOW) -> Phrases:
-    vocabulary: dict[bytes, int] = {}
-    owners: dict[tuple[int, ...], set[str]] = {}
+    """Of all items at once."""
+    owners: dict[bytes, set[str]] = {}
     for item, text in rows:
-        words = [vocabulary.setdefault(w, len(vocabulary) + 1) for w in alnum_words(text)]
-        for start in range(max(1, len(words) - window + 1) if words else 0):
-            owners.setdefault(tuple(words[start : start + window]), set()).add(item)
-    patterns = np.zeros((len(owners), window), np.int64)
-    for row, phrase in enumerate(owners):
-        patterns[row, window - len(phrase) :] = phrase
-    lengths = (patterns > 0).sum(axis=1)
-    return Phrases(vocabulary, patterns, lengths, [sorted(o) for o in owners.values()])
-
-
-def _blocks(benchmark: DataFrame, block_bytes: int, window: int) -> Iterator[Phrases]:
-    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, -(-size // block_bytes))
-    for block in range(count):
-        part = benchmark.where(F.pmod(F.xxhash64("text"), F.lit(count)) == block)
-        table = as_bytes(part, "text").toArrow()
-        rows = zip(table.column(0).to_pylist(), table.column(1).to_pylist())
-        yield phrases(list(rows), window)
+        for phrase in item_phrases(text, window):
+            owners.setdefault(phrase, set()).add(item)
+    return numbered_phrases(list(owners), [sorted(o) for o in owners.values()], window)
+
+
+def numbered_phrases(found: list[bytes], items: list[list[str]], window: int) -> Phrases:
+    vocabulary: dict[bytes, int] = {}
+    patterns = np.zeros((len(found), window), np.int32)
+    for row, phrase in enumerate(found):
+        words = phrase.split(b" ")
+        patterns[row, window - len(words) :] = [
+            vocabulary.setdefault(w, len(vocabulary) + 1) for w in words
+        ]
+    return Phrases(vocabulary, patterns, (patterns > 0).sum(axis=1), items)
+
+
+def distinct_phrases(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``phrase, items``: every phrase of the benchmark once, and whose it is, sorted."""
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = [
+                (phrase, item)
+                for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                for phrase in item_phrases(text, window)
+            ]
+            made, owners = zip(*rows) if rows else ((), ())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(made, pa.binary()), pa.array(owners, pa.string())], ["phrase", "item"]
+            )
+
+        return step
+
+    pairs = map_batches(as_bytes(benchmark, "text"), "phrase binary, item string", make, rows=64)
+    return pairs.groupBy("phrase").agg(F.sort_array(F.collect_set("item")).alias("items"))
+
+
+class _Blocks:
+    """The phrases of a benchmark, block by block."""
+
+    def __init__(self, benchmark: DataFrame, block_phrases: int, window: int):
+        self._table = written(distinct_phrases(benchmark, window), "phrases")
+        self._window = window
+        self.count = max(1, -(-self._table.count() // block_phrases))
+
+    def broadcast(self, block: int) -> Broadcast:
+        part = self._table.where(F.pmod(F.xxhash64("phrase"), F.lit(self.count)) == block)
+        rows = part.toArrow()
+        found, items = (rows.column(c).to_pylist() for c in ("phrase", "items"))
+        known = numbered_phrases(found, items, self._window)
+        return self._table.sparkSession.sparkContext.broadcast(known)
 
 
 def _shard_hits(words: list[np.ndarray], known: Phrases) -> tuple[dict, dict]:
@@ -168,7 +209,7 @@ def find_passages(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
-    block_bytes: int = BLOCK_BYTES,
+    block_phrases: int = BLOCK_PHRASES,
 ) -> DataFrame:
     """Per document: ``doc_id, n_words, n_hit, items`` (sorted) and ``spans`` of hit words."""
     found = as_bytes(columns(docs, doc_id=id_col, text=text_col), "text").select(
@@ -179,9 +220,9 @@ def find_passages(
         F.expr("CAST(array() AS array<string>)").alias("items"),
     )
     schema = keyed_schema(found, f"text binary, n_words bigint, spans {SPANS}, items array<string>")
-    context = found.sparkSession.sparkContext
-    for known in _blocks(_benchmark(benchmark, item_col, item_text_col), block_bytes, window):
-        sent = context.broadcast(known)
+    blocks = _Blocks(_benchmark(benchmark, item_col, item_text_col), block_phrases, window)
+    for block in range(blocks.count):
+        sent = blocks.broadcast(block)
 
         def make(sent=sent):
             def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -205,6 +246,9 @@ def find_passages(
             return step
 
         found = map_batches(found, schema, make, rows=None)
+        if block + 1 < blocks.count:
+            found = written(found, "searched")
+            sent.destroy()
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     return found.select("doc_id", "n_words", hit.alias("n_hit"), "items", "spans")
 
@@ -246,7 +290,7 @@ def remove_passages(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = WINDOW,
-    block_bytes: int = BLOCK_BYTES,
+    block_phrases: int = BLOCK_PHRASES,
 ) -> DataFrame:
     """``doc_id, text, n_removed``: no phrase is left; clean texts stay as they are.
 
@@ -257,9 +301,7 @@ def remove_passages(
         "n_removed", F.lit(0).cast("bigint")
     )
     schema = keyed_schema(found, "text binary, n_removed bigint")
-    context = found.sparkSession.sparkContext
-    items = _benchmark(benchmark, item_col, item_text_col)
-    sent = [context.broadcast(known) for known in _blocks(items, block_bytes, window)]
+    blocks = _Blocks(_benchmark(benchmark, item_col, item_text_col), block_phrases, window)
 
     def cut(block):
         def make():
@@ -275,10 +317,13 @@ def remove_passages(
 
     before, after = -1, 0
     while before < after:
-        for block in sent:
-            found = map_batches(found, schema, cut(block), rows=None)
-        if len(sent) == 1:
+        for block in range(blocks.count):
+            sent = blocks.broadcast(block)
+            found = map_batches(found, schema, cut(sent), rows=None)
+            if blocks.count > 1:
+                found = written(found, "decontaminated")
+                sent.destroy()
+        if blocks.count == 1:
             break
-        found = written(found, "decontaminated")
         before, after = after, found.agg(F.sum("n_removed")).first()[0] or 0
     return found.withColumn("text", F.col("text").cast("string"))

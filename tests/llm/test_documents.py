@@ -389,23 +389,23 @@ def leaks(spark, awkward):
     return awkward.union(spark.createDataFrame(docs, awkward.schema)).repartition(4), benchmark
 
 
-@pytest.mark.parametrize("block_bytes", [10**6, 60])
-def test_passages_against_brute_force(leaks, nothing, block_bytes):
+@pytest.mark.parametrize("block_phrases", [10**6, 20])
+def test_passages_against_brute_force(leaks, nothing, block_phrases):
     docs, benchmark = leaks
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     expected = plain_passages(rows, [tuple(r) for r in benchmark.collect()])
-    found = decontaminate.find_passages(docs, benchmark, block_bytes=block_bytes).collect()
+    found = decontaminate.find_passages(docs, benchmark, block_phrases=block_phrases).collect()
     assert Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found) == expected
     assert decontaminate.find_passages(nothing, benchmark).count() == 0
     clean = decontaminate.find_passages(docs, benchmark.where("false")).collect()
     assert not any(r.n_hit for r in clean) and len(clean) == len(rows)
 
 
-@pytest.mark.parametrize("block_bytes", [10**6, 60])
-def test_removal_leaves_no_passage_and_no_clean_text_changed(leaks, block_bytes):
+@pytest.mark.parametrize("block_phrases", [10**6, 20])
+def test_removal_leaves_no_passage_and_no_clean_text_changed(leaks, block_phrases):
     docs, benchmark = leaks
     items = [tuple(r) for r in benchmark.collect()]
-    found = decontaminate.remove_passages(docs, benchmark, block_bytes=block_bytes).collect()
+    found = decontaminate.remove_passages(docs, benchmark, block_phrases=block_phrases).collect()
     after = [(r.doc_id, r.text) for r in found]
     assert not any(hit for _, _, hit, _ in plain_passages(after, items))
     before = [(r.doc_id, r.text) for r in docs.collect()]
@@ -538,3 +538,23 @@ def test_components_of_chains_and_stars(spark):
     df = spark.createDataFrame(pairs, "a bigint, b bigint")
     assert {r.node: r.root for r in components(df).collect()} == {x: root(x) for x in parent}
     assert components(df.where("false")).count() == 0
+
+
+def test_phrases_are_made_by_tasks_and_sent_block_by_block(spark, leaks, monkeypatch):
+    docs, benchmark = leaks
+    own = decontaminate._benchmark(benchmark, "item_id", "text")
+    rows = [(r.item_id, r.text and r.text.encode()) for r in own.collect()]
+    known = decontaminate.phrases(rows)
+    expected = {}
+    for row, items in zip(known.patterns.tolist(), known.items):
+        words = {n: w for w, n in known.vocabulary.items()}
+        expected[b" ".join(words[n] for n in row if n)] = items
+    found = decontaminate.distinct_phrases(own).collect()
+    assert {bytes(r.phrase): list(r["items"]) for r in found} == expected and len(found) == len(expected)
+    sizes = []
+    real = decontaminate.numbered_phrases
+    monkeypatch.setattr(
+        decontaminate, "numbered_phrases", lambda f, *rest: sizes.append(len(f)) or real(f, *rest)
+    )
+    decontaminate.find_passages(docs, benchmark, block_phrases=30).count()
+    assert len(sizes) > 3 and sum(sizes) == len(expected) and max(sizes) < 60
