@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch_root(spark: SparkSession) -> str:
     """This package's folder in ``spark.checkpoint.dir``, else in the warehouse.
 
-    Both are the session's own settings and shared by all executors of a cluster.
+    Executors need to share it. The warehouse is a folder of the driver's machine unless
+    the session says otherwise: on a cluster that is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        own_disk = root.startswith(("file:", "/")) or "://" not in root
+        if own_disk and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(
+                f"executors do not share {root}: set spark.checkpoint.dir to a folder they share"
+            )
     return f"{root.rstrip('/')}/reviewloom"
 
 

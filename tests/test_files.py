@@ -126,6 +126,18 @@ def test_scratch_follows_the_session(tmp_path):
     assert scratch.scratch_path(unset, "x").startswith("hdfs://host/warehouse/reviewloom/x-")
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://h:7077", "local-cluster[2,1,1024]", "local[4]", "local"])
+@pytest.mark.parametrize("folder", ["file:/tmp/w", "/tmp/w", "spark-warehouse"])
+def test_no_scratch_on_the_drivers_own_disk_of_a_cluster(master, folder):
+    session = fake_session(spark_sql_warehouse_dir=folder)
+    session.sparkContext = SimpleNamespace(master=master)
+    if master in ("local", "local[4]"):
+        assert scratch.scratch_root(session) == f"{folder}/reviewloom"
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.scratch_root(session)
+
+
 def test_scratch_can_be_cleared(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(scratch, "scratch_root", lambda _: f"{tmp_path}/reviewloom")
     spark.range(3).write.parquet(scratch.scratch_path(spark, "x"))
