@@ -9,9 +9,9 @@ too short for either histogram and are judged by the base rules alone.
 
 References are summed per batch and task in whole millionths, so they do not
 depend on the order of rows; a language costs one row. Every value of the language
-column has a reference of its own. A language without a word list here gets the
-words that most of its own long documents hold, once ``MIN_DOCUMENTS`` of them are
-there; with fewer, its documents are judged by the base rules alone.
+column has a reference of its own once ``MIN_DOCUMENTS`` long documents of it are there;
+with fewer its documents are judged by the base rules alone. A language without a word
+list here gets the words that most of its own long documents hold.
 
 Defined results: a NULL or empty text has no words and fails the base rules; a
 NULL or empty language has no reference, so the base rules alone judge; ids are
@@ -47,7 +47,7 @@ COMMON = {
 }
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
-MIN_DOCUMENTS = 20  # of a language without a word list
+MIN_DOCUMENTS = 20  # long ones of a language, for a reference
 MAX_CHARACTER_DISTANCE = 0.25
 # Few words scatter more: the limit is 0.25 + 1 / sqrt(words).
 MAX_WORD_DISTANCE, WORD_SCATTER = 0.25, 1.0
@@ -209,7 +209,7 @@ def references(
     driver. Languages without a word list are read twice more, if there are any.
     """
     docs = docs.select("text", "lang")
-    enough = F.col("lang").isin(*COMMON) | (F.col("documents") >= min_documents)
+    enough = F.col("documents") >= min_documents
     rows = _sums(docs, _LISTS, min_words).where(enough).collect()
     known = {row.lang: Reference(np.array(row[2:], np.int64), _LISTS.get(row.lang, [])) for row in rows}
     others = [lang for lang in known if lang not in COMMON]
