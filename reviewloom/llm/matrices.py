@@ -141,5 +141,6 @@ NAMES = "sequence_id n_tokens doc_ids starts cu_seqlens input_ids position_ids".
 
 
 def write_matrices(packed: DataFrame, path: str) -> None:
-    """The binary rows as Parquet, uncompressed columns of ids included as they are."""
-    packed.write.mode("overwrite").parquet(path)
+    """The rows as Parquet without compression: ids lie in the files as they are, to be
+    mapped into memory by whoever reads them."""
+    packed.write.mode("overwrite").option("compression", "none").parquet(path)

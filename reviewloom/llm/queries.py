@@ -35,6 +35,7 @@ from reviewloom.llm import (
 )
 from reviewloom.llm.common import keyed_schema
 from reviewloom.llm.tokens import vocabulary_path
+from reviewloom.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -132,8 +133,13 @@ FROM keyed LEFT JOIN often USING (line_key) GROUP BY doc_id"""
 
 @query
 def op5_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return matrices.pack_matrices(docs, vocabulary_path(TOKENIZER))
+    """The matrices as they were written."""
+    packed = matrices.pack_matrices(
+        table(spark, sf_dir, "documents"), vocabulary_path(TOKENIZER)
+    )
+    path = scratch_path(spark, "matrices")
+    matrices.write_matrices(packed, path)
+    return spark.read.schema(packed.schema).parquet(path)
 
 
 @query
