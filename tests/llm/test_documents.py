@@ -51,37 +51,46 @@ def plain_distance(p, q):
     return (total / 2) ** 0.5
 
 
-def plain_histograms(text, lang):
+def plain_histograms(text, listed):
     sets = [r"[a-z]", r"[A-Z]", r"[0-9]", r"[\x20\x09-\x0D]", r"[.,;:'\"?()-]"]
     counts = [len(re.findall(s, text)) for s in sets]
     beyond = len(re.findall(r"[^\x00-\x7F]", text))
     counts += [len(text) - sum(counts) - beyond, beyond]
     words = Counter(ALNUM.findall(lower(text)))
-    common = [words[w] for w in quality.COMMON.get(lang, "").split()]
+    common = [words[w] for w in listed]
     common += [0] * (20 - len(common))
     return counts, [*common, sum(words.values()) - sum(common)]
 
 
 def plain_quality(rows):
     """doc -> base counts, failed, kept of rows (id, text, lang)."""
-    sums = {}
+    long = {}
     for _, text, lang in rows:
-        if plain_base(text)[0] >= 50:
-            lang = lang if lang in quality.COMMON else ""
-            sums.setdefault(lang, []).append(
-                [[c * 10**6 // max(1, sum(h)) for c in h] for h in plain_histograms(text, lang)]
-            )
-    references = {k: [np.sum([d[i] for d in v], axis=0) for i in (0, 1)] for k, v in sums.items()}
+        if lang and plain_base(text)[0] >= 50:
+            long.setdefault(lang, []).append(text)
+    references, lists = {}, {}
+    for lang, texts in long.items():
+        if len(texts) < 20:
+            continue
+        if lang in quality.COMMON:
+            lists[lang] = quality.COMMON[lang].split()
+        else:
+            held = Counter(w for t in texts for w in set(ALNUM.findall(lower(t))))
+            lists[lang] = sorted(held, key=lambda w: (-held[w], w.encode()))[:20]
+        shares = [
+            [[c * 10**6 // max(1, sum(h)) for c in h] for h in plain_histograms(t, lists[lang])]
+            for t in texts
+        ]
+        references[lang] = [np.sum([d[i] for d in shares], axis=0) for i in (0, 1)]
     found = []
     for key, text, lang in rows:
         base = plain_base(text)
         failed = base[0] < 10 or 100 * base[4] > 20 * base[0]
         kept = not failed
-        if base[0] >= 50:
-            lang = lang if lang in quality.COMMON else ""
+        if base[0] >= 50 and lang in references:
             near, apart = (
                 plain_distance(h, r) if sum(h) else 0
-                for h, r in zip(plain_histograms(text, lang), references[lang])
+                for h, r in zip(plain_histograms(text, lists[lang]), references[lang])
             )
             kept = kept and near <= 0.25 and apart <= 0.25 + 1 / base[0] ** 0.5
         found.append((key, *base, failed, kept))
@@ -113,6 +122,21 @@ def test_quality_keeps_the_good_and_drops_the_bad(spark):
     assert bad.where("NOT kept").count() > 0.8 * bad.count()
 
 
+@pytest.mark.parametrize("lang", ["it", "en"])
+@pytest.mark.parametrize("size", [19, 20, 21])
+def test_a_reference_needs_twenty_documents(spark, lang, size):
+    """Listed and unlisted languages alike: below, the base rules alone judge."""
+    rand = random.Random(size)
+    words = "di che la il un non per una sono con casa tempo giorno uomo vita mano".split()
+    rows = [(i, plain_text(rand, words), lang) for i in range(size - 1)]
+    rows += [(100, plain_text(rand, ["1234", "56", "78", "90"], 90), lang), (101, "short", lang)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    found = quality.judge(frame)
+    assert Counter(map(tuple, found.select(FIELDS).collect())) == plain_quality(rows)
+    junk = found.where("doc_id = 100").first()
+    assert junk.kept == (size < 20) and not junk.base_failed
+
+
 def test_rejections_do_not_depend_on_partitions(awkward):
     runs = [
         Counter(map(str, quality.judge(awkward.repartition(n)).collect())) for n in (1, 4)
