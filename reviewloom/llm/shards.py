@@ -31,6 +31,8 @@ BUCKET_BYTES = 16 << 20  # of records in one array, by their strings
 BUCKET_ROWS = 16_384
 GIANT_BYTES = 1 << 20
 BLOCK = 1024  # buckets whose offsets are summed together
+MAX_TASKS = 100_000  # of the second pass; beyond, a task takes several buckets
+SENT_BUCKETS = 1_000_000  # offsets that are broadcast, 16 bytes each
 
 
 def _size(schema: T.StructType) -> Column:
@@ -80,7 +82,7 @@ def shuffle_into_shards(
     # order, as a task draws its random numbers from one sequence for all of its own.
     by_row = lambda a, b: F.when(a["row"] < b["row"], -1).otherwise(1)
     shuffled = (
-        scattered.repartition("bucket")
+        scattered.repartition(min(buckets, MAX_TASKS), "bucket")
         .groupBy("bucket")
         .agg(F.collect_list("entry").alias("members"))
         .sortWithinPartitions("bucket")
@@ -90,6 +92,8 @@ def shuffle_into_shards(
     )
     shuffled = written(shuffled, "buckets")
     offsets = _offsets(shuffled.groupBy("bucket").agg(F.count("*").alias("rows")))
+    if buckets <= SENT_BUCKETS:  # else records move again, to meet them
+        offsets = F.broadcast(offsets)
     rank = F.col("offset") + F.col("at")
     placed = shuffled.join(offsets, "bucket").select(
         "record",
