@@ -52,45 +52,43 @@ def explode_merged(
     if free_text and (free_text not in columns or len(columns) < 2):
         raise ValueError("free_text needs to be one of several columns")
     rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
-    # Everything new lives in one struct, so no name of the frame can clash.
     own = "merged"
-    while own.lower() in {c.lower() for c in df.columns}:
+    while any(c.lower().startswith(own) for c in df.columns):
         own = f"_{own}"
-    lists = {c: F.split(F.col(f"`{c}`"), _literal(delimiter)) for c in columns}
-    keys = [c for c in columns if c != free_text]
-    sizes = [F.array_size(lists[c]) for c in columns]
-    key_sizes = [F.array_size(lists[c]) for c in keys]
-    equal = F.coalesce(reduce(and_, [s == sizes[0] for s in sizes]), F.lit(False))
+    # Lists are columns of their own, so that each text is split once.
+    names = {c: f"{own}_{i}" for i, c in enumerate(columns)}
+    staged = df.withColumns({names[c]: F.split(F.col(f"`{c}`"), _literal(delimiter)) for c in columns})
+    lists = {c: F.col(name) for c, name in names.items()}
+    sizes = {c: F.array_size(lists[c]) for c in columns}
+    first = sizes[columns[0]]
+    equal = F.coalesce(reduce(and_, [s == first for s in sizes.values()]), F.lit(False))
     how = F.when(equal, EXACT).otherwise(UNEQUAL)
     if free_text:
-        same_keys = reduce(and_, [s == key_sizes[0] for s in key_sizes])
-        more = F.array_size(lists[free_text]) > key_sizes[0]
-        wanted = F.when(F.coalesce(same_keys & more, F.lit(False)), key_sizes[0])
+        keys = [sizes[c] for c in columns if c != free_text]
+        more = reduce(and_, [s == keys[0] for s in keys]) & (sizes[free_text] > keys[0])
+        wanted = F.when(F.coalesce(more, F.lit(False)), keys[0])
         cuts = best_cuts(F.when(wanted.isNotNull(), lists[free_text]), wanted, F.lit(delimiter))
-        staged = df.withColumn(own, F.struct(how.alias("how"), cuts.alias("found")))
-        found = F.col(f"{own}.found")
+        staged = staged.withColumn(f"{own}_found", cuts)
+        found = F.col(f"{own}_found")
         how = (
-            F.when(found.isNull(), F.col(f"{own}.how"))
-            .when(found["ways"] > 1, AMBIGUOUS)
-            .otherwise(RECOVERED)
+            F.when(found.isNull(), how).when(found["ways"] > 1, AMBIGUOUS).otherwise(RECOVERED)
         )
-        lists[free_text] = F.when(found.isNull(), lists[free_text]).otherwise(found["parts"])
-    else:
-        staged = df
+        lists[free_text] = F.coalesce(found["parts"], lists[free_text])
+    staged = staged.withColumn(own, how)
     paired = F.arrays_zip(*[lists[c].alias(c) for c in columns])
     whole = F.array(F.struct(*[F.col(f"`{c}`") for c in columns]))
-    good = how.isin(EXACT, RECOVERED)
+    good = F.col(own).isin(EXACT, RECOVERED)
     items = F.when(good, paired).otherwise(whole)
     # The arrays are never empty. "outer" only keeps Catalyst from testing that
     # beforehand, which would split every text again below the scan.
     position, value = f"{own}_at", f"{own}_item"
     return staged.select(
-        *rest, how.alias(own), F.posexplode_outer(items).alias(position, value)
+        *rest, own, F.posexplode_outer(items).alias(position, value)
     ).select(
         *rest,
-        F.when(F.col(own).isin(EXACT, RECOVERED), F.col(position)).alias(item),
+        F.when(good, F.col(position)).alias(item),
         *[F.col(f"{value}.`{c}`").alias(c) for c in columns],
-        F.col(own).isin(EXACT, RECOVERED).alias(aligned),
+        good.alias(aligned),
         *([F.col(own).alias(alignment)] if free_text else []),
     )
 

@@ -267,11 +267,11 @@ def split_corrupt_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "find_shifted_rows",
     f"""WITH {REVIEWS_SQL},
-copies AS (
+twice AS (
   SELECT doc_id, CASE WHEN copy = 0 THEN 0 WHEN (doc_id // 11) % 31 < 16
     THEN (doc_id // 11) % 31 + 1 ELSE 15 - (doc_id // 11) % 31 END AS moved
   FROM reviews JOIN (SELECT unnest([0, 1]) AS copy) ON copy = 0 OR doc_id % 11 = 5)
-SELECT doc_id, CAST(moved AS INTEGER) AS moved, moved <> 0 AS shifted FROM copies""",
+SELECT doc_id, CAST(moved AS INTEGER) AS moved, moved <> 0 AS shifted FROM twice""",
 )
 def find_shifted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What sound files look like finds the rows of another whose values have moved."""
