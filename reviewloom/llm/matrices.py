@@ -26,7 +26,8 @@ from reviewloom.llm.tokens import encoder, token_blocks
 
 CAPACITY = 4096
 END_ID = 2
-BLOCK_TOKENS = 4_000_000  # a bound on memory: some 1,000 rows at a time
+BLOCK_TOKENS = 2_000_000  # a bound on memory: some 500 rows at a time
+ROW_GROUP_BYTES = 16 << 20
 
 
 class FreeRoom:
@@ -142,5 +143,7 @@ NAMES = "sequence_id n_tokens doc_ids starts cu_seqlens input_ids position_ids".
 
 def write_matrices(packed: DataFrame, path: str) -> None:
     """The rows as Parquet without compression: ids lie in the files as they are, to be
-    mapped into memory by whoever reads them."""
-    packed.write.mode("overwrite").option("compression", "none").parquet(path)
+    mapped into memory by whoever reads them. Row groups are small, as a task holds one
+    beside the block it packs."""
+    options = {"compression": "none", "parquet.block.size": ROW_GROUP_BYTES}
+    packed.write.mode("overwrite").options(**options).parquet(path)
