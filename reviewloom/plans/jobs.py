@@ -25,6 +25,8 @@ def main(argv: list[str] | None = None) -> None:
                         help="quarantine the products in this Parquet table (product_id)")
     parser.add_argument("--corrupt-aside", action="store_true",
                         help="set rows that do not parse aside, with the reason")
+    parser.add_argument("--salts", type=int, default=1,
+                        help="reducers over which each product of --corrupt-keys is spread")
     parser.add_argument("--format", default="csv", help="gold format (silver-to-gold)")
     args = parser.parse_args(argv)
 
@@ -35,7 +37,10 @@ def main(argv: list[str] | None = None) -> None:
             known = spark.createDataFrame([(i,) for i in ids], "product_id string")
             ids = spark.read.parquet(args.corrupt_keys).select("product_id").union(known)
         null_key = "drop" if args.known_corrupt or args.corrupt_keys else "keep"
-        bronze_to_silver(spark, args.source, args.target, ids, null_key, args.corrupt_aside)
+        counts = bronze_to_silver(
+            spark, args.source, args.target, ids, null_key, args.corrupt_aside, salts=args.salts
+        )
+        print(", ".join(f"{name}: {count}" for name, count in counts.items()))
     else:
         silver_to_gold(spark, args.source, args.target, args.format)
 

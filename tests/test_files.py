@@ -190,11 +190,14 @@ def test_padded_source_with_listed_products(spark, tmp_path):
         ]
 
 
-def test_job_with_a_key_table_and_corrupt_rows_aside(spark, source, tmp_path):
+@pytest.mark.parametrize("salts", ["1", "4"])
+def test_job_with_a_key_table_and_corrupt_rows_aside(spark, source, tmp_path, capsys, salts):
     silver, keys = str(tmp_path / "silver"), str(tmp_path / "keys")
     spark.createDataFrame([("X2",), ("X2",)], "product_id string").write.parquet(keys)
     (tmp_path / "src" / "more.csv").write_text(",".join(REVIEW_COLUMNS) + "\nshort,row\n")
-    jobs.main(["bronze-to-silver", source, silver, "--corrupt-keys", keys, "--corrupt-aside"])
+    jobs.main(["bronze-to-silver", source, silver, "--corrupt-keys", keys, "--corrupt-aside",
+               "--salts", salts])
+    assert "rows: 9, kept: 5, quarantine: 1, corrupt: 2, no_key: 1" in capsys.readouterr().out
     side = lambda s: {r.product_id for r in csv.scan_side(spark, silver, s, fmt="parquet").collect()}
     assert side(keysplit.QUARANTINE) == {"X2"}
     assert side(keysplit.CORRUPT) == {"X3", "short"}
