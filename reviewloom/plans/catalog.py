@@ -574,6 +574,19 @@ def dedup_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.best_rating_per(views.reviews(spark, sf_dir), ["review_content"])
 
 
+@query("dedup_body_repeats_first", CATALOG["dedup_body"].sql)
+def dedup_body_repeats_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same; texts that occur once are not moved for it."""
+    return dedup.best_rating_per(
+        views.reviews(spark, sf_dir), ["review_content"], repeats_first=True
+    )
+
+
+@query("dedup_four_key_repeats_first", CATALOG["dedup_four_key"].sql)
+def dedup_four_key_repeats_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.distinct_on(views.reviews(spark, sf_dir), repeats_first=True)
+
+
 # --- Text stages ---------------------------------------------------------
 
 

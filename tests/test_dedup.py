@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -58,6 +59,85 @@ def test_plans_stay_hash_aggregates(spark, plan):
         assert text.count("hashpartitioning") == 1
 
 
+def brute(rows, keys):
+    best = {}
+    for row in rows:
+        key, rating = tuple(str(row[k]) for k in keys), row["rating"]
+        known = [r for r in (best.get(key), rating) if r is not None]
+        best[key] = max(known) if known else None
+    return best
+
+
+def mixed_rows(n=3000, seed=5):
+    """A third copies of one text, a third single texts, the rest in small groups."""
+    rng = random.Random(seed)
+    for i in range(n):
+        body = rng.choice(["hot", f"single {i}", rng.choice([None, "", f"t{i % 200}"])])
+        rating = rng.choice([None, 0.5, 2.0, 4.5, 0.0])
+        yield {"user_id": rng.choice("uv"), "product_id": rng.choice(["p", None]),
+               "review_content": body, "rating": rating}
+
+
+def test_repeats_first_against_brute_force(spark):
+    rows = list(mixed_rows())
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+        for keys in (["review_content"], ["user_id", "product_id", "review_content"]):
+            out = dedup.best_rating_per(df, keys, repeats_first=True).collect()
+            assert len(out) == len(brute(rows, keys))
+            assert {tuple(str(r[k]) for k in keys): r.rating for r in out} == brute(rows, keys)
+        out = dedup.distinct_on(df, repeats_first=True).collect()
+        assert len(out) == len({tuple(r.values()) for r in rows})
+
+
+def test_repeats_first_moves_no_single_text(spark):
+    rows = list(mixed_rows())
+    df = spark.createDataFrame(rows, SCHEMA)
+    single, others = dedup.split_repeats(df, ["review_content"])
+    copies = Counter(r["review_content"] for r in rows)
+    singles = {text for text, n in copies.items() if n == 1}
+    stay = {r.review_content for r in single.collect()}
+    assert stay <= singles and len(stay) > 0.9 * len(singles)
+    assert single.count() + others.count() == len(rows)
+
+
+def test_a_full_filter_is_still_exact(spark):
+    rows = list(mixed_rows())
+    bodies = spark.createDataFrame(rows, SCHEMA).select("review_content", "rating")
+    single, others = dedup.split_repeats(bodies, ["review_content"], max_bits=64)
+    assert others.count() > len(rows) / 2
+    out = single.unionAll(dedup.best_rating_per(others, ["review_content"])).collect()
+    assert {(str(r.review_content),): r.rating for r in out} == brute(rows, ["review_content"])
+    assert len(out) == len(brute(rows, ["review_content"]))
+
+
+def test_repeats_first_zeros_nan_and_empty(spark):
+    nan = float("nan")
+    numbers = [(0.0,), (-0.0,), (nan,), (nan,), (None,), (None,), (1.0,)]
+    df = spark.createDataFrame(numbers, "x double").repartition(3)
+    assert dedup.distinct_on(df, ["x"], repeats_first=True).count() == 4
+    empty = spark.createDataFrame([], SCHEMA)
+    assert dedup.distinct_on(empty, repeats_first=True).count() == 0
+
+
+def test_repeats_first_keeps_clashing_columns(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 2, 3), ("a", 1, 2, 3), ("b", 4, 5, 6)],
+        "Place string, bitmap int, place_segment int, segment int",
+    )
+    out = dedup.distinct_on(df, df.columns, repeats_first=True)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect())) == [("a", 1, 2, 3), ("b", 4, 5, 6)]
+
+
+def test_only_the_repeats_are_exchanged(spark, plan):
+    df = spark.createDataFrame([("u", "p", "a", 1.0)] * 2, SCHEMA)
+    out = dedup.best_rating_per(df, ["review_content"], repeats_first=True)
+    text = plan(out)
+    assert text.count("hashpartitioning(review_content") == 1
+    assert "SortAggregate(key=[review_content" not in text
+
+
 def explode_rows(spark, rows, delimiter):
     df = spark.createDataFrame(rows, "id int, a string, b string")
     out = explode_merged(df, ["a", "b"], delimiter).collect()
