@@ -290,6 +290,14 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.scan_lossless(spark, path, NARROW_SCHEMA)
 
 
+@query("sink_csv_sized", CATALOG["sink_csv_roundtrip"].sql)
+def sink_csv_sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, in files bounded in bytes."""
+    path = scratch_path(spark, "sink_csv_sized")
+    sinks.write_csv(views.reviews(spark, sf_dir), path, file_bytes=32 << 20)
+    return csv.scan_lossless(spark, path, NARROW_SCHEMA)
+
+
 def _written_side(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
     path = scratch_path(spark, f"sink_{side}")
     split = keysplit.with_split(views.reviews(spark, sf_dir), "product_id", CORRUPT_IDS)

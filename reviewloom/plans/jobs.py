@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--salts", type=int, default=1,
                         help="reducers over which each product of --corrupt-keys is spread")
     parser.add_argument("--format", default="csv", help="gold format (silver-to-gold)")
+    parser.add_argument("--file-bytes", type=int, metavar="N",
+                        help="size of the files of the published table (silver-to-gold)")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"reviewloom {args.step}").getOrCreate()
@@ -42,7 +44,9 @@ def main(argv: list[str] | None = None) -> None:
         )
         print(", ".join(f"{name}: {count}" for name, count in counts.items()))
     else:
-        silver_to_gold(spark, args.source, args.target, args.format)
+        silver_to_gold(
+            spark, args.source, args.target, args.format, file_bytes=args.file_bytes
+        )
 
 
 if __name__ == "__main__":

@@ -155,10 +155,16 @@ def silver_to_gold(
     target: str,
     fmt: str = "csv",
     max_records: int = sinks.MAX_RECORDS,
+    file_bytes: int | None = None,
 ) -> None:
-    """Kept silver rows to the published training set and its label report."""
+    """Kept silver rows to the published training set and its label report.
+
+    ``file_bytes`` gives files of about that size instead of ``max_records`` rows.
+    """
     reviews = csv.scan_side(spark, source, KEPT, fmt="parquet")
-    table = sinks.publish(gold(reviews), f"{target}/training_dataset", fmt, max_records)
+    table = sinks.publish(
+        gold(reviews), f"{target}/training_dataset", fmt, max_records, file_bytes=file_bytes
+    )
     if fmt == "csv":
         published = csv.scan_lossless(spark, table, GOLD_SCHEMA, multi_line=False)
     else:

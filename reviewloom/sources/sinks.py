@@ -1,11 +1,13 @@
 """Sinks. Every write replaces the target directory as one Spark job.
 
 ``max_records`` bounds the rows of a CSV file, and with them the work of the one
-task that reads a file with line breaks inside fields. It drops nothing.
+task that reads a file with line breaks inside fields. It drops nothing. ``file_bytes``
+gives files of about that many bytes, however long the texts are.
 """
 
 from __future__ import annotations
 
+import math
 import time
 import uuid
 from collections.abc import Iterator
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.keysplit import SIDES
 from reviewloom.sources.csv import LOSSLESS
+from reviewloom.sources.scratch import scratch_path
 
 MAX_RECORDS = 100_000
 
@@ -25,13 +28,19 @@ def write_csv(
     path: str,
     max_records: int = MAX_RECORDS,
     null_value: str = LOSSLESS["nullValue"],
+    file_bytes: int | None = None,
 ) -> None:
     """Lossless CSV, as many part files as there are partitions or more.
 
     With ``null_value=""`` other programs need no convention for NULL, but ''
-    reads back as NULL.
+    reads back as NULL. With ``file_bytes`` files have about that size
+    (``sized``) and ``max_records`` is not used.
     """
-    options = {**LOSSLESS, "nullValue": null_value, "maxRecordsPerFile": max_records}
+    options = {**LOSSLESS, "nullValue": null_value}
+    if file_bytes is None:
+        options["maxRecordsPerFile"] = max_records
+    else:
+        df = sized(df, file_bytes, "csv", options)
     df.write.mode("overwrite").options(**options).csv(path)
 
 
@@ -40,10 +49,46 @@ def write_plain_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
+def write_parquet(df: DataFrame, path: str, file_bytes: int | None = None) -> None:
+    """Parquet; with ``file_bytes`` in files of about that size (``sized``)."""
+    if file_bytes is not None:
+        df = sized(df, file_bytes, "parquet")
     df.write.mode("overwrite").parquet(path)
 
 
+def sized(
+    df: DataFrame, file_bytes: int, fmt: str = "csv", options: dict | None = None
+) -> DataFrame:
+    """The rows, dealt to as many tasks as there are ``file_bytes`` in the files they fill.
+
+    Rows are written to the scratch folder, once, and measured meanwhile: for CSV each
+    row as the line it will be, for Parquet by the files. Dealing them in turn gives files
+    of equal numbers of rows, so sizes are within a factor of two of the wanted one if
+    that is many times the longest row and there is as much to write. The advisory size of
+    a ``REBALANCE`` would count compressed shuffle blocks: text shrinks there by a factor
+    that depends on the text. Parquet files of rows that compress well because like stands
+    next to like get larger than measured, as dealing parts them.
+
+    No rows give no task but an empty one; a row longer than a file has one of its own size.
+    """
+    if file_bytes < 1:
+        raise ValueError(f"file_bytes must be positive, not {file_bytes}")
+    spark = df.sparkSession
+    path = scratch_path(spark, "sized")
+    if fmt == "csv":
+        seen = Observation("sized")
+        line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options or LOSSLESS)
+        measured = df.observe(seen, F.sum(F.octet_length(line) + 1).alias("bytes"))
+        measured.write.parquet(path)
+        total = seen.get["bytes"] or 0
+    else:
+        df.write.parquet(path)
+        files, root = _files(spark, path)
+        total = files.getContentSummary(root).getLength()
+    rows = spark.read.schema(df.schema).parquet(path)
+    return rows.repartition(max(1, math.floor(total / file_bytes + 0.5)))
+
+
 def write_split(
     df: DataFrame, path: str, fmt: str = "csv", max_records: int = MAX_RECORDS
 ) -> None:
@@ -106,6 +151,7 @@ def publish(
     fmt: str = "csv",
     max_records: int = MAX_RECORDS,
     abandoned_after: float = 24.0,
+    file_bytes: int | None = None,
 ) -> str:
     """Make ``df`` the published rows of the table at ``path``; the path of the new version.
 
@@ -123,7 +169,9 @@ def publish(
     name = uuid.uuid4().hex
     version = f"{path.rstrip('/')}/{VERSION}{name}"
     if fmt == "csv":
-        write_csv(df, version, max_records)
+        write_csv(df, version, max_records, file_bytes=file_bytes)
+    elif file_bytes is not None:
+        sized(df, file_bytes, fmt).write.format(fmt).save(version)
     else:
         df.write.format(fmt).save(version)
     versions = _versions(files, root)

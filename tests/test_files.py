@@ -37,6 +37,44 @@ def test_writer_bounds_file_size(spark, tmp_path):
     assert len(list(path.glob("part-*"))) == 10
 
 
+@pytest.mark.parametrize("words", [2, 300])
+@pytest.mark.parametrize("parts", [1, 40])
+def test_files_are_bounded_in_bytes(spark, tmp_path, words, parts):
+    text = f"concat_ws(' ', transform(sequence(1, 1 + id % {words}), x -> sha1(x || '-' || id)))"
+    df = spark.range(0, 1_200_000 // words, 1, parts).selectExpr("id", f"{text} AS body")
+    for fmt, write in (("csv", sinks.write_csv), ("parquet", sinks.write_parquet)):
+        path = tmp_path / fmt
+        write(df, str(path), file_bytes=1 << 20)
+        sizes = [f.stat().st_size for f in path.glob("part-*")]
+        assert len(sizes) > 10 and min(sizes) > 1 << 19 and max(sizes) < 1 << 21, fmt
+    back = csv.scan_lossless(spark, str(tmp_path / "csv"), "id bigint, body string")
+    assert back.exceptAll(df).count() == 0 and back.count() == df.count()
+
+
+def test_sized_files_of_nasty_few_and_no_rows(spark, tmp_path):
+    df = spark.createDataFrame(NASTY, NASTY_SCHEMA).repartition(3)
+    for rows in (df, df.limit(0)):
+        path = tmp_path / f"t{rows.count()}"
+        sinks.write_csv(rows, str(path), file_bytes=1 << 20)
+        assert len(list(path.glob("part-*"))) == 1
+        back = csv.scan_lossless(spark, str(path), NASTY_SCHEMA)
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+    sinks.write_csv(df, str(tmp_path / "each"), file_bytes=1)  # no file is smaller than a row
+    back = csv.scan_lossless(spark, str(tmp_path / "each"), NASTY_SCHEMA)
+    assert sorted(map(tuple, back.collect())) == sorted(NASTY)
+    with pytest.raises(ValueError):
+        sinks.write_csv(df, str(tmp_path / "none"), file_bytes=0)
+
+
+def test_measured_lines_are_the_lines_of_the_file(spark, tmp_path):
+    df = spark.createDataFrame([r for r in NASTY if r[0] != 4], NASTY_SCHEMA).coalesce(1)
+    sinks.write_csv(df, str(tmp_path / "t"))
+    [part] = (tmp_path / "t").glob("part-*")
+    lines = df.select(sinks.F.to_csv(sinks.F.struct("*"), csv.LOSSLESS).alias("line")).collect()
+    header = len(",".join(df.columns)) + 1
+    assert sum(len(r.line.encode()) + 1 for r in lines) + header == part.stat().st_size
+
+
 def test_messy_scan_trims_and_keeps_newlines(spark, tmp_path):
     (tmp_path / "m.csv").write_text('a,b\n  x ,"1\n""2"", 3"\n,   \n')
     rows = csv.scan_messy(spark, str(tmp_path / "m.csv")).collect()
