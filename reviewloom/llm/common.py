@@ -75,3 +75,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+HOT = 1000
+
+
+def join_counted(rows: DataFrame, known: DataFrame, key: str, counted: str, how: str) -> DataFrame:
+    """``rows.join(known, key, how)`` where ``known`` has a key once and says in ``counted``
+    how many of the rows hold it.
+
+    Keys that one row in ``HOT`` holds, ``HOT`` keys at most, are broadcast, so a key of a
+    third of all rows is met where its rows are; only rows of the other keys are shuffled.
+    Both frames are read twice: they should be written.
+    """
+    often = F.col(counted) * HOT >= rows.count()
+    hot = F.broadcast(known.where(often).drop(counted))
+    others = rows.join(F.broadcast(known.where(often).select(key)), key, "left_anti")
+    return rows.join(hot, key).unionByName(
+        others.join(known.where(~often).drop(counted), key, how)
+    )

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import as_bytes, columns, keyed_schema, map_batches, written
+from reviewloom.llm.common import as_bytes, columns, join_counted, keyed_schema, map_batches, written
 from reviewloom.llm.components import components
 
 SHINGLE = 3
@@ -248,10 +248,11 @@ def near_duplicates(
     joint = classes.where(F.col("root").isNotNull())
     smallest = joint.groupBy("root").agg(F.min("least").alias("component_id"))
     # Only points of several documents need their class looked up.
-    known = alone.select("point", F.col("least").alias("component_id")).union(
-        joint.join(smallest, "root").select("point", "component_id")
+    known = alone.select("point", "docs", F.col("least").alias("component_id")).union(
+        joint.join(smallest, "root").select("point", "docs", "component_id")
     )
-    return rows.join(known.withColumn("several", F.lit(True)), "point", "left").select(
+    known = written(known.withColumn("several", F.lit(True)), "classes")
+    return join_counted(rows, known, "point", "docs", "left").select(
         "doc_id",
         "point",
         F.when(F.col("several"), F.col("component_id"))

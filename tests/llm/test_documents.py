@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from reviewloom.llm import decontaminate, fmindex, licenses, quality, simhash
+from reviewloom.llm import common, decontaminate, fmindex, licenses, quality, simhash
 from reviewloom.llm import queries as q
 from reviewloom.llm.components import components
 
@@ -503,6 +503,29 @@ def test_simhash_of_awkward_rows(awkward, nothing):
     assert simhash.near_duplicates(nothing).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1, 2, 50, 10**6])
+def test_simhash_of_hot_points(spark, monkeypatch, hot):
+    """Points met by broadcast (few, some, all of them) and by shuffle give the same classes."""
+    monkeypatch.setattr(common, "HOT", hot)
+    texts = ["hot text of many copies"] * 40 + ["warm text"] * 12 + ["single %d of its kind" % i for i in range(30)]
+    docs = [(i if i % 9 else None, text) for i, text in enumerate([*texts, None, None, ""])]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    check_classes(docs, simhash.near_duplicates(df).collect())
+
+
+def test_counted_joins(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 4)
+    keys = [1] * 50 + [2] * 30 + [3] * 5 + [4] * 2 + [None] * 3
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key int, n int")
+    known = spark.createDataFrame([(1, 50, "a"), (2, 30, "b"), (3, 5, "c")], "key int, docs int, what string")
+    name = {1: "a", 2: "b", 3: "c"}
+    for how in ("inner", "left"):
+        found = common.join_counted(rows, known, "key", "docs", how)
+        assert Counter(map(tuple, found.collect())) == Counter(
+            (k, i, name.get(k)) for i, k in enumerate(keys) if how == "left" or k in name
+        )
+
+
 @pytest.mark.parametrize("reach", [0, 2, 5])
 def test_close_points_meet_across_shards(spark, reach):
     rand = np.random.default_rng(11)
