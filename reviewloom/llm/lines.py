@@ -8,7 +8,8 @@ therefore always in the second filter.
 
 Pass two tests every line against the second filter. Only suspects are counted,
 by a 128-bit digest of the key, combined per batch and per task before they
-move: that is the exact confirmation. Pass three drops lines.
+move: that is the exact confirmation. Pass three drops lines: all of a confirmed
+key, or all but its first (``keep_first``), which is chosen among confirmed lines alone.
 
 The filter's size follows the number of lines up to ``max_bits``, the proven
 bound of what is broadcast. Beyond that it only lets more suspects through;
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.common import as_bytes, columns, keyed_schema, map_batches, written
+from reviewloom.llm.common import as_bytes, columns, join_counted, keyed_schema, map_batches, written
 
 SPACE = b" \t\n\x0b\f\r"
 MIN_DOCS = 10
@@ -143,7 +144,7 @@ def _suspected(digests: list[bytes], twice: np.ndarray, bits: int) -> np.ndarray
 
 
 def repeated_keys(texts: DataFrame, min_docs: int, max_bits: int = MAX_BITS) -> DataFrame:
-    """``digest``: keys found in at least ``min_docs`` documents (2 or more)."""
+    """``digest, docs``: keys found in at least ``min_docs`` documents (2 or more)."""
     if min_docs < 2:
         raise ValueError("min_docs must be at least 2")
     # Counting newlines is cheap next to hashing lines.
@@ -177,16 +178,20 @@ def repeated_keys(texts: DataFrame, min_docs: int, max_bits: int = MAX_BITS) ->
         .groupBy("digest")
         .agg(F.sum("docs").alias("docs"))
         .where(F.col("docs") >= min_docs)
-        .select("digest")
     )
 
 
-def _drop(text: bytes | None, repeated) -> tuple[int, int, bytes]:
+def _drop(text: bytes | None, repeated, first=frozenset()) -> tuple[int, int, bytes]:
+    """Lines of ``repeated`` keys go, but the first of each key in ``first``."""
     lines = (text or b"").split(b"\n")
-    kept = []
+    kept, stay = [], set(first)
     for line in lines:
         key = line_key(line)
-        if not key or xxhash.xxh3_128_digest(key) not in repeated:
+        digest = xxhash.xxh3_128_digest(key)
+        if not key or digest not in repeated:
+            kept.append(line)
+        elif digest in stay:
+            stay.remove(digest)
             kept.append(line)
     return len(lines), len(lines) - len(kept), b"\n".join(kept)
 
@@ -202,67 +207,104 @@ def drop_repeated_lines(
     min_docs: int = MIN_DOCS,
     max_bits: int = MAX_BITS,
     broadcast_keys: int = BROADCAST_KEYS,
+    keep_first: bool = False,
 ) -> DataFrame:
     """Per document: ``doc_id, n_lines, n_dropped, kept``.
 
     Lines whose key (stripped of white space, A-Z lower-cased) occurs in
     ``min_docs`` documents go, in every document; the others stay as they are.
+
+    With ``keep_first`` the first line of each such key stays: that of the document with
+    the smallest id (NULL before all others), of equal ids that of the first row as they
+    were read, and in it the line that comes first. Ids need an order then.
     """
     docs = columns(docs, doc_id=id_col, text=text_col)
-    spark = docs.sparkSession
     keys = written(repeated_keys(docs.select("text"), min_docs, max_bits), "line_keys")
-    schema = keyed_schema(docs, RESULT)
-    names = ["doc_id", "n_lines", "n_dropped", "kept"]
+    few = keys.count() <= broadcast_keys
+    if few and not keep_first:
+        rows = docs
+    else:
+        numbered = docs.withColumn("row", F.monotonically_increasing_id())
+        rows = written(numbered, "line_docs")
+    known = frozenset(keys.select("digest").toArrow().column(0).to_pylist()) if few else None
+    sent = docs.sparkSession.sparkContext.broadcast(known)
+    if known is None or keep_first:
+        # Each document brings home its repeated keys, or those it is the first to have.
+        pairs = _confirmed(rows, keys, sent)
+        if keep_first:
+            pairs = _with_first(pairs, rows)
+            pairs = pairs.where("first") if few else pairs
+        else:
+            pairs = pairs.withColumn("first", F.lit(False))
+        own = pairs.groupBy("row").agg(
+            F.collect_list("digest").alias("repeated"),
+            F.expr("collect_list(digest) FILTER (WHERE first)").alias("first"),
+        )
+        rows = rows.join(own, "row", "left").select("doc_id", "text", "repeated", "first")
 
-    def result(ids: pa.Array, found: list[tuple]) -> pa.RecordBatch:
-        n_lines, n_dropped, kept = zip(*found)
-        text = pa.array(kept, pa.binary())
-        arrays = [ids, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), text]
-        return pa.RecordBatch.from_arrays(arrays, names)
+    def make():
+        everywhere = sent.value
 
-    if keys.count() <= broadcast_keys:
-        known = spark.sparkContext.broadcast(frozenset(keys.toArrow().column(0).to_pylist()))
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            texts = batch.column("text").to_pylist()
+            repeated, first = [everywhere] * len(texts), [()] * len(texts)
+            if batch.num_columns > 2:
+                first = [x or () for x in batch.column("first").to_pylist()]
+                if everywhere is None:
+                    repeated = [frozenset(x or ()) for x in batch.column("repeated").to_pylist()]
+            found = [_drop(*row) for row in zip(texts, repeated, first)]
+            arrays = [
+                pa.array(values, kind)
+                for values, kind in zip(zip(*found), (pa.int64(), pa.int64(), pa.binary()))
+            ]
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], schema.names)
 
-        def make():
-            repeated = known.value
-            return lambda batch: result(
-                batch.column(0), [_drop(t.as_py(), repeated) for t in batch.column(1)]
-            )
+        return step
 
-        dropped = map_batches(as_bytes(docs, "text"), schema, make)
-    else:
-        dropped = _drop_by_join(docs, keys, schema, result)
+    schema = keyed_schema(docs, RESULT)
+    dropped = map_batches(as_bytes(rows, "text"), schema, make)
     return dropped.withColumn("kept", F.col("kept").cast("string"))
 
 
-def _drop_by_join(docs: DataFrame, keys: DataFrame, schema: str, result) -> DataFrame:
-    """The same without a broadcast: each document brings home its repeated keys."""
-    numbered = docs.withColumn("row", F.monotonically_increasing_id())
-    numbered = written(numbered, "line_docs")
+def _confirmed(rows: DataFrame, keys: DataFrame, sent) -> DataFrame:
+    """``row, digest``: the repeated keys of each document. ``sent`` holds the keys, or
+    None where there are too many: digests are shuffled to meet them then."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
         for batch in batches:
-            found = [sorted(document_digests(t.as_py())) for t in batch.column(1)]
+            found = [document_digests(t.as_py()) for t in batch.column(1)]
+            if known is not None:
+                found = [d & known for d in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(found, pa.list_(pa.binary()))], ["row", "digests"]
+                [batch.column(0), pa.array([sorted(d) for d in found], pa.list_(pa.binary()))],
+                ["row", "digests"],
             )
 
     pairs = (
-        as_bytes(numbered.select("row", "text"), "text")
+        as_bytes(rows.select("row", "text"), "text")
         .mapInArrow(digests, "row bigint, digests array<binary>")
         .select("row", F.explode("digests").alias("digest"))
     )
-    own = pairs.join(keys, "digest").groupBy("row").agg(F.collect_list("digest").alias("repeated"))
-    together = as_bytes(numbered.join(own, "row", "left"), "text")
+    if sent.value is not None:
+        return pairs
+    return join_counted(written(pairs, "line_digests"), keys, "digest", "docs", "inner")
 
-    def make():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts, repeated = batch.column("text"), batch.column("repeated")
-            return result(
-                batch.column("doc_id"),
-                [_drop(t.as_py(), set(r.as_py() or ())) for t, r in zip(texts, repeated)],
-            )
 
-        return step
+def _with_first(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``row, digest, first``: whether the row is the first that has the digest.
 
-    return map_batches(together, schema, make)
+    Ranks of rows by (id, row) are 8 bytes, so minima combine in a hash aggregate before
+    they move.
+    """
+    ranks = written(
+        rows.select("doc_id", "row")
+        .repartitionByRange("doc_id", "row")
+        .sortWithinPartitions("doc_id", "row")
+        .select("row", F.monotonically_increasing_id().alias("rank")),
+        "line_ranks",
+    )
+    ranked = written(pairs.join(ranks, "row"), "line_pairs")
+    least = ranked.groupBy("digest").agg(F.min("rank").alias("least"), F.count("*").alias("docs"))
+    met = join_counted(ranked, written(least, "line_firsts"), "digest", "docs", "inner")
+    return met.select("row", "digest", (F.col("rank") == F.col("least")).alias("first"))

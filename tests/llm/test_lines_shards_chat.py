@@ -11,7 +11,7 @@ from oracle import connect, difference
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reviewloom.llm import chat, lines, shards
+from reviewloom.llm import chat, common, lines, shards
 from reviewloom.llm import queries as q
 from reviewloom.llm.tokens import vocabulary_path
 
@@ -68,7 +68,39 @@ def test_lines_of_bad_bytes(spark, options):
     }
 
 
+@pytest.mark.parametrize("min_docs", [2, 10])
+@pytest.mark.parametrize("hot", [1, 20, 1000])
+@pytest.mark.parametrize("options", [{}, {"broadcast_keys": 0}])
+def test_first_lines_stay(spark, tmp_path, monkeypatch, min_docs, hot, options):
+    monkeypatch.setattr(common, "HOT", hot)
+    many = [(i * 37 % 101 if i % 8 else None,
+             f"own {i}\nShared Line\n{i % 7}\n\tshared line \n\n{i % 7}\nSHARED LINE", i)
+            for i in range(60)]
+    many += [(5, None, 60), (6, "", 61)]
+    spark.createDataFrame(many, "doc_id bigint, text string, n int").coalesce(1).write.parquet(
+        str(tmp_path / "docs")
+    )
+    docs = spark.read.parquet(str(tmp_path / "docs"))  # one file: rows are read in order
+    found = lines.drop_repeated_lines(docs, min_docs=min_docs, keep_first=True, **options)
+    key = lambda line: line.strip().lower()
+    held = Counter(k for _, text, _ in many for k in {key(x) for x in (text or "").split("\n")})
+    seen, expected = set(), []
+    for i, text, _ in sorted(many, key=lambda r: (r[0] is not None, r[0] or 0, r[2])):
+        kept = []
+        for line in (text or "").split("\n"):
+            k = key(line)
+            if not k or held[k] < min_docs or k not in seen:
+                kept.append(line)
+                seen.add(k)
+        whole = (text or "").split("\n")
+        expected.append((i, len(whole), len(whole) - len(kept), "\n".join(kept)))
+    rows = [tuple(r) for r in found.collect()]
+    # Lines below the bound are kept whether or not they were seen.
+    assert Counter(rows) == Counter(expected)
+
+
 def test_lines_of_nothing(nothing):
+    assert lines.drop_repeated_lines(nothing, keep_first=True).count() == 0
     assert lines.drop_repeated_lines(nothing).count() == 0
     assert lines.drop_repeated_lines(nothing, broadcast_keys=-1).count() == 0
 
