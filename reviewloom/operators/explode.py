@@ -17,6 +17,9 @@ EXACT, RECOVERED, AMBIGUOUS, UNEQUAL = "exact", "recovered", "ambiguous", "unequ
 # before ends like a sentence. And what speaks against a review that is blank.
 AT_ONCE, SPACED, CAPITAL, SMALL, STOP, BLANK = 2, -2, 1, -1, 1, -6
 
+# Fixed value: what str.isspace() says yes to.
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
 
 def _literal(delimiter: str) -> str:
     return r"\Q" + delimiter.replace(r"\E", r"\E\\E\Q") + r"\E"
@@ -141,24 +144,41 @@ def cut_parts(parts: Sequence[str], wanted: int) -> tuple[list[int], int]:
     return found[::-1], ways
 
 
+def _ends(parts: Column) -> Column:
+    """All that ``cut_parts`` looks at, as one short string: of each part whether it starts
+    with white space, its first other character and its last, a line per part."""
+
+    def short(part: Column) -> Column:
+        spaced = F.btrim(F.substring(part, 1, 1), F.lit(WHITE)) != F.substring(part, 1, 1)
+        text = F.btrim(part, F.lit(WHITE))
+        start = F.when(spaced, " ").otherwise("")
+        return F.concat(start, F.substring(text, 1, 1), F.substring(text, -1, 1))
+
+    return F.array_join(F.transform(parts, short), "\n")
+
+
 def best_cuts(parts: Column, wanted: Column, delimiter: Column) -> Column:
     """``cut_parts`` of a list: struct of ``parts``, joined to ``wanted`` ones, and ``ways``.
 
-    NULL where ``wanted`` is. Arrow batches; a row takes parts x wanted steps.
+    NULL where ``wanted`` is. Arrow batches of the parts' ends: texts stay in the JVM, so a
+    batch takes a few bytes a part however long they are. A row takes parts x wanted steps.
     """
 
-    @F.pandas_udf("parts array<string>, ways int")
-    def cut(parts: pd.Series, wanted: pd.Series, delimiter: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("cuts array<int>, ways int")
+    def cut(ends: pd.Series, wanted: pd.Series) -> pd.DataFrame:
         rows = []
-        for own, count, mark in zip(parts, wanted, delimiter):
-            if own is None or pd.isna(count):
-                rows.append((None, None))
-                continue
-            own = list(own)
-            cuts, ways = cut_parts(own, int(count))
-            borders = [0, *cuts, len(own)]
-            rows.append(([mark.join(own[a:b]) for a, b in zip(borders, borders[1:])], ways))
-        return pd.DataFrame(rows, columns=["parts", "ways"]).astype({"ways": "Int32"})
-
-    found = cut(parts, wanted, delimiter)
-    return F.when(wanted.isNotNull(), found)
+        for own, count in zip(ends, wanted):
+            known = own is not None and not pd.isna(count)
+            rows.append(cut_parts(own.split("\n"), int(count)) if known else (None, None))
+        return pd.DataFrame(rows, columns=["cuts", "ways"]).astype({"ways": "Int32"})
+
+    found = cut(_ends(parts), wanted)
+    starts = F.concat(F.array(F.lit(0)), found["cuts"])
+    stops = F.concat(found["cuts"], F.array(F.size(parts)))
+    joined = F.transform(
+        F.arrays_zip(starts.alias("start"), stops.alias("stop")),
+        lambda cut: F.call_function(
+            "array_join", F.slice(parts, cut["start"] + 1, cut["stop"] - cut["start"]), delimiter
+        ),
+    )
+    return F.when(wanted.isNotNull(), F.struct(joined.alias("parts"), found["ways"].alias("ways")))

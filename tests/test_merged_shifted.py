@@ -174,3 +174,30 @@ def test_hot_keys_alone_are_spread(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_texts_of_any_length_are_cut_by_their_ends(spark, plan):
+    """What goes to Python is three characters a part, and says as much as the parts."""
+    rand = random.Random(9)
+    marks = ["", " ", "\n", " ", "　", "\x1c", "a", "Z", "É", "ß", "7", "²", "𝒳", ".", "?", "-"]
+    rows = []
+    for n in range(200):
+        parts = ["".join(rand.choices(marks, k=rand.randint(0, 6))) for _ in range(rand.randint(3, 9))]
+        rows.append((n, ",".join("ab"), ",".join(parts)))
+    rows.append((200, "a,b", ",".join(["x" * 300_000, " y" * 200_000, "Z" * 300_000])))
+    df = spark.createDataFrame(rows, "n int, user_id string, review_content string")
+    ends = explode._ends(F.split("review_content", ","))
+    for r in df.select("review_content", ends.alias("ends")).collect():
+        parts, short = r.review_content.split(","), r.ends.split("\n")
+        assert len(r.ends) <= 4 * len(parts)
+        assert cut_parts(short, 2) == cut_parts(parts, 2), r
+    found = explode_merged(df, ["user_id", "review_content"], ",", "review_content")
+    sent = [line for line in plan(found).split("\n") if "ArrowEvalPython" in line]
+    assert len(sent) == 1 and "array_join(" in sent[0]
+    by = {}
+    for r in found.where("alignment = 'recovered'").orderBy("item").collect():
+        by.setdefault(r.n, []).append(r.review_content)
+    for n, _, content in rows:
+        cuts, ways = cut_parts(content.split(","), 2)
+        whole = [",".join(content.split(",")[: cuts[0]]), ",".join(content.split(",")[cuts[0] :])]
+        assert by.get(n) == (whole if ways == 1 else None)
