@@ -131,3 +131,18 @@ def test_registered_in_sql(spark):
 def test_cleaner_runs_once_when_its_result_is_filtered(spark, plan):
     df = spark.range(10).select(text.clean_review_once(F.col("id").cast("string")).alias("t"))
     assert plan(df.where("length(t) > 0")).count("ArrowEvalPython") == 1
+
+
+def test_a_batch_is_cleaned_some_rows_at_a_time():
+    """Texts leave before the next are cleaned, so a batch is not held once more per rule."""
+    clean = text._clean_udf.func
+    texts = [f"Héllo <b>iPhone</b> {i} " * (1 + i % 90 * 90) for i in range(150)]
+    texts += [None, "", "x" * (3 * text.STEP_BYTES), None, "end of it"]
+    batch = pa.array(texts)
+    pieces = list(clean(iter([batch, batch.slice(0, 0), batch.slice(150, 2), batch.slice(30, 9)])))
+    assert len(pieces) > 10
+    most = max(len(t or "") for t in texts)
+    assert all(piece.nbytes <= max(most, text.STEP_BYTES) + 10_000 for piece in pieces)
+    found = [t for piece in pieces for t in piece.to_pylist()]
+    alone = [next(clean(iter([pa.array([t], pa.string())])))[0].as_py() for t in texts]
+    assert found == alone + alone[150:152] + alone[30:39]
