@@ -6,8 +6,9 @@ outside and from inside of quotes, is told by its quotes alone: it leaves the st
 it is, swaps it, or sets it. The effects are combined by prefix sums of the swaps since
 the last line that sets it, first over the lines of a split, then over the splits of a
 file (a row each). Every line then knows the record it belongs to. Records are put
-together inside their split; only those over a border between splits meet in a shuffle.
-Spark's own ``from_csv`` parses them.
+together inside their split. Lines of records over a border between splits are told from
+the row of their split: they alone meet in a second shuffle. Spark's own ``from_csv``
+parses the records.
 
 The lines go to the scratch folder first: splits follow the number of cores at the time,
 and line numbers must not change between the steps.
@@ -120,9 +121,10 @@ def _within(lines: DataFrame) -> DataFrame:
 
 
 def _splits(lines: DataFrame) -> DataFrame:
-    """One row per split: ``begin`` (does it start inside of quotes), ``finish``, ``key`` (the
-    first line of its last record), ``carried`` (of the record it goes on with),
-    ``header`` (the first line of its file) and ``odd`` (is its file not plain)."""
+    """One row per split: ``finish`` (does it end inside of quotes), ``begun`` (the first line
+    of the first record that starts in it, if any), ``key`` (of its last record), ``carried``
+    (of the record it goes on with), ``header`` (the first line of its file) and ``odd`` (is
+    its file not plain)."""
     rows = _within(lines.drop("value"))
     told = []
     for name, inside in (("outside", False), ("inside", True)):
@@ -131,6 +133,7 @@ def _splits(lines: DataFrame) -> DataFrame:
         odd = F.when(starts, F.col("odd_inside")).otherwise(F.col("odd_outside"))
         told += [
             F.max_by(ends, "id").alias(name),
+            F.min(F.when(~starts, F.col("id"))).alias(f"begun_{name}"),
             F.max(F.when(~starts, F.col("id"))).alias(f"key_{name}"),
             F.bool_or(odd | F.col("odd")).alias(f"odd_{name}"),
         ]
@@ -145,16 +148,16 @@ def _splits(lines: DataFrame) -> DataFrame:
         begin, F.col(f"{name}_inside")
     ).otherwise(F.col(f"{name}_outside"))
     rows = rows.select(
-        "file", "block", "first", "blank", begin.alias("begin"), finish.alias("finish"),
-        by_begin("key").alias("key"), by_begin("odd").alias("odd"),
+        "file", "block", "first", "blank", finish.alias("finish"),
+        by_begin("begun").alias("begun"), by_begin("key").alias("key"), by_begin("odd").alias("odd"),
     )
     before = in_file.rowsBetween(Window.unboundedPreceding, -1)
     open_end = F.max_by("finish", "block").over(whole)
     return rows.select(
         "file",
         "block",
-        "begin",
         "finish",
+        "begun",
         F.last("key", ignorenulls=True).over(before).alias("carried"),
         F.coalesce("key", F.last("key", ignorenulls=True).over(before)).alias("key"),
         F.min_by("first", "block").over(whole).alias("header"),
@@ -180,36 +183,38 @@ def records(
     odd = [r.file for r in splits.where("odd").select("file").distinct().collect()]
     own = F.broadcast(splits) if _small(splits) else splits
     known = lines.join(own.where("NOT odd"), ["file", "block"])
-    rows = _within(known)
-    starts = _state(F.col("begin"), "swaps_before", "set_before")
-    own = Window.partitionBy("file", "block").orderBy("id")
-    rows = rows.select(
-        "file", "block", "id", "value", "carried", "header", "finish",
-        F.col("key").alias("last"),
-        F.when(~starts, F.col("id")).alias("start"),
-    ).withColumn(
-        "key",
-        F.coalesce(
-            F.last("start", ignorenulls=True).over(own.rowsBetween(Window.unboundedPreceding, 0)),
-            "carried",
-        ),
-    )
-    if header:
-        rows = rows.where(F.col("key") != F.col("header"))
-    # Grouped where the window left them: no shuffle.
-    parts = rows.groupBy("file", "block", "key").agg(
-        _joined("id", "value").alias("record"),
-        F.bool_or((F.col("key") == F.col("last")) & F.col("finish")).alias("goes_on"),
-        F.bool_or(F.col("start").isNotNull()).alias("begins"),
+    # The record of a line that goes over a border: it was begun before the split, or is the
+    # last one of a split that ends in quotes. From here on the first line stands for its
+    # file: a number is shorter to move and sort than a path.
+    edge = F.when(F.col("begun").isNull() | (F.col("id") < F.col("begun")), F.col("carried"))
+    edge = edge.when(F.col("finish") & (F.col("id") >= F.col("key")), F.col("key"))
+    known = known.select(
+        F.col("header").alias("file"), "block", "id", "value", "outside", "inside",
+        edge.alias("edge"),
     )
-    whole = F.col("begins") & ~F.col("goes_on")
-    over_borders = (
-        parts.where(~whole).groupBy("file", "key").agg(_joined("block", "record").alias("record"))
+    # What is left of a split starts outside of quotes.
+    inner = _within(known.where("edge IS NULL"))
+    starts = ~_state(F.lit(False), "swaps_before", "set_before")
+    so_far = Window.partitionBy("file", "block").orderBy("id")
+    key = F.last(F.when(starts, F.col("id")), ignorenulls=True).over(
+        so_far.rowsBetween(Window.unboundedPreceding, 0)
     )
-    found = parts.where(whole).select("record").union(over_borders.select("record"))
+    # Grouped where the window left them: no shuffle.
+    whole = _record(inner.select("file", "block", "id", "value", key.alias("key")), header)
+    pieces = known.where("edge IS NOT NULL").withColumn("key", F.col("edge"))
+    pieces = _record(pieces, header)
+    over_borders = pieces.groupBy("file", "key").agg(_joined("block", "record").alias("record"))
+    found = whole.select("record").union(over_borders.select("record"))
     return found.where(F.col("record") != ""), odd
 
 
+def _record(rows: DataFrame, header: bool) -> DataFrame:
+    """The lines of every record in a split, joined; not those of the header."""
+    if header:
+        rows = rows.where(F.col("key") != F.col("file"))
+    return rows.groupBy("file", "block", "key").agg(_joined("id", "value").alias("record"))
+
+
 def _joined(order: str, text: str) -> Column:
     pieces = F.sort_array(F.collect_list(F.struct(order, text)))
     return F.array_join(F.transform(pieces, lambda piece: piece[text]), "\n")

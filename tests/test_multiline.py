@@ -145,6 +145,22 @@ def test_records_stay_in_their_split_without_a_shuffle(spark, tmp_path, plan):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def test_only_lines_over_borders_move_twice(spark, tmp_path, plan):
+    """Texts are sorted once, by numbers: the branch of the borders filters lines first."""
+    (tmp_path / "f.csv").write_text("a,b,c\n" + '1,"x\ny",2\n' * 500 + '2,"' + "z\n" * 900 + '",3\n')
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with splits(spark, 1000):
+            found, _ = multiline.records(spark, str(tmp_path))
+            inside, pieces, lines = plan(found).split("Exchange hashpartitioning(file")[-3:]
+            assert "Window" not in pieces + lines and "isnotnull" in lines
+            assert "file_path" not in inside + pieces + lines
+            assert sorted(len(r.record) for r in found.collect()) == [9] * 500 + [1806]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_flagged_and_job_by_splits(spark, tmp_path):
     cells = lambda i, rating: ",".join(
         f'"{v}"' for v in [f"P{i % 3}", *[f"v{i}\nw"] * 5, rating, *["z"] * 9]
