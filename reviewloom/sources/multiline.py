@@ -57,8 +57,10 @@ def _end_state(line: Column, begin: int, trimmed: bool) -> Column:
     state = F.aggregate(F.slice(parts, F.lit(1), F.size(parts) - 1), F.lit(begin), quote)
     rest = F.element_at(parts, -1)
     plain = _blank(F.substring_index(rest, ",", 1), trimmed)
+    # Most lines inside a long text have no quote: nothing to split, no state changes.
     return (
-        F.when(state.isin(QUOTED, ODD), state)
+        F.when(~F.contains(line, F.lit('"')), QUOTED if begin == QUOTED else OPEN)
+        .when(state.isin(QUOTED, ODD), state)
         .when((state == CLOSED) & ~plain, ODD)
         .otherwise(OPEN)
     )

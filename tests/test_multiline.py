@@ -161,6 +161,17 @@ def test_only_lines_over_borders_move_twice(spark, tmp_path, plan):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+@pytest.mark.parametrize("trimmed", [False, True])
+def test_lines_without_quotes_are_not_split(spark, trimmed, plan):
+    states = [multiline._end_state(F.col("value"), n, trimmed) for n in (multiline.NEW, multiline.QUOTED)]
+    for state in states:
+        text = plan(spark.range(1).selectExpr("string(id) AS value").select(state)).lower()
+        assert text.index("contains(") < text.index("aggregate(")
+    lines = spark.createDataFrame([(v,) for v in ["", "x", " a, b ", ",,", "1,2,"]], "value string")
+    for row in lines.select(*states).collect():
+        assert tuple(row) == (multiline.OPEN, multiline.QUOTED)
+
+
 def test_flagged_and_job_by_splits(spark, tmp_path):
     cells = lambda i, rating: ",".join(
         f'"{v}"' for v in [f"P{i % 3}", *[f"v{i}\nw"] * 5, rating, *["z"] * 9]
