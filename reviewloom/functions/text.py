@@ -57,7 +57,8 @@ STEP_BYTES = 1 << 20
 
 def _arrow_text_udf(*rules: tuple[str, str], lower: bool = False):
     """Fold to ASCII, then apply RE2 ``(pattern, replacement)`` rules in order, to
-    ``STEP_BYTES`` of a batch at a time or one longer text: beside the batch, no more is held.
+    ``STEP_BYTES`` of a batch at a time or one longer text. With rules these are handed on
+    as they are done; the fold alone, which is cheap to hold, returns a batch.
 
     The body is a closure so that it ships to executors by value.
     """
@@ -79,20 +80,26 @@ def _arrow_text_udf(*rules: tuple[str, str], lower: bool = False):
             texts = pc.ascii_lower(pc.ascii_trim(texts, " "))
         return texts.take(distinct.indices)
 
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def pieces(batch: pa.Array) -> Iterator[pa.Array]:
         # Every rule makes new texts: of a few rows at a time, which leave before the
-        # next are cleaned. A batch goes before another comes.
+        # next are cleaned.
+        sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False)
+        ends, start = np.cumsum(sizes), 0
+        while start < len(batch):
+            most = ends[start] - sizes[start] + step_bytes
+            stop = max(start + 1, int(np.searchsorted(ends, most, side="right")))
+            yield clean(batch.slice(start, stop - start))
+            start = stop
+
+    def run(batch: pa.Array) -> pa.Array:
+        return pa.concat_arrays(list(pieces(batch))) if len(batch) else batch
+
+    def run_all(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False)
-            ends, start = np.cumsum(sizes), 0
-            while start < len(batch):
-                most = ends[start] - sizes[start] + step_bytes
-                stop = max(start + 1, int(np.searchsorted(ends, most, side="right")))
-                yield clean(batch.slice(start, stop - start))
-                start = stop
-            del batch
-
-    return F.arrow_udf(run, T.StringType())
+            yield from pieces(batch)
+            del batch  # before another comes
+
+    return F.arrow_udf(run_all if rules else run, T.StringType())
 
 
 _fold_udf = _arrow_text_udf()
